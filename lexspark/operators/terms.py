@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.porter import with_stem
-from lexspark.functions.text import chunk_words, clean_word, title_words
+from lexspark.functions.text import chunk_words, clean_word, title_key, title_words
 from lexspark.operators.skew import join_per_key
 from lexspark.session import stage
 
@@ -29,12 +31,6 @@ def tokens(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
     return cut.filter("term <> ''")
 
 
-def title_tokens(chunks: DataFrame) -> DataFrame:
-    """``(doc, term)``: the words of each title line, once per document, as written."""
-    titles = chunks.select("doc", "title_line").distinct()
-    return titles.select("doc", F.explode(title_words(F.col("title_line"))).alias("term")).filter("term <> ''")
-
-
 def without_stopwords(terms: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Tokens that are not in the list; repeated tokens stay repeated."""
     listed = stopwords.select(F.col("word").alias("term")).distinct()
@@ -46,11 +42,31 @@ def count_terms(terms: DataFrame) -> DataFrame:
     return terms.groupBy("doc", "term").agg(F.count("term").alias("tf"))
 
 
-def add_counts(counts: DataFrame, *more: DataFrame) -> DataFrame:
+def counts_by_title(chunks: DataFrame) -> DataFrame:
+    """Term counts with the whole title line as ``doc``, a null term where a chunk holds a
+    place without a token: every title with a chunk is there, and no second pass over the
+    text is needed to know the titles."""
+    lines = chunks.select(F.col("title_line").alias("doc"), "chunk")
+    return count_terms(tokens(lines, keep_empty=True))
+
+
+def add_counts(*counts: DataFrame) -> DataFrame:
     """Counts of the same document and term added up."""
-    for other in more:
-        counts = counts.unionByName(other)
-    return counts.groupBy("doc", "term").agg(F.sum("tf").alias("tf"))
+    return reduce(DataFrame.unionByName, counts).groupBy("doc", "term").agg(F.sum("tf").alias("tf"))
+
+
+def title_counts(counts: DataFrame) -> DataFrame:
+    """``(doc, term, tf)`` of the words of each title line, as written, where ``doc`` is the
+    title line: each counts once, however many chunks stand under it."""
+    titles = counts.select("doc").distinct()
+    return count_terms(
+        titles.select("doc", F.explode(title_words(F.col("doc"))).alias("term")).filter("term <> ''")
+    )
+
+
+def by_title_key(counts: DataFrame) -> DataFrame:
+    """Counts by title line as counts by document: the bracketed part of the line."""
+    return counts.withColumn("doc", title_key(F.col("doc")))
 
 
 def document_lengths(counts: DataFrame) -> DataFrame:
@@ -77,11 +93,11 @@ def stem_vocabulary(counts: DataFrame) -> DataFrame:
 
 
 def stem_counts(counts: DataFrame) -> DataFrame:
-    """Counts by stem.  The distinct terms are stemmed and joined back; frequent terms are
-    joined without a shuffle."""
-    counts = stage(counts, "raw_counts")
+    """``(doc, term, tf)`` with each term of a stored table replaced by its stem, not yet
+    added up.  The distinct terms are stemmed and joined back; frequent terms are joined
+    without a shuffle."""
     vocabulary = stage(stem_vocabulary(counts), "vocabulary")
     stemmed = join_per_key(counts, vocabulary, "term", "n_rows").select(
         "doc", F.col("stem").alias("term"), "tf"
     )
-    return add_counts(stemmed, counts.filter(F.col("term").isNull()))
+    return stemmed.unionByName(counts.filter(F.col("term").isNull()))

@@ -9,12 +9,14 @@ from lexspark.functions.weights import bm25_idf
 from lexspark.operators.skew import join_per_key
 from lexspark.operators.terms import (
     add_counts,
+    by_title_key,
     corpus_stats,
     count_terms,
+    counts_by_title,
     document_frequency,
     document_lengths,
     stem_counts,
-    title_tokens,
+    title_counts,
     tokens,
 )
 from lexspark.session import stage
@@ -29,12 +31,13 @@ def term_counts(
     ``count_titles`` counts the words of title lines too, as written and never stemmed; it
     needs the column ``title_line``.  ``keep_empty`` keeps documents without any token.
     """
-    counts = count_terms(tokens(chunks, keep_empty))
-    if stem:
-        counts = stem_counts(counts)
-    if count_titles:
-        counts = add_counts(counts, count_terms(title_tokens(chunks)))
-    return counts
+    if not count_titles:
+        counts = count_terms(tokens(chunks, keep_empty))
+        return add_counts(stem_counts(stage(counts, "raw_counts"))) if stem else counts
+    counts = stage(counts_by_title(chunks), "raw_counts")
+    body = stem_counts(counts) if stem else counts
+    merged = add_counts(by_title_key(body), by_title_key(title_counts(counts)))
+    return merged.filter(F.col("term").isNotNull())
 
 
 def build_index(

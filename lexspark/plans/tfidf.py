@@ -9,9 +9,11 @@ from lexspark.functions.weights import log_tf, smoothed_idf
 from lexspark.operators.skew import join_per_key
 from lexspark.operators.terms import (
     add_counts,
+    by_title_key,
     count_terms,
+    counts_by_title,
     document_frequency,
-    title_tokens,
+    title_counts,
     tokens,
     without_stopwords,
 )
@@ -32,15 +34,15 @@ def tfidf(
     document that only has stop words still counts in N.  ``exact`` divides N by the document
     frequency as real numbers.
     """
-    counts = count_terms(tokens(chunks, keep_empty))
     if count_titles:
-        titles = count_terms(title_tokens(chunks))
-        all_docs = stage(counts, "tfidf_body_counts")
-        kept = stage(add_counts(without_stopwords(all_docs, stopwords), titles), "tfidf_counts")
+        counts = stage(counts_by_title(chunks), "tfidf_raw_counts")
+        body = without_stopwords(counts, stopwords)
+        kept = stage(add_counts(by_title_key(body), by_title_key(title_counts(counts))), "tfidf_counts")
+        counts = kept
     else:
-        all_docs = stage(counts, "tfidf_counts")
-        kept = without_stopwords(all_docs, stopwords)
-    n_docs = all_docs.agg(F.count_distinct("doc").alias("n")).scalar()
+        counts = stage(count_terms(tokens(chunks, keep_empty)), "tfidf_counts")
+        kept = without_stopwords(counts, stopwords)
+    n_docs = counts.agg(F.count_distinct("doc").alias("n")).scalar()
     df = document_frequency(kept)
     weighted = df.select(
         "term", "df", smoothed_idf(n_docs, F.col("df"), exact).alias("idf"), F.col("df").alias("n_rows")
