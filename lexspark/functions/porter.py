@@ -100,7 +100,9 @@ def _swap(word: Column, suffix: Column, rules: dict[str, str]) -> Column:
 def with_stem(df: DataFrame, word: str = "term", out: str = "stem") -> DataFrame:
     """``df`` with the stem of column ``word`` added as column ``out``.
 
-    One projection per rule, so no expression repeats the whole chain before it.
+    One projection per rule, so no expression repeats the whole chain before it.  Store the
+    result before filtering or joining by the new column: a filter moves down through the
+    projections, and written in terms of the word it would be a huge expression.
     """
     w, cut, suffix = (f"__{out}_{part}" for part in ("w", "cut", "suffix"))
     c_w, c_cut, c_suffix = F.col(w), F.col(cut), F.col(suffix)

@@ -63,6 +63,12 @@ def normalise_line(line: Column, ascii_first: bool = False) -> Column:
     return open_hyphens(squeeze_spaces(line))
 
 
+def has_line(line: Column) -> Column:
+    """Whether anything is left of a raw line when it is normalised.  Only a line with a
+    heading has to be normalised to know."""
+    return (strip_blanks(line) != "") & ~(line.contains("==") & (drop_headings(strip_blanks(line)) == ""))
+
+
 def clean_body(line: Column, ascii_first: bool = False) -> Column:
     """The words of a normalised body line, in lower case, separated by spaces."""
     line = squeeze_spaces(line) if ascii_first else blank_foreign(line)
@@ -79,10 +85,16 @@ def raw_words(text: Column) -> Column:
 
 
 def clean_word(word: Column) -> Column:
-    """A raw word without closing brackets, in lower case; may be ''."""
+    """A raw word without closing brackets, in lower case."""
     return F.lower(drop_closers(word))
 
 
+def has_letters(word: Column) -> Column:
+    """Whether something is left of a raw word when it is cleaned.  (Testing the cleaned
+    word would clean every word twice, as filters move below projections.)"""
+    return (word != "") & ~(word.endswith(CLOSER) & (drop_closers(word) == ""))
+
+
 def chunk_words(chunk: Column) -> Column:
     """A cleaned line cut at its spaces; runs of spaces leave empty strings."""
     return F.split(chunk, " ")

@@ -8,27 +8,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.porter import with_stem
-from lexspark.functions.text import chunk_words, clean_word, title_key, title_words
+from lexspark.functions.text import chunk_words, clean_word, has_letters, raw_words, title_key, title_words
 from lexspark.operators.skew import join_per_key
 from lexspark.session import stage
 
 
 def tokens(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
-    """``(doc, term)``: one row per token of ``chunks(doc, chunk)``, or of
-    ``chunks(doc, words)`` where the text is not cleaned line by line.
+    """``(doc, term)``: one row per token of ``chunks(doc, chunk)``, cleaned lines, or of
+    ``chunks(doc, text)``, whole texts.
 
     With ``keep_empty`` a place without a token is kept as a null term, so that a document
     whose lines hold no token at all still counts as a document.
+
+    The words are split inside ``explode``: of a column split before, Spark would test the
+    size in a filter of its own, and split every text once more for it.
     """
-    if "words" in chunks.columns:
-        cut = chunks.select("doc", F.explode("words").alias("word")).select(
-            "doc", clean_word(F.col("word")).alias("term")
-        )
+    word = F.col("word")
+    if "text" in chunks.columns:
+        cut = chunks.select("doc", F.explode(raw_words(F.col("text"))).alias("word"))
+        kept, term = has_letters(word), clean_word(word)
     else:
-        cut = chunks.select("doc", F.explode(chunk_words(F.col("chunk"))).alias("term"))
+        cut = chunks.select("doc", F.explode(chunk_words(F.col("chunk"))).alias("word"))
+        kept, term = word != "", word
     if keep_empty:
-        return cut.withColumn("term", F.nullif(F.col("term"), F.lit("")))
-    return cut.filter("term <> ''")
+        return cut.select("doc", F.when(kept, term).alias("term"))
+    return cut.filter(kept).select("doc", term.alias("term"))
 
 
 def without_stopwords(terms: DataFrame, stopwords: DataFrame) -> DataFrame:

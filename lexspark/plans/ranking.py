@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.porter import with_stem
-from lexspark.functions.text import clean_word, raw_words
+from lexspark.functions.text import clean_word, has_letters, raw_words
 from lexspark.functions.weights import B, K1, bm25_term_score, length_coefficient
 from lexspark.operators.topk import top_k, top_k_per_query
 from lexspark.session import stage
@@ -26,10 +26,11 @@ def query_terms(queries: DataFrame, *, analyse: bool = True, stem: bool = False)
     text = F.col("text")
     if analyse:
         cut = queries.select("query_id", F.explode(raw_words(text)).alias("word"))
-        terms = cut.select("query_id", clean_word(F.col("word")).alias("term"))
+        terms = cut.filter(has_letters(F.col("word"))).select("query_id", clean_word(F.col("word")).alias("term"))
     else:
-        terms = queries.select("query_id", F.explode(F.split(F.lower(text), r"\s+")).alias("term"))
-    terms = terms.filter("term <> ''").distinct()
+        cut = queries.select("query_id", F.explode(F.split(F.lower(text), r"\s+")).alias("term"))
+        terms = cut.filter("term <> ''")
+    terms = terms.distinct()
     if stem:
         terms = with_stem(terms, "term", "stem").select("query_id", F.col("stem").alias("term")).distinct()
     return terms
@@ -57,15 +58,16 @@ def term_scores(index: SearchIndex, terms: DataFrame, k1: float = K1, b: float =
     """``(query_id, doc, term, score)`` for every document and query term that meet.
 
     A handful of distinct terms is pushed into the scan of the postings.  The query terms
-    with their weights are stored first, so that their size is known when the join to the
+    and then their weights are stored first, so that their size is known when the join to the
     postings is planned: below Spark's threshold they are broadcast and no posting is
     shuffled, above it the join is a sort-merge join with adaptive skew handling.
     """
     stats, postings = index.term_stats.select("term", "idf"), index.postings
+    terms = stage(terms, "query_terms")
     few = _few_terms(terms)
     if few is not None:
         stats, postings = stats.filter(_one_of(few)), postings.filter(_one_of(few))
-    weighted = stage(terms.join(stats, "term"), "query_terms")
+    weighted = stage(terms.join(stats, "term"), "query_weights")
     return _score(index, postings, weighted, k1, b).select("query_id", "doc", "term", "score")
 
 

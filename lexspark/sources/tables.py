@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.functions.text import LINE_BREAK, clean_body, normalise_line, raw_words
+from lexspark.functions.text import LINE_BREAK, clean_body, has_line, normalise_line
 
 
 def table_chunks(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """``(doc, words)``: the raw words of each row's text, whole."""
-    return df.select(F.col(doc).alias("doc"), raw_words(F.col(text)).alias("words"))
+    """``(doc, text)``: each row's text, whole, to be cut into words in one go."""
+    return df.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
 
 
 def table_lines(df: DataFrame, doc: str, text: str, ascii_first: bool = False) -> DataFrame:
@@ -18,5 +18,7 @@ def table_lines(df: DataFrame, doc: str, text: str, ascii_first: bool = False) -
     lines = df.select(
         F.col(doc).alias("doc"), F.posexplode(F.split(F.col(text), LINE_BREAK)).alias("line_no", "raw")
     )
-    kept = lines.withColumn("line", normalise_line(F.col("raw"), ascii_first)).filter("line <> ''")
-    return kept.select("doc", "line_no", clean_body(F.col("line"), ascii_first).alias("chunk"))
+    normal = normalise_line(F.col("raw"), ascii_first)
+    return lines.filter(has_line(F.col("raw"))).select(
+        "doc", "line_no", clean_body(normal, ascii_first).alias("chunk")
+    )
