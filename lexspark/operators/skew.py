@@ -17,12 +17,18 @@ def join_per_key(rows: DataFrame, keys: DataFrame, key: str, n_rows: str) -> Dat
     these, whatever the data, so they are broadcast and their rows stay where they are.  What
     is shuffled for the rest holds no key big enough to unbalance a task.  (A frequent key
     longer than HOT_KEY_LENGTH is left to adaptive skew handling, to keep the broadcast
-    small in bytes too.)
+    small in bytes too.)  Both tables are read several times, so they should be stored ones.
+
+    A table of at most HOT_SHARE short keys is broadcast as it is.
     """
+    key_length = F.length(F.col(key).cast("string"))
+    lengths = [row[0] for row in keys.select(key_length).limit(HOT_SHARE + 1).collect()]
+    if len(lengths) <= HOT_SHARE and max(lengths, default=0) <= HOT_KEY_LENGTH:
+        return rows.join(F.broadcast(keys.drop(n_rows)), key)
     total = keys.agg(F.sum(n_rows).alias("total")).scalar()
     by_share = keys.withColumn(
         "__hot",
-        (F.col(n_rows) * HOT_SHARE > total) & (F.length(F.col(key).cast("string")) <= HOT_KEY_LENGTH),
+        (F.col(n_rows) * HOT_SHARE > total) & (key_length <= HOT_KEY_LENGTH),
     )
     hot = by_share.filter("__hot").drop("__hot", n_rows)
     rest = by_share.filter("not __hot").drop("__hot", n_rows)

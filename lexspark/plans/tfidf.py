@@ -47,6 +47,7 @@ def tfidf(
     weighted = df.select(
         "term", "df", smoothed_idf(n_docs, F.col("df"), exact).alias("idf"), F.col("df").alias("n_rows")
     )
+    weighted = stage(weighted, "tfidf_weights")
     return join_per_key(kept, weighted, "term", "n_rows").select(
         "term", "doc", "tf", "df", (log_tf(F.col("tf")) * F.col("idf")).alias("tfidf")
     )

@@ -11,7 +11,7 @@ PAIRS = """caresses caress ponies poni ties ti cats cat feed feed agreed agre di
 mating mate meeting meet milling mill messing mess meetings meet eating eat going go done done eaten eaten
 relational relat conditional condit happy happi sky sky ion ion ies i is is ization izat hopefulness hope
 generalization gener adjustment adjust replacement replac probate probat rate rate cease ceas
-controll control roll roll say say yes ye youyed youi""".split()
+controll control roll roll say sai yes ye""".split()
 
 
 def stems(spark, words):
@@ -20,7 +20,7 @@ def stems(spark, words):
 
 
 def test_pairs(spark):
-    pairs = dict(zip(PAIRS[:-2:2], PAIRS[1:-2:2]))
+    pairs = dict(zip(PAIRS[::2], PAIRS[1::2]))
     assert stems(spark, pairs) == pairs
 
 
