@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexspark.functions.porter import with_stem
 from lexspark.functions.text import chunk_words
 from lexspark.operators.carry import RUN_BITS
+from lexspark.session import stage
 
 SEGMENT_CHARS = 16 * 1024 * 1024
 
@@ -27,7 +28,8 @@ def assemble_articles(chunks: DataFrame, segment_chars: int = SEGMENT_CHARS) ->
     Nearly every document has one segment, number 0.  A document of more than
     ``segment_chars`` characters is cut, at a line, into as many segments as it takes: its
     text is not collected into one task.  Where a line starts is known from a running sum
-    within its run of lines and a running sum over the runs.
+    within its run of lines and a running sum over the runs.  The chunks are stored once, so
+    that finding the sizes reads neither the input nor the text again.
 
     Empty chunks at the start of a document add nothing, later ones add a space.
     """
@@ -36,6 +38,7 @@ def assemble_articles(chunks: DataFrame, segment_chars: int = SEGMENT_CHARS) ->
         "doc", "file", "block_start", F.shiftright("line_id", RUN_BITS).alias("run"), "line_id", "chunk",
         (F.length("chunk") + 1).cast("long").alias("size"),
     )
+    sized = stage(sized, "chunks")
     before = Window.partitionBy("doc").orderBy("file", "block_start", "run").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*run).orderBy("line_id").rowsBetween(Window.unboundedPreceding, -1)
     run_start = sized.groupBy(*run).agg(F.sum("size").alias("size")).select(
