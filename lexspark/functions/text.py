@@ -17,6 +17,7 @@ TITLE = r"^\[{2}.*\]{2}"  # greedy: up to the last ]] of the line
 FOREIGN = r"[^\p{Alnum}\[\]]"  # \p{Alnum} is ASCII only, and one table lookup per character
 CLOSER = "]]"
 BLANKS = "".join(map(chr, range(0x21)))  # everything up to and including the space
+NOT_BLANK = r"[^\x00-\x20]"
 LINE_BREAK = "\r\n|\r|\n"
 TITLE_BREAK = "[ \t\n\r\f]+"
 
@@ -56,17 +57,17 @@ def title_key(line: Column) -> Column:
 
 
 def normalise_line(line: Column, ascii_first: bool = False) -> Column:
-    """A raw line as the title test sees it; '' if nothing is left of it."""
-    line = drop_headings(strip_blanks(line))
+    """A stripped line as the title test sees it; '' if nothing is left of it."""
+    line = drop_headings(line)
     if ascii_first:
         return blank_foreign(line)
     return open_hyphens(squeeze_spaces(line))
 
 
 def has_line(line: Column) -> Column:
-    """Whether anything is left of a raw line when it is normalised.  Only a line with a
-    heading has to be normalised to know."""
-    return (strip_blanks(line) != "") & ~(line.contains("==") & (drop_headings(strip_blanks(line)) == ""))
+    """Whether anything is left of a raw line when it is stripped and normalised.  Only a
+    line with a heading has to be stripped to know."""
+    return line.rlike(NOT_BLANK) & ~(line.contains("==") & (drop_headings(strip_blanks(line)) == ""))
 
 
 def clean_body(line: Column, ascii_first: bool = False) -> Column:

@@ -21,6 +21,7 @@ def join_per_key(rows: DataFrame, keys: DataFrame, key: str, n_rows: str) -> Dat
 
     A table of at most HOT_SHARE short keys is broadcast as it is.
     """
+    keys = keys.filter(F.col(key).isNotNull())
     key_length = F.length(F.col(key).cast("string"))
     lengths = [row[0] for row in keys.select(key_length).limit(HOT_SHARE + 1).collect()]
     if len(lengths) <= HOT_SHARE and max(lengths, default=0) <= HOT_KEY_LENGTH:

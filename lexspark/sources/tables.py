@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.functions.text import LINE_BREAK, clean_body, has_line, normalise_line
+from lexspark.functions.text import LINE_BREAK, clean_body, has_line, normalise_line, strip_blanks
 
 
 def table_chunks(df: DataFrame, doc: str, text: str) -> DataFrame:
@@ -18,7 +18,6 @@ def table_lines(df: DataFrame, doc: str, text: str, ascii_first: bool = False) -
     lines = df.select(
         F.col(doc).alias("doc"), F.posexplode(F.split(F.col(text), LINE_BREAK)).alias("line_no", "raw")
     )
-    normal = normalise_line(F.col("raw"), ascii_first)
-    return lines.filter(has_line(F.col("raw"))).select(
-        "doc", "line_no", clean_body(normal, ascii_first).alias("chunk")
-    )
+    stripped = lines.filter(has_line(F.col("raw"))).withColumn("line", strip_blanks(F.col("raw")))
+    normal = normalise_line(F.col("line"), ascii_first)
+    return stripped.select("doc", "line_no", clean_body(normal, ascii_first).alias("chunk"))

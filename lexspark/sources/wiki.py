@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.functions.text import clean_body, has_line, is_title, normalise_line, title_key
+from lexspark.functions.text import clean_body, has_line, is_title, normalise_line, strip_blanks, title_key
 from lexspark.operators.carry import carry_forward
 
 POSITION = ["file", "block_start", "line_id"]
@@ -33,7 +33,8 @@ def titled_lines(lines: DataFrame, ascii_first: bool = False) -> DataFrame:
     norm = F.col("line")
     marked = (
         lines.filter(has_line(F.col("value")))
-        .withColumn("line", normalise_line(F.col("value"), ascii_first))
+        .withColumn("line", strip_blanks(F.col("value")))
+        .withColumn("line", normalise_line(F.col("line"), ascii_first))
         .select(
             *POSITION,
             F.when(is_title(norm), norm).alias("title_line"),

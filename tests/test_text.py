@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexspark import build_index, read_wiki, table_chunks, wiki_chunks
-from lexspark.functions.text import clean_body, has_line, is_title, normalise_line, title_key
+from lexspark.functions.text import clean_body, has_line, is_title, normalise_line, strip_blanks, title_key
 from lexspark.operators.carry import carry_forward
 from lexspark.operators.terms import tokens
 from lexspark.sources.tables import table_lines
@@ -30,7 +30,7 @@ def one(spark, line, *columns):
     ],
 )
 def test_title_key(spark, line, expected):
-    assert one(spark, line, title_key(normalise_line(F.col("v"))))[0] == expected
+    assert one(spark, line, title_key(normalise_line(strip_blanks(F.col("v")))))[0] == expected
 
 
 @pytest.mark.parametrize(
@@ -45,13 +45,13 @@ def test_title_key(spark, line, expected):
     ],
 )
 def test_body_words(spark, line, expected):
-    body = one(spark, line, clean_body(normalise_line(F.col("v"))))[0]
+    body = one(spark, line, clean_body(normalise_line(strip_blanks(F.col("v")))))[0]
     assert body.split() == expected.split()
 
 
 def test_ascii_first_order(spark):
     title, body = one(
-        spark, "[[Ünï-x]]", is_title(normalise_line(F.col("v"), True)), normalise_line(F.col("v"), True)
+        spark, "[[Ünï-x]]", is_title(normalise_line(strip_blanks(F.col("v")), True)), normalise_line(strip_blanks(F.col("v")), True)
     )
     assert title and body == "[[ n  x]]"
 
@@ -59,7 +59,7 @@ def test_ascii_first_order(spark):
 @pytest.mark.parametrize("line", ["", "  ", "==a==", "==a== keep ==b==", " ==a== \t", "==a== x", "-", "=a=", "\t\x00"])
 def test_has_line_is_what_is_left(spark, line):
     kept, normal, ascii_first = one(
-        spark, line, has_line(F.col("v")), normalise_line(F.col("v")), normalise_line(F.col("v"), True)
+        spark, line, has_line(F.col("v")), normalise_line(strip_blanks(F.col("v"))), normalise_line(strip_blanks(F.col("v")), True)
     )
     assert kept == (normal != "") == (ascii_first != "")
 
