@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracles  # noqa: E402
+from lexspark.functions import weights  # noqa: E402
 from lexspark.functions.weights import bm25_idf, log_tf, smoothed_idf  # noqa: E402
 from lexspark.operators.articles import assemble_articles, stem_chunks  # noqa: E402
 from lexspark.operators.terms import (  # noqa: E402
@@ -144,8 +145,10 @@ def idf(spark, sf_dir):
 
 
 def length_coefficient(spark, sf_dir):
-    coefficients = _index(spark, sf_dir).length_coefficients()
-    return coefficients.select("doc", "dl", F.round("k", 6).alias("k"))
+    lengths = stage(document_lengths(_counts(spark, sf_dir)), "lengths")
+    avg_len = corpus_stats(lengths).select("avg_len").scalar()
+    k = weights.length_coefficient(F.col("dl"), avg_len)
+    return lengths.select("doc", "dl", F.round(k, 6).alias("k"))
 
 
 def benchmark_query_terms(spark, sf_dir):
@@ -221,8 +224,8 @@ def tfidf_idf(spark, sf_dir):
 
 
 def _tfidf(spark, sf_dir, exact):
-    weights = tfidf(_chunks(spark, sf_dir), read_stopwords(spark), exact=exact)
-    return weights.withColumn("tfidf", F.round("tfidf", 6))
+    weighted = tfidf(_chunks(spark, sf_dir), read_stopwords(spark), exact=exact)
+    return weighted.withColumn("tfidf", F.round("tfidf", 6))
 
 
 def tfidf_weights(spark, sf_dir):
@@ -275,8 +278,8 @@ def wiki_bm25_top10(spark, sf_dir):
 
 def wiki_tfidf(spark, sf_dir):
     chunks = wiki_chunks(_wiki_lines(spark, sf_dir), ascii_first=True)
-    weights = tfidf(chunks, read_stopwords(spark), count_titles=True)
-    return weights.withColumn("tfidf", F.round("tfidf", 6))
+    weighted = tfidf(chunks, read_stopwords(spark), count_titles=True)
+    return weighted.withColumn("tfidf", F.round("tfidf", 6))
 
 
 # ---------------------------------------------------------------- contract

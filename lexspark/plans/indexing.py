@@ -19,8 +19,8 @@ from lexspark.operators.terms import (
     title_counts,
     tokens,
 )
-from lexspark.session import stage
-from lexspark.sources.index_store import SearchIndex, read_index
+from lexspark.session import stage, store
+from lexspark.sources.index_store import SearchIndex
 
 
 def term_counts(
@@ -61,26 +61,21 @@ def index_counts(counts: DataFrame, path: str) -> SearchIndex:
     groups of its terms; ordering postings by document within a term lets a frequent term
     spread over many partitions.
     """
-    spark = counts.sparkSession
     counts = stage(counts, "counts")
+    doc_lengths = store(document_lengths(counts), f"{path}/doc_lengths")
+    corpus = store(corpus_stats(doc_lengths).coalesce(1), f"{path}/corpus_stats")
 
-    document_lengths(counts).write.mode("overwrite").parquet(f"{path}/doc_lengths")
-    doc_lengths = spark.read.parquet(f"{path}/doc_lengths")
-
-    corpus_stats(doc_lengths).coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus_stats")
-    n_docs = spark.read.parquet(f"{path}/corpus_stats").select("n_docs").scalar()
-
-    term_stats = document_frequency(counts).withColumn("idf", bm25_idf(n_docs, F.col("df")))
-    term_stats.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(
-        f"{path}/term_stats"
+    n_docs = corpus.select("n_docs").scalar()
+    frequencies = document_frequency(counts).withColumn("idf", bm25_idf(n_docs, F.col("df")))
+    term_stats = store(
+        frequencies.repartitionByRange("term").sortWithinPartitions("term"), f"{path}/term_stats"
     )
 
     postings = join_per_key(counts, doc_lengths, "doc", "n_terms").filter(F.col("term").isNotNull())
-    (
+    postings = store(
         postings.select("term", "doc", "tf", "dl")
         .repartitionByRange("term", "doc")
-        .sortWithinPartitions("term", "doc")
-        .write.mode("overwrite")
-        .parquet(f"{path}/postings")
+        .sortWithinPartitions("term", "doc"),
+        f"{path}/postings",
     )
-    return read_index(spark, path)
+    return SearchIndex(postings, doc_lengths, term_stats, corpus)

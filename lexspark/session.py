@@ -34,12 +34,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as a Parquet table and read it back."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the scratch folder and read it back.
+    """Store ``df`` in the scratch folder.
 
     For a table that several later plans read: each of them then scans only the columns it
     needs, none repeats the work before, and a lost executor costs no more than its tasks.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return store(df, scratch_path(df.sparkSession, name))
