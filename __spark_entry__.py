@@ -47,18 +47,23 @@ from lexspark.sources.wiki import read_wiki, wiki_chunks  # noqa: E402
 
 QUERY = oracles.QUERY
 RAW_QUERY = oracles.RAW_QUERY
+SMALL_FILE = 256 * 1024 * 1024
 
 
 # ---------------------------------------------------------------- inputs
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``documents`` table.  A table of fewer files than cores may hold a single row
-    group, which one task would read alone, so its rows are spread first.  A table of many
-    files is read as it lies, without a shuffle."""
+    """The ``documents`` table.  One file of less than SMALL_FILE bytes may be a single row
+    group, which one task would read alone, so its rows are spread first.  Anything larger
+    is read as it lies, without a shuffle."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return documents.repartition(2 * cores) if len(documents.inputFiles()) < cores else documents
+    if len(documents.inputFiles()) > 1:
+        return documents
+    size = documents.select("_metadata.file_size").first()
+    if size is None or size.file_size >= SMALL_FILE:
+        return documents
+    return documents.repartition(2 * spark.sparkContext.defaultParallelism)
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
