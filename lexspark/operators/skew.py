@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 10_000
-HOT_KEY_LENGTH = 256
 
 
 def join_per_key(rows: DataFrame, keys: DataFrame, key: str, n_rows: str) -> DataFrame:
@@ -14,25 +13,28 @@ def join_per_key(rows: DataFrame, keys: DataFrame, key: str, n_rows: str) -> Dat
     ``n_rows`` how many rows the key has in ``rows``.
 
     A key with more than 1/HOT_SHARE of all rows is hot.  There are fewer than HOT_SHARE of
-    these, whatever the data, so they are broadcast and their rows stay where they are.  What
-    is shuffled for the rest holds no key big enough to unbalance a task.  (A frequent key
-    longer than HOT_KEY_LENGTH is left to adaptive skew handling, to keep the broadcast
-    small in bytes too.)  Both tables are read several times, so they should be stored ones.
-
-    A table of at most HOT_SHARE short keys is broadcast as it is.
+    these, whatever the data.  Their 64-bit hashes, each with the number of shares that its
+    rows are dealt into, are broadcast: two numbers per hot key, however long the keys and
+    whatever else ``keys`` holds.  Both sides are salted by them and joined on the full key and
+    the share, so no key fills a task.  A key whose hash is that of a hot one is dealt alike on
+    both sides.  ``keys`` is read three times, so it should be a stored table.
     """
     keys = keys.filter(F.col(key).isNotNull())
-    key_length = F.length(F.col(key).cast("string"))
-    lengths = [row[0] for row in keys.select(key_length).limit(HOT_SHARE + 1).collect()]
-    if len(lengths) <= HOT_SHARE and max(lengths, default=0) <= HOT_KEY_LENGTH:
-        return rows.join(F.broadcast(keys.drop(n_rows)), key)
     total = keys.agg(F.sum(n_rows).alias("total")).scalar()
-    by_share = keys.withColumn(
-        "__hot",
-        (F.col(n_rows) * HOT_SHARE > total) & (key_length <= HOT_KEY_LENGTH),
+    hot = (
+        keys.filter(F.col(n_rows) * HOT_SHARE > total)
+        .select(
+            F.xxhash64(key).alias("__hash"), F.ceil(F.col(n_rows) * HOT_SHARE / total).cast("int").alias("__shares")
+        )
+        .groupBy("__hash")
+        .agg(F.max("__shares").alias("__shares"))
     )
-    hot = by_share.filter("__hot").drop("__hot", n_rows)
-    rest = by_share.filter("not __hot").drop("__hot", n_rows)
-    hot_rows = rows.join(F.broadcast(hot), key)
-    rest_rows = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key)
-    return hot_rows.unionByName(rest_rows)
+    shares = F.coalesce("__shares", F.lit(1))
+
+    def dealt(side: DataFrame, share) -> DataFrame:
+        hashed = side.withColumn("__hash", F.xxhash64(key)).join(F.broadcast(hot), "__hash", "left")
+        return hashed.withColumn("__share", share).drop("__hash", "__shares")
+
+    own = F.pmod(F.xxhash64(*rows.columns), shares).cast("int")
+    every = F.explode(F.sequence(F.lit(0), shares - 1))
+    return dealt(rows, own).join(dealt(keys.drop(n_rows), every), [key, "__share"]).drop("__share")

@@ -46,4 +46,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     For a table that several later plans read: each of them then scans only the columns it
     needs, none repeats the work before, and a lost executor costs no more than its tasks.
     """
-    return store(df, scratch_path(df.sparkSession, name))
+    path = scratch_path(df.sparkSession, name)
+    stored = store(df, path)
+    stored.stage_path = path
+    return stored
+
+
+def release(*stages: DataFrame) -> None:
+    """Delete the folders of staged tables that no later plan reads."""
+    for df in stages:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stage_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
