@@ -45,6 +45,14 @@ from lexspark.sources.stopwords import read_stopwords  # noqa: E402
 from lexspark.sources.tables import table_chunks, table_lines  # noqa: E402
 from lexspark.sources.wiki import read_wiki, wiki_chunks  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from lexspark.llm import queries as llm_queries
+except ModuleNotFoundError as missing:  # these two may be left out of a copy
+    if missing.name not in ("corpus_pipeline", "lexspark.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 QUERY = oracles.QUERY
 RAW_QUERY = oracles.RAW_QUERY
 SMALL_FILE = 256 * 1024 * 1024
@@ -297,6 +305,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Registered queries by name; each takes ``(spark, sf_dir)``."""
+    registered = search_queries()
+    if llm_queries:
+        registered |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return registered
+
+
+def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of everything but the operations on training text."""
     return {
         "clean_lines": clean_lines,
         "clean_lines_ascii_first": clean_lines_ascii_first,
@@ -335,5 +351,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same results as SQL over the same tables, by the same names."""
-    return oracles.oracle_sql()
+    """The same results as SQL over the same tables, by the same names, where SQL can say it."""
+    return oracles.oracle_sql() | (llm_queries.oracle_sql() if llm_queries else {})
