@@ -91,8 +91,7 @@ def op8_surrogates(spark, sf_dir):
 
 
 def op9_word_bpe(spark, sf_dir):
-    encoded = word_bpe.encode(_table(spark, sf_dir, "documents"), WORD_BPE)
-    return word_bpe.digests(word_bpe.decode(encoded, WORD_BPE))
+    return word_bpe.digests(word_bpe.round_trip(_table(spark, sf_dir, "documents"), WORD_BPE))
 
 
 def op10_token_counts(spark, sf_dir):

@@ -68,7 +68,8 @@ def units(words: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     fits &= stop <= words.first[text + 1]
     starts, stop, text = starts[fits], stop[fits], text[fits]
     hashes = words.hashes()
-    sums = np.concatenate(([0], np.cumsum(hashes * _powers(_FACTOR, len(hashes)), dtype=np.uint64))).astype(np.uint64)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * _powers(_FACTOR, len(hashes)), out=sums[1:])
     return text, starts, stop, mix((sums[stop] - sums[starts]) * _powers(_FACTOR_INVERSE, len(hashes) + 1)[starts])
 
 

@@ -236,6 +236,15 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     )
 
 
+def round_trip(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """What ``decode`` makes of what ``encode`` makes of ``docs``, by one Python worker per task."""
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(
+        lambda batches: decode_batches(encode_batches(batches, path), path), "doc_id long, ids binary, decoded string"
+    )
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of what ``decode`` returns."""
     return decoded.select(
