@@ -48,7 +48,7 @@ def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of what they decode to."""
-    return word_bpe.digests(word_bpe.decode(word_bpe.encode(docs, queries.WORD_BPE), queries.WORD_BPE))
+    return word_bpe.digests(word_bpe.round_trip(docs, queries.WORD_BPE))
 
 
 STAGES = [
