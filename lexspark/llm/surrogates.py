@@ -175,7 +175,9 @@ def surrogate(kind: Column, canonical: Column, key: str, attempt: int) -> Column
         .when(kind == "card", card)
         .when(kind == "phone", kept(1))
         .when(kind == "account", kept(2))
-        .when(kind == "token", joined(lambda c, i: _pick("0123456789abcdef", _number(digest, i))))
+        .when(kind == "token", joined(
+            lambda c, i: F.when(c.rlike(r"\d"), _pick("0123456789", _number(digest, i))).otherwise(_pick("abcdef", _number(digest, i)))
+        ))
         .when(kind == "ssn", kept(0))
         .when(canonical.rlike(r"\p{IsCyrillic}"), name("cyrillic"))
         .otherwise(name("latin"))
