@@ -36,8 +36,7 @@ def held_out() -> Column:
 
 def toxicity_net(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Net:
     """A net fitted to the labelled documents that are not held out."""
-    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out())
-    return toxicity.fit(docs.select("doc_id", "text", "lang").join(labels, "doc_id"))
+    return toxicity.fit(docs, _table(spark, sf_dir, "labels").filter(~held_out()))
 
 
 def op1_nearest_neighbours(spark, sf_dir):

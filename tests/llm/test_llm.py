@@ -402,7 +402,7 @@ def test_toxicity(spark, empty):
             text[rng.randrange(len(text))] = rng.choice(["Vile!", "vilest", "nasty,"])
         rows.append((i, " ".join(text), rng.choice(["en", "de", None]), int(i % 4 == 0)))
     data = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
-    net = toxicity.fit(data.filter("doc_id % 5 > 0"))
+    net = toxicity.fit(data.drop("toxic"), data.filter("doc_id % 5 > 0").select("doc_id", "toxic"))
     got = {r.doc_id: r for r in toxicity.score(data, net).collect()}
     held = [i for i in got if i % 5 == 0]
     assert sum((got[i].score >= 0.5) == (i % 4 == 0) for i in held) >= 0.95 * len(held)
@@ -414,7 +414,7 @@ def test_toxicity(spark, empty):
     assert toxicity.score(empty, net).count() == 0
     flagged = {r.doc_id for r in got.values() if r.flagged}
     assert {r.doc_id for r in toxicity.without_flagged(data, net).collect()} == set(got) - flagged
-    untrained = toxicity.fit(data.filter("toxic > 1"))
+    untrained = toxicity.fit(data, data.filter("toxic > 1").select("doc_id", "toxic"))
     assert toxicity.without_flagged(data, untrained).count() == 400
 
 
