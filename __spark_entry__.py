@@ -40,7 +40,7 @@ from lexspark.plans.ranking import (  # noqa: E402
 )
 from lexspark.plans.tfidf import tfidf  # noqa: E402
 from lexspark.session import scratch_path, stage  # noqa: E402
-from lexspark.sources.index_store import SearchIndex, export_text, import_text, read_index  # noqa: E402
+from lexspark.sources.index_store import SearchIndex, export_text, import_text, malformed_lines, read_index  # noqa: E402
 from lexspark.sources.stopwords import read_stopwords  # noqa: E402
 from lexspark.sources.tables import table_chunks, table_lines  # noqa: E402
 from lexspark.sources.wiki import read_wiki, wiki_chunks  # noqa: E402
@@ -55,23 +55,14 @@ except ModuleNotFoundError as missing:  # these two may be left out of a copy
 
 QUERY = oracles.QUERY
 RAW_QUERY = oracles.RAW_QUERY
-SMALL_FILE = 256 * 1024 * 1024
 
 
 # ---------------------------------------------------------------- inputs
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``documents`` table.  One file of less than SMALL_FILE bytes may be a single row
-    group, which one task would read alone, so its rows are spread first.  Anything larger
-    is read as it lies, without a shuffle."""
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    if len(documents.inputFiles()) > 1:
-        return documents
-    size = documents.select("_metadata.file_size").first()
-    if size is None or size.file_size >= SMALL_FILE:
-        return documents
-    return documents.repartition(2 * spark.sparkContext.defaultParallelism)
+    """The ``documents`` table, read as it lies."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,6 +209,30 @@ def text_roundtrip_top10(spark, sf_dir):
     return _rounded(search(index_counts(counts, scratch_path(spark, "index")), QUERY))
 
 
+def text_roundtrip_postings(spark, sf_dir):
+    odd = F.concat(F.lit("d-"), F.col("doc_id").cast("string"), F.lit("\t\\t\n\\"))
+    chunks = table_chunks(_documents(spark, sf_dir).select(odd.alias("id"), "text"), "id", "text")
+    path = scratch_path(spark, "text")
+    export_text(build_index(chunks, scratch_path(spark, "index")), path)
+    return import_text(spark, path)
+
+
+def text_malformed_lines(spark, sf_dir):
+    path = scratch_path(spark, "text")
+    third = F.pmod("doc_id", F.lit(3))
+    line = F.when(third == 0, F.concat_ws("\t", F.lit("a-b"), "doc_id")).when(third == 1, F.concat(F.lit("a-"), "doc_id"))
+    lines = _documents(spark, sf_dir).select(F.coalesce(line, F.lit("-x\t1")).alias("value"))
+    lines.write.text(f"{path}/counts")
+    return malformed_lines(spark, path).groupBy("value").agg(F.count("*").alias("n_lines"))
+
+
+def wiki_articles_segments(spark, sf_dir):
+    """Bodies put together again from small segments."""
+    parts = assemble_articles(wiki_chunks(_wiki_lines(spark, sf_dir)), segment_chars=500)
+    in_order = F.array_sort(F.collect_list(F.struct("segment", "body")))["body"]
+    return parts.groupBy("doc").agg(F.array_join(in_order, " ").alias("body"))
+
+
 # ---------------------------------------------------------------- stop words, TF-IDF
 
 
@@ -333,6 +348,8 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bm25_topk_per_query": bm25_topk_per_query,
         "index_roundtrip_top10": index_roundtrip_top10,
         "text_roundtrip_top10": text_roundtrip_top10,
+        "text_roundtrip_postings": text_roundtrip_postings,
+        "text_malformed_lines": text_malformed_lines,
         "stopword_tokens": stopword_tokens,
         "tf_log": tf_log,
         "tfidf_idf": tfidf_idf,
@@ -344,6 +361,7 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "wiki_title_carry": wiki_title_carry,
         "wiki_articles": wiki_articles,
         "wiki_articles_stemmed": wiki_articles_stemmed,
+        "wiki_articles_segments": wiki_articles_segments,
         "wiki_postings": wiki_postings,
         "wiki_bm25_top10": wiki_bm25_top10,
         "wiki_tfidf": wiki_tfidf,

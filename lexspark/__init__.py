@@ -4,24 +4,31 @@
 ``search_many`` rank documents with BM25, ``tfidf`` weighs terms.
 """
 
+from lexspark.operators.articles import assemble_articles
 from lexspark.plans.indexing import build_index
-from lexspark.plans.ranking import all_scores, search, search_many
+from lexspark.plans.ranking import all_scores, query_terms, search, search_many
 from lexspark.plans.tfidf import tfidf
-from lexspark.sources.index_store import SearchIndex, export_text, import_text, read_index
+from lexspark.sources.index_store import SearchIndex, export_text, import_text, malformed_lines, read_index
+from lexspark.sources.stopwords import read_stopwords
 from lexspark.sources.tables import table_chunks
-from lexspark.sources.wiki import read_wiki, wiki_chunks
+from lexspark.sources.wiki import read_wiki, untitled_lines, wiki_chunks
 
 __all__ = [
     "SearchIndex",
     "all_scores",
+    "assemble_articles",
     "build_index",
     "export_text",
     "import_text",
+    "malformed_lines",
+    "query_terms",
     "read_index",
+    "read_stopwords",
     "read_wiki",
     "search",
     "search_many",
     "table_chunks",
     "tfidf",
+    "untitled_lines",
     "wiki_chunks",
 ]

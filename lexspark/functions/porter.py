@@ -4,7 +4,8 @@ The algorithm is Porter's suffix stripper (Program 14(3), 1980) with the two lat
 rules ``bli -> ble`` and ``logi -> log``.  A word is stemmed by a chain of projections of
 built-in functions, so the work stays inside Catalyst: no Python UDF, no per-row driver
 code.  Stemming costs some microseconds per word, which is why the index code applies it
-to the distinct vocabulary and never to token occurrences (see ``operators.vocabulary``).
+to the distinct vocabulary (``operators.terms.stem_vocabulary``); only article bodies, which keep
+the order of words, have every occurrence stemmed.
 
 Letters: a word is lower case; ``y`` is a consonant at the start of a word and after a
 vowel.  The leading ``y`` is therefore written ``Y`` while the rules run, and the classes

@@ -27,9 +27,10 @@ def assemble_articles(chunks: DataFrame, segment_chars: int = SEGMENT_CHARS) ->
 
     Nearly every document has one segment, number 0.  A document of more than
     ``segment_chars`` characters is cut, at a line, into as many segments as it takes: its
-    text is not collected into one task.  Where a line starts is known from a running sum
-    within its run of lines and a running sum over the runs.  The chunks are stored once, so
-    that finding the sizes reads neither the input nor the text again.
+    text is not collected into one task.  Segments in order of their numbers, which may skip where a
+    line is longer than a segment, joined by a space are the whole body.  Where a line starts is
+    known from a running sum within its run of lines and a running sum over the runs.  The chunks
+    are stored once, so that finding the sizes reads neither the input nor the text again.
 
     Empty chunks at the start of a document add nothing, later ones add a space.
     """
@@ -39,18 +40,27 @@ def assemble_articles(chunks: DataFrame, segment_chars: int = SEGMENT_CHARS) ->
         (F.length("chunk") + 1).cast("long").alias("size"),
     )
     sized = stage(sized, "chunks")
-    before = Window.partitionBy("doc").orderBy("file", "block_start", "run").rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy(*run).orderBy("line_id").rowsBetween(Window.unboundedPreceding, -1)
-    run_start = sized.groupBy(*run).agg(F.sum("size").alias("size")).select(
-        *run, F.coalesce(F.sum("size").over(before), F.lit(0)).alias("run_start")
+    above = Window.partitionBy("doc").orderBy("file", "block_start", "run").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*run).orderBy("line_id")
+    # whether a line, or one above it in its run, is not empty
+    begun = F.max(F.col("chunk") != "").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    marked = sized.withColumn("begun", begun)
+    runs = marked.groupBy(*run).agg(
+        F.sum("size").alias("whole"),
+        F.sum(F.when(F.col("begun"), F.col("size")).otherwise(0)).alias("part"),
+        F.max("begun").alias("begins"),
     )
-    placed = sized.withColumn("start", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(run_start, run)
+    runs = runs.withColumn("begun_above", F.coalesce(F.max("begins").over(above), F.lit(False)))
+    size = F.when(F.col("begun_above"), F.col("whole")).otherwise(F.col("part"))
+    runs = runs.withColumn("run_size", size).select(
+        *run, "begun_above", F.coalesce(F.sum("run_size").over(above), F.lit(0)).alias("run_start")
+    )
+    kept = F.col("begun_above") | F.col("begun")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    placed = marked.join(runs, run).withColumn("kept", kept)
+    start = F.coalesce(F.sum(F.when(F.col("kept"), F.col("size")).otherwise(0)).over(before), F.lit(0))
+    placed = placed.withColumn("start", start)
     segment = F.floor((F.col("run_start") + F.col("start")) / segment_chars).alias("segment")
-    lines = F.array_sort(F.collect_list(F.struct("file", "block_start", "line_id", "chunk")))["chunk"]
-    bodies = placed.groupBy("doc", segment).agg(lines.alias("lines"))
-    first = F.when(
-        F.col("segment") == 0,
-        F.array_position(F.transform("lines", lambda line: line != ""), F.lit(True)),
-    ).otherwise(F.lit(1))
-    body = F.when(first > 0, F.array_join(F.slice("lines", first, F.size("lines")), " ")).otherwise(F.lit(""))
-    return bodies.select("doc", "segment", body.alias("body"))
+    line = F.when(F.col("kept"), F.struct("file", "block_start", "line_id", "chunk"))
+    lines = F.array_sort(F.collect_list(line))["chunk"]
+    return placed.groupBy("doc", segment).agg(F.array_join(lines, " ").alias("body"))

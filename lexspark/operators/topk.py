@@ -29,15 +29,11 @@ def top_k(scores: DataFrame, k: int = 10) -> DataFrame:
 def top_k_per_query(scores: DataFrame, k: int = 10) -> DataFrame:
     """The best ``k`` rows of each query, with their ``rank``.
 
-    Up to Spark's group limit each task cuts its rows to ``k`` per query before the shuffle,
-    so a query that matches most documents does not end up in one task.  Above the limit,
-    each query is first cut down in shares by document.
+    Each query is first cut to its best ``k`` in each of 256 shares of the documents, so a query
+    that matches most documents does not end up in one task, whatever ``k``.
     """
-    limit = int(scores.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if k > limit:
-        share = F.pmod(F.xxhash64("doc"), F.lit(256))
-        by_share = Window.partitionBy("query_id", share).orderBy(*_best_first())
-        ranked = scores.withColumn("rank", F.row_number().over(by_share))
-        scores = ranked.filter(F.col("rank") <= k).drop("rank")
+    share = F.pmod(F.xxhash64("doc"), F.lit(256))
+    by_share = Window.partitionBy("query_id", share).orderBy(*_best_first())
+    best = scores.withColumn("rank", F.row_number().over(by_share)).filter(F.col("rank") <= k).drop("rank")
     by_query = Window.partitionBy("query_id").orderBy(*_best_first())
-    return scores.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
+    return best.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)

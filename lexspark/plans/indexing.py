@@ -24,13 +24,16 @@ from lexspark.sources.index_store import SearchIndex
 
 
 def term_counts(
-    chunks: DataFrame, *, stem: bool = False, count_titles: bool = False, keep_empty: bool = False
+    chunks: DataFrame, *, stem: bool = False, count_titles: bool | None = None, keep_empty: bool = False
 ) -> DataFrame:
     """``(doc, term, tf)`` of the given chunks.
 
     ``count_titles`` counts the words of title lines too, as written and never stemmed; it
-    needs the column ``title_line``.  ``keep_empty`` keeps documents without any token.
+    needs the column ``title_line``, and is the default where there is one.  ``keep_empty`` keeps
+    documents without any token.
     """
+    if count_titles is None:
+        count_titles = "title_line" in chunks.columns
     if not count_titles:
         counts = count_terms(tokens(chunks, keep_empty))
         return add_counts(stem_counts(stage(counts, "raw_counts"))) if stem else counts
@@ -45,7 +48,7 @@ def build_index(
     path: str,
     *,
     stem: bool = False,
-    count_titles: bool = False,
+    count_titles: bool | None = None,
     keep_empty: bool = False,
 ) -> SearchIndex:
     """Write the index tables of ``chunks(doc, chunk)`` to ``path`` and read them back."""

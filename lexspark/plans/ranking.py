@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.porter import with_stem
 from lexspark.functions.text import clean_word, has_letters, raw_words
 from lexspark.functions.weights import B, K1, bm25_term_score, length_coefficient
+from lexspark.operators.skew import join_per_key
 from lexspark.operators.topk import top_k, top_k_per_query
 from lexspark.session import stage
 from lexspark.sources.index_store import SearchIndex
 
-MAX_LITERAL_TERMS = 200
-
 
 def query_terms(queries: DataFrame, *, analyse: bool = True, stem: bool = False) -> DataFrame:
     """``(query_id, term)``: the distinct terms of ``queries(query_id, text)``.
@@ -36,39 +33,33 @@ def query_terms(queries: DataFrame, *, analyse: bool = True, stem: bool = False)
     return terms
 
 
-def _few_terms(terms: DataFrame) -> list[str] | None:
-    """The distinct terms if there are at most MAX_LITERAL_TERMS of them."""
-    found = terms.select("term").distinct().limit(MAX_LITERAL_TERMS + 1).collect()
-    return [row.term for row in found] if len(found) <= MAX_LITERAL_TERMS else None
-
-
 def _one_of(terms: list[str]) -> Column:
     """A filter that reaches the scan as equality tests, so row groups of other terms are
     skipped.  (A long IN list would be pushed down as one range.)"""
-    return reduce(lambda a, b: a | b, (F.col("term") == term for term in terms), F.lit(False))
+    if len(terms) < 2:
+        return F.col("term") == terms[0] if terms else F.lit(False)
+    half = len(terms) // 2
+    return _one_of(terms[:half]) | _one_of(terms[half:])
 
 
-def _score(index: SearchIndex, postings: DataFrame, weighted: DataFrame, k1: float, b: float) -> DataFrame:
+def _score(index: SearchIndex, k1: float, b: float) -> Column:
     k = length_coefficient(F.col("dl"), index.stat("avg_len"), k1, b)
-    score = bm25_term_score(F.col("tf"), F.col("idf"), k, k1)
-    return postings.join(weighted, "term").withColumn("score", score)
+    return bm25_term_score(F.col("tf"), F.col("idf"), k, k1)
 
 
 def term_scores(index: SearchIndex, terms: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
     """``(query_id, doc, term, score)`` for every document and query term that meet.
 
-    A handful of distinct terms is pushed into the scan of the postings.  The query terms
-    and then their weights are stored first, so that their size is known when the join to the
-    postings is planned: below Spark's threshold they are broadcast and no posting is
-    shuffled, above it the join is a sort-merge join with adaptive skew handling.
+    Query terms become one row per term, with the queries that hold it, and are joined to the
+    postings in shares: a term's document frequency is the number of its postings, so a
+    frequent term does not fill a task, whatever the number of queries.
     """
-    stats, postings = index.term_stats.select("term", "idf"), index.postings
-    terms = stage(terms, "query_terms")
-    few = _few_terms(terms)
-    if few is not None:
-        stats, postings = stats.filter(_one_of(few)), postings.filter(_one_of(few))
-    weighted = stage(terms.join(stats, "term"), "query_weights")
-    return _score(index, postings, weighted, k1, b).select("query_id", "doc", "term", "score")
+    stats = index.term_stats.select("term", "idf", "df")
+    terms = stage(terms, "query_terms")  # a filter by a stem would be a huge expression
+    asked = terms.groupBy("term").agg(F.collect_list("query_id").alias("query_ids"))
+    weighted = stage(asked.join(stats, "term"), "query_weights")
+    met = join_per_key(index.postings, weighted, "term", "df").withColumn("score", _score(index, k1, b))
+    return met.select(F.explode("query_ids").alias("query_id"), "doc", "term", "score")
 
 
 def document_scores(scores: DataFrame) -> DataFrame:
@@ -81,14 +72,10 @@ def score_text(
 ) -> DataFrame:
     """``(doc, score)`` of the documents that hold a word of the query ``text``."""
     query = index.postings.sparkSession.range(1).select(F.lit(text).alias("text"), F.lit(0).alias("query_id"))
-    terms = query_terms(query, analyse=analyse, stem=stem)
-    few = _few_terms(terms)
-    if few is None:
-        scores = term_scores(index, terms, k1, b)
-    else:
-        # at most MAX_LITERAL_TERMS rows, one per term
-        stats = F.broadcast(index.term_stats.filter(_one_of(few)).select("term", "idf"))
-        scores = _score(index, index.postings.filter(_one_of(few)), stats, k1, b)
+    # the distinct words of one query, which the caller has typed
+    terms = sorted(row.term for row in query_terms(query, analyse=analyse, stem=stem).select("term").collect())
+    stats = F.broadcast(index.term_stats.filter(_one_of(terms)).select("term", "idf"))
+    scores = index.postings.filter(_one_of(terms)).join(stats, "term").withColumn("score", _score(index, k1, b))
     return scores.groupBy("doc").agg(F.sum("score").alias("score"))
 
 

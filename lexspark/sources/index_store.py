@@ -39,39 +39,69 @@ def read_index(spark: SparkSession, path: str) -> SearchIndex:
     return SearchIndex(*(spark.read.parquet(f"{path}/{name}") for name in TABLES))
 
 
+_ESCAPES = {"\t": "\\t", "\r": "\\r", "\n": "\\n"}
+_LINE = r"^([^-\t]+)-([^\t]+)\t([0-9]{1,18})$"
+
+
+def _escape(text: Column, *, hyphen: bool = False) -> Column:
+    """Backslash, tab and line breaks, and a hyphen where it would end a term, as two characters."""
+    text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for raw, written in (_ESCAPES | ({"-": "\\h"} if hyphen else {})).items():
+        text = F.replace(text, F.lit(raw), F.lit(written))
+    return text
+
+
+def _unescape(text: Column) -> Column:
+    """Between two written backslashes, each other pair stands for one character."""
+
+    def part(piece: Column) -> Column:
+        for raw, written in (_ESCAPES | {"-": "\\h"}).items():
+            piece = F.replace(piece, F.lit(written), F.lit(raw))
+        return piece
+
+    return F.array_join(F.transform(F.split(text, r"\\\\"), part), "\\")
+
+
 def export_text(index: SearchIndex, path: str) -> None:
     """Write the index as ``key<TAB>value`` text: ``counts`` and ``idf`` keyed by
-    ``term-doc``, ``lengths`` and ``coefficients`` by ``doc``, ``average`` as one line."""
+    ``term-doc``, ``lengths`` and ``coefficients`` by ``doc``, ``average`` as one line.
+
+    Backslashes, tabs and line breaks in terms and ids are escaped, so every row comes back.
+    """
 
     def save(df: DataFrame, key: Column, value: str, name: str) -> None:
         df.select(F.concat_ws("\t", key, F.col(value).cast("string"))).write.mode("overwrite").text(
             f"{path}/{name}"
         )
 
-    pair = F.concat_ws("-", "term", F.col("doc").cast("string"))
-    doc = F.col("doc").cast("string")
-    save(index.postings, pair, "tf", "counts")
+    term = _escape(F.col("term"), hyphen=True)
+    doc = _escape(F.col("doc").cast("string"))
+    save(index.postings, F.concat_ws("-", term, doc), "tf", "counts")
     save(index.doc_lengths, doc, "dl", "lengths")
     save(index.length_coefficients(), doc, "k", "coefficients")
     save(index.corpus_stats, F.lit("Avg"), "avg_len", "average")
     # idf stands at every posting of its term; a term's own row is enough to read it back
-    save(index.term_stats, F.col("term"), "idf", "idf")
+    save(index.term_stats, term, "idf", "idf")
 
 
 def import_text(spark: SparkSession, path: str) -> DataFrame:
     """``(doc, term, tf)`` from a ``counts`` folder of ``term-doc<TAB>n`` lines.
 
-    A line without exactly one tab, or without a term, a document and a whole number, is
-    left out.  A term never holds a hyphen, so the first one ends it.
+    ``malformed_lines`` has the lines that are left out: those without exactly one tab, or
+    without a term, a document and a whole number.
     """
-    shape = r"^([^-\t]+)-([^\t]+)\t([0-9]+)$"
     value = F.col("value")
     return (
         spark.read.text(f"{path}/counts")
-        .filter(value.rlike(shape))
+        .filter(value.rlike(_LINE))
         .select(
-            F.regexp_extract(value, shape, 2).alias("doc"),
-            F.regexp_extract(value, shape, 1).alias("term"),
-            F.regexp_extract(value, shape, 3).cast("long").alias("tf"),
+            _unescape(F.regexp_extract(value, _LINE, 2)).alias("doc"),
+            _unescape(F.regexp_extract(value, _LINE, 1)).alias("term"),
+            F.regexp_extract(value, _LINE, 3).cast("long").alias("tf"),
         )
     )
+
+
+def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(value)``: the lines of a ``counts`` folder that ``import_text`` leaves out."""
+    return spark.read.text(f"{path}/counts").filter(~F.col("value").rlike(_LINE))

@@ -245,6 +245,10 @@ ranked AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, doc, round(score, 6) AS score FROM ranked WHERE rank <= 10""",
         "index_roundtrip_top10": f"{ranked} {_TOP10}",
         "text_roundtrip_top10": f"{ranked} {_TOP10}",
+        "text_roundtrip_postings": f"{counts} SELECT 'd-' || doc || chr(9) || chr(92) || 't' || chr(10) || chr(92) AS doc, "
+        "term, tf FROM counts",
+        "text_malformed_lines": "SELECT CASE doc_id % 3 WHEN 1 THEN 'a-' || doc_id ELSE '-x' || chr(9) || '1' END AS value, "
+        "count(*) AS n_lines FROM documents WHERE doc_id % 3 > 0 GROUP BY 1",
         "stopword_tokens": f"{weights} SELECT doc, term, tf FROM kept",
         "tf_log": f"{weights} SELECT doc, term, round(1 + log10(tf), 6) AS log_tf FROM kept",
         "tfidf_idf": f"{weights} SELECT term, df, round(log10(1 + n_docs // df), 6) AS idf FROM dfs, n",
@@ -260,6 +264,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, doc, round(score, 6) AS score FR
         "wiki_articles": f"WITH {_LINES},{_WIKI}{_BODY.format('chunks')}",
         "wiki_articles_stemmed": f"WITH {_LINES},{_WIKI},{_WIKI_TOKENS},{_stems('tokens')},{_STEM_LINES}"
         f"{_BODY.format('stemmed_chunks')}",
+        "wiki_articles_segments": f"SELECT doc, body FROM (WITH {_LINES},{_WIKI}{_BODY.format('chunks')})",
         "wiki_postings": f"WITH {_WIKI_INDEX} SELECT doc, term, tf FROM counts",
         "wiki_bm25_top10": f"WITH {_WIKI_INDEX},{_STATS},{_STEMMED_QUERY},{_TERM_SCORES} {_TOP10}",
         "wiki_tfidf": f"""WITH {_LINES_ASCII_FIRST},{_WIKI},{_WIKI_TOKENS},{_STOP},
