@@ -15,8 +15,8 @@ import pyarrow as pa
 
 from lexspark.llm.words import EXACT, find_words, groups, mix, text_bytes
 
-MAX_CHUNKS, MAX_TOKENS = 2_000_000, 24_000_000
-BATCH_BYTES = 16 << 20
+MAX_CHUNKS, MAX_TOKENS = 600_000, 8_000_000
+BATCH_BYTES = 4 << 20
 HEAD = np.uint64(0x2545F4914F6CDD1D)  # tells the first chunk of a text from equal later ones
 
 

@@ -43,6 +43,10 @@ TASK_ROWS, TASK_SHINGLES = 60_000, 1 << 21  # what a grouped map takes at a time
 SMALL = 16  # lists up to this size are compared pair by pair
 
 
+def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(a, rows) for a in range(0, batch.num_rows, rows))
+
+
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     """The distinct shingle hashes of each text, sorted."""
     for _, words in word_groups(texts):
@@ -67,7 +71,7 @@ def signatures(shingles: np.ndarray, offset: np.ndarray) -> np.ndarray:
 
 
 def profile_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, 1000)):
         sets = list(shingle_sets(batch.column(1), width))
         n = np.array([len(s) for s in sets], np.int64)
         keys = np.zeros((len(sets), 2), np.uint64)

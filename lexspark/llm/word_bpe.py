@@ -206,8 +206,8 @@ def decode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.
     """Batches of ``(id, ids)`` as ``(id, ids, text)``."""
     model = load(path)[0]
     for batch in batches:
-        for a in range(0, batch.num_rows, 200):
-            part = batch.slice(a, 200)
+        for a in range(0, batch.num_rows, 50):
+            part = batch.slice(a, 50)
             texts = [model.decode(np.frombuffer(ids or b"", "<u4")) for ids in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(texts, pa.binary()).cast(pa.string())],
