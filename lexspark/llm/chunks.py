@@ -2,7 +2,7 @@
 
 Texts are cut where no token can reach across.  A chunk is known by a 64-bit hash of its bytes
 (two different chunks among a billion would share one with a chance of 3 in 100).  What a
-worker keeps is bounded: beyond ``MAX_CHUNKS`` chunks or ``MAX_TOKENS`` tokens it starts anew.
+worker keeps is bounded: beyond ``max_chunks`` chunks or ``max_tokens`` tokens it starts anew.
 """
 
 from __future__ import annotations
@@ -24,8 +24,15 @@ class ChunkCode:
     """Tokens of chunks; ``encode`` maps a list of chunk strings to their ids, one after the
     other, and the offsets in them."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+    def __init__(
+        self,
+        encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+        max_chunks: int = MAX_CHUNKS,
+        max_tokens: int = MAX_TOKENS,
+        batch_bytes: int = BATCH_BYTES,
+    ):
         self.encode = encode
+        self.max_chunks, self.max_tokens, self.batch_bytes = max_chunks, max_tokens, batch_bytes
         self._forget()
 
     def _forget(self) -> None:
@@ -36,7 +43,7 @@ class ChunkCode:
 
     def trim(self) -> None:
         """Between batches: start anew if too much is kept."""
-        if len(self.keys) > MAX_CHUNKS or len(self.ids) > MAX_TOKENS:
+        if len(self.keys) > self.max_chunks or len(self.ids) > self.max_tokens:
             self._forget()
 
     def learn(self, new: dict[int, str]) -> None:
@@ -87,9 +94,9 @@ def encoded_groups(
     column: pa.Array, code: ChunkCode, separators: np.ndarray
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first text, ids, offsets)`` for groups of texts cut at separators, which hold no
-    token themselves.  The new chunks of ``BATCH_BYTES`` of text are encoded together."""
+    token themselves.  The new chunks of ``batch_bytes`` of text are encoded together."""
     data, offset = text_bytes(column)
-    for first, last in groups(offset, BATCH_BYTES):
+    for first, last in groups(offset, code.batch_bytes):
         code.trim()
         found, new = [], {}
         for a, b in groups(offset[first : last + 1]):
@@ -127,7 +134,7 @@ def leading_groups(
     byte offsets in their texts, ``firsts`` where the chunks of each text begin.
     """
     data, offset = text_bytes(column)
-    for first, last in groups(offset, BATCH_BYTES):
+    for first, last in groups(offset, code.batch_bytes):
         code.trim()
         found, new = [], {}
         for a, b in groups(offset[first : last + 1]):

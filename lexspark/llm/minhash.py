@@ -38,8 +38,8 @@ CHUNKS, CHUNK = 17, 5
 SYMBOLS = CHUNKS * CHUNK
 RADIUS = 2 * CHUNKS - 1
 LIST_BLOCK = 8192  # classes of a list in a block
-CLUSTER_BLOCK = 1 << 21  # shingles of a cluster in a block
-TASK_ROWS, TASK_SHINGLES = 60_000, 1 << 21  # what a grouped map takes at a time
+CLUSTER_BLOCK = 1 << 20  # shingles of a cluster in a block
+TASK_ROWS, TASK_SHINGLES = 20_000, 1 << 19  # what a grouped map takes at a time
 SMALL = 16  # lists up to this size are compared pair by pair
 
 

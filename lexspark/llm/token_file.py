@@ -69,7 +69,7 @@ class LibraryCode:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.code = ChunkCode(self.encode)
+        self.code = ChunkCode(self.encode, 2_000_000, 24_000_000, 16 << 20)
 
     def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts, sizes = [], []

@@ -8,6 +8,7 @@ longer text is a group of its own and is still taken whole.  Null texts are empt
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,6 +20,8 @@ _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _STEPS = {"n": 0}
+_LIBC = ctypes.CDLL(None)
+_LIBC = _LIBC if hasattr(_LIBC, "malloc_trim") else None
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -88,8 +91,16 @@ class Words:
         return self.hash_spans(self.start, self.end)
 
 
+def give_back() -> None:
+    """Return memory that earlier batches have freed; Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column and the offsets of its texts; null is empty."""
+    give_back()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
