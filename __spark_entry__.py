@@ -43,7 +43,7 @@ from lexspark.session import scratch_path, stage  # noqa: E402
 from lexspark.sources.index_store import SearchIndex, export_text, import_text, malformed_lines, read_index  # noqa: E402
 from lexspark.sources.stopwords import read_stopwords  # noqa: E402
 from lexspark.sources.tables import table_chunks, table_lines  # noqa: E402
-from lexspark.sources.wiki import read_wiki, wiki_chunks  # noqa: E402
+from lexspark.sources.wiki import read_wiki, untitled_lines, wiki_chunks  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -105,6 +105,29 @@ def _wiki_lines(spark: SparkSession, sf_dir: str, compression: str = "none") ->
     return read_wiki(spark, path)
 
 
+def _merged_wiki_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as wiki text in which 300 titles come again and again, with text behind
+    their brackets; a body begins with a line of stray marks.  Each fifth document has no title
+    and lies in a file without any."""
+    path = scratch_path(spark, "wiki")
+    number = F.col("doc_id").cast("string")
+    title = F.concat(F.lit("[[Doc-"), (F.col("doc_id") % 300).cast("string"), F.lit("]] part "), number)
+    odd = F.concat(F.lit("x]] y ==z== w-"), number)
+    titled = F.col("doc_id") % 5 > 0
+    body = F.concat(F.array(odd), F.split("text", "\n"))
+    (
+        _documents(spark, sf_dir)
+        .select(titled.alias("titled"), "doc_id", F.when(titled, F.concat(F.array(title), body)).otherwise(body).alias("lines"))
+        .select("titled", "doc_id", F.posexplode("lines").alias("pos", "value"))
+        .repartitionByRange("titled", "doc_id")
+        .sortWithinPartitions("titled", "doc_id", "pos")
+        .select("titled", "value")
+        .write.partitionBy("titled")
+        .text(path)
+    )
+    return read_wiki(spark, path)
+
+
 # ---------------------------------------------------------------- cleaning, tokens, counts
 
 
@@ -240,6 +263,13 @@ def stopword_tokens(spark, sf_dir):
     return count_terms(without_stopwords(tokens(_chunks(spark, sf_dir)), read_stopwords(spark)))
 
 
+def stopword_file_tokens(spark, sf_dir):
+    """Without the words of all benchmark items, which are a file of one word per line."""
+    path = scratch_path(spark, "stopwords")
+    query_terms(_benchmark_queries(spark, sf_dir)).select("term").distinct().write.text(path)
+    return count_terms(without_stopwords(tokens(_chunks(spark, sf_dir)), read_stopwords(spark, path)))
+
+
 def tf_log(spark, sf_dir):
     return stopword_tokens(spark, sf_dir).select("doc", "term", F.round(log_tf(F.col("tf")), 6).alias("log_tf"))
 
@@ -310,6 +340,14 @@ def wiki_tfidf(spark, sf_dir):
     return weighted.withColumn("tfidf", F.round("tfidf", 6))
 
 
+def wiki_merged_postings(spark, sf_dir):
+    return term_counts(wiki_chunks(_merged_wiki_lines(spark, sf_dir)))
+
+
+def wiki_untitled_lines(spark, sf_dir):
+    return untitled_lines(_merged_wiki_lines(spark, sf_dir)).agg(F.sum("n_lines").alias("n_lines"))
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -351,6 +389,7 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "text_roundtrip_postings": text_roundtrip_postings,
         "text_malformed_lines": text_malformed_lines,
         "stopword_tokens": stopword_tokens,
+        "stopword_file_tokens": stopword_file_tokens,
         "tf_log": tf_log,
         "tfidf_idf": tfidf_idf,
         "tfidf": tfidf_weights,
@@ -365,6 +404,8 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "wiki_postings": wiki_postings,
         "wiki_bm25_top10": wiki_bm25_top10,
         "wiki_tfidf": wiki_tfidf,
+        "wiki_merged_postings": wiki_merged_postings,
+        "wiki_untitled_lines": wiki_untitled_lines,
     }
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.text import clean_body, has_line, is_title, normalise_line, strip_blanks, title_key
 from lexspark.operators.carry import carry_forward
+from lexspark.session import stage
 
 POSITION = ["file", "block_start", "line_id"]
 
@@ -28,7 +29,9 @@ def read_wiki(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def titled_lines(lines: DataFrame, ascii_first: bool = False) -> DataFrame:
     """Body lines, cleaned, each with the latest title line above it (null if none).
 
-    Headings and empty lines are gone before anything is shuffled.
+    Headings and empty lines are gone before anything is shuffled.  The text is read once: the cleaned
+    lines are stored with their positions, which depend on how Spark splits the files and would
+    not have to agree between two scans.
     """
     norm = F.col("line")
     marked = (
@@ -41,7 +44,7 @@ def titled_lines(lines: DataFrame, ascii_first: bool = False) -> DataFrame:
             F.when(~is_title(norm), clean_body(norm, ascii_first)).alias("chunk"),
         )
     )
-    return carry_forward(marked, "title_line").filter(F.col("chunk").isNotNull())
+    return carry_forward(stage(marked, "lines"), "title_line").filter(F.col("chunk").isNotNull())
 
 
 def wiki_chunks(lines: DataFrame, ascii_first: bool = False) -> DataFrame:

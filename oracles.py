@@ -211,6 +211,14 @@ stemmed_chunks AS (
   LEFT JOIN stems USING (term) GROUP BY doc, line_no)"""
 
 
+_MERGED = f"""
+odd AS (SELECT doc_id, 'x]] y ==z== w-' || doc_id || chr(10) || text AS text FROM documents WHERE text IS NOT NULL),
+{_LINES.replace("FROM documents", "FROM odd").lstrip()},
+bodies AS (
+  SELECT doc, chunk FROM lines JOIN norm_lines USING (doc, line_no)
+  WHERE NOT regexp_matches(norm_lines.line, '^\\[{{2}}.*\\]{{2}}'))"""
+
+
 def oracle_sql() -> dict[str, str]:
     counts = f"WITH {_LINES},{_TOKENS},{_COUNTS}"
     index = f"WITH {_INDEX}"
@@ -250,6 +258,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, doc, round(score, 6) AS score FR
         "text_malformed_lines": "SELECT CASE doc_id % 3 WHEN 1 THEN 'a-' || doc_id ELSE '-x' || chr(9) || '1' END AS value, "
         "count(*) AS n_lines FROM documents WHERE doc_id % 3 > 0 GROUP BY 1",
         "stopword_tokens": f"{weights} SELECT doc, term, tf FROM kept",
+        "stopword_file_tokens": f"{counts},{_BENCHMARK_TERMS} "
+        "SELECT doc, term, tf FROM counts WHERE term NOT IN (SELECT term FROM query_terms)",
         "tf_log": f"{weights} SELECT doc, term, round(1 + log10(tf), 6) AS log_tf FROM kept",
         "tfidf_idf": f"{weights} SELECT term, df, round(log10(1 + n_docs // df), 6) AS idf FROM dfs, n",
         "tfidf": f"{weights} SELECT term, doc, tf, df, round((1 + log10(tf)) * log10(1 + n_docs // df), 6) AS tfidf "
@@ -276,4 +286,12 @@ kept AS (
   GROUP BY doc, term),{_KEPT_DF}
 SELECT term, doc, tf, df, round((1 + log10(tf)) * log10(1 + n_docs // df), 6) AS tfidf
 FROM kept JOIN dfs USING (term), n""",
+        "wiki_merged_postings": f"""WITH {_MERGED}
+SELECT doc, term, count(*) AS tf FROM (
+  SELECT '[[Doc ' || doc % 300 || ']]' AS doc, unnest(string_split(chunk, ' ')) AS term FROM bodies WHERE doc % 5 > 0
+  UNION ALL
+  SELECT '[[Doc ' || doc_id % 300 || ']]', unnest(['[[Doc', doc_id % 300 || ']]', 'part', doc_id || ''])
+  FROM odd WHERE doc_id % 5 > 0)
+WHERE term <> '' GROUP BY doc, term""",
+        "wiki_untitled_lines": f"WITH {_MERGED} SELECT count(*) AS n_lines FROM bodies WHERE doc % 5 = 0",
     }

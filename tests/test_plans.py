@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lexspark import build_index, search, table_chunks, tfidf
+from lexspark import build_index, read_wiki, search, table_chunks, tfidf, untitled_lines, wiki_chunks
 from lexspark.operators import skew
 from lexspark.plans.ranking import score_text
 from lexspark.session import SCRATCH_SETTING, scratch_dir
@@ -124,3 +124,33 @@ def test_stopword_file(spark, tmp_path):
 
 def test_scratch_dir_is_the_one_the_session_names(spark):
     assert scratch_dir(spark) == spark.conf.get(SCRATCH_SETTING)
+
+
+def test_wiki_text_is_scanned_once(spark, corpus_path):
+    """Positions come from one stored read, so no second scan has to agree with it."""
+    physical = plan(wiki_chunks(read_wiki(spark, corpus_path))).split("== Physical Plan ==")[1]
+    assert "FileScan text" not in physical and "monotonically_increasing_id" not in physical
+    assert physical.count("FileScan parquet") == 3
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_titles_do_not_depend_on_splits(spark, tmp_path, compression):
+    want = []
+    lines = ["above any title"]
+    for i in range(60):
+        lines.append(f"[[T{i}]]")
+        want += [(f"[[T{i}]]", f"line {i} {j}") for j in range(i % 4)]
+        lines += [f"line {i} {j}" for j in range(i % 4)]
+    written = spark.createDataFrame([(n, line) for n, line in enumerate(lines)], "n int, value string")
+    written.coalesce(1).sortWithinPartitions("n").select("value").write.option("compression", compression).text(f"{tmp_path}/wiki")
+    settings = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        rows = wiki_chunks(read_wiki(spark, f"{tmp_path}/wiki")).select("doc", "chunk").collect()
+        assert untitled_lines(read_wiki(spark, f"{tmp_path}/wiki")).first().n_lines == 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted(map(tuple, rows)) == sorted(want)
