@@ -159,8 +159,10 @@ def test_documents_without_tokens(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "w.txt").write_text("\n".join(WIKI))
     chunks = wiki_chunks(read_wiki(spark, str(tmp_path / "in")))
-    kept = build_index(chunks, str(tmp_path / "kept"), keep_empty=True)
+    kept = build_index(chunks, str(tmp_path / "kept"), count_titles=False, keep_empty=True)
     assert kept.corpus_stats.first().n_docs == 3
     assert kept.postings.filter("term is null or tf = 0").count() == 0
-    dropped = build_index(chunks, str(tmp_path / "dropped"))
+    dropped = build_index(chunks, str(tmp_path / "dropped"), count_titles=False)
     assert dropped.corpus_stats.first().n_docs == 2
+    titled = build_index(chunks, str(tmp_path / "titled"))  # by default words of titles count
+    assert titled.corpus_stats.first().n_docs == 3
