@@ -8,7 +8,14 @@ from lexspark.operators.articles import assemble_articles
 from lexspark.plans.indexing import build_index
 from lexspark.plans.ranking import all_scores, query_terms, search, search_many
 from lexspark.plans.tfidf import tfidf
-from lexspark.sources.index_store import SearchIndex, export_text, import_text, malformed_lines, read_index
+from lexspark.sources.index_store import (
+    SearchIndex,
+    drop_old_versions,
+    export_text,
+    import_text,
+    malformed_lines,
+    read_index,
+)
 from lexspark.sources.stopwords import read_stopwords
 from lexspark.sources.tables import table_chunks
 from lexspark.sources.wiki import read_wiki, untitled_lines, wiki_chunks
@@ -18,6 +25,7 @@ __all__ = [
     "all_scores",
     "assemble_articles",
     "build_index",
+    "drop_old_versions",
     "export_text",
     "import_text",
     "malformed_lines",

@@ -19,8 +19,8 @@ from lexspark.operators.terms import (
     title_counts,
     tokens,
 )
-from lexspark.session import stage, store
-from lexspark.sources.index_store import SearchIndex
+from lexspark.session import release, stage, store
+from lexspark.sources.index_store import BUCKETS, SearchIndex, new_version, publish, term_bucket
 
 
 def term_counts(
@@ -50,35 +50,43 @@ def build_index(
     stem: bool = False,
     count_titles: bool | None = None,
     keep_empty: bool = False,
+    buckets: int = BUCKETS,
+    files: int | None = None,
 ) -> SearchIndex:
-    """Write the index tables of ``chunks(doc, chunk)`` to ``path`` and read them back."""
+    """Write the index tables of ``chunks(doc, chunk)`` to ``path`` and read them back;
+    ``buckets`` and ``files`` as in ``index_counts``."""
     counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
-    return index_counts(counts, path)
+    return index_counts(counts, path, buckets=buckets, files=files)
 
 
-def index_counts(counts: DataFrame, path: str) -> SearchIndex:
+def index_counts(
+    counts: DataFrame, path: str, *, buckets: int = BUCKETS, files: int | None = None
+) -> SearchIndex:
     """Write the index tables of ``counts(doc, term, tf)`` to ``path`` and read them back.
 
     The counts are written once and read three times, each time only the columns needed.
-    Postings and term statistics are ordered by term, so that a query reads only the row
-    groups of its terms; ordering postings by document within a term lets a frequent term
-    spread over many partitions.
+    Postings lie in ``buckets`` folders by term and in about ``files`` files beyond one per
+    folder (by default as many as there are shuffle partitions); choose both so that a file has
+    some hundred MB.  Postings and term statistics are ordered by term, so that a query reads only
+    the row groups of its terms; ordering postings by document within a term lets a frequent term
+    spread over many files.  The index replaces the one at ``path`` when all its tables are written.
     """
+    spark, version = counts.sparkSession, new_version(path)
     counts = stage(counts, "counts")
-    doc_lengths = store(document_lengths(counts), f"{path}/doc_lengths")
-    corpus = store(corpus_stats(doc_lengths).coalesce(1), f"{path}/corpus_stats")
+    doc_lengths = store(document_lengths(counts), f"{version}/doc_lengths")
+    corpus = store(corpus_stats(doc_lengths).coalesce(1), f"{version}/corpus_stats")
 
     n_docs = corpus.select("n_docs").scalar()
     frequencies = document_frequency(counts).withColumn("idf", bm25_idf(n_docs, F.col("df")))
     term_stats = store(
-        frequencies.repartitionByRange("term").sortWithinPartitions("term"), f"{path}/term_stats"
+        frequencies.repartitionByRange("term").sortWithinPartitions("term"), f"{version}/term_stats"
     )
 
     postings = join_per_key(counts, doc_lengths, "doc", "n_terms").filter(F.col("term").isNotNull())
-    postings = store(
-        postings.select("term", "doc", "tf", "dl")
-        .repartitionByRange("term", "doc")
-        .sortWithinPartitions("term", "doc"),
-        f"{path}/postings",
-    )
-    return SearchIndex(postings, doc_lengths, term_stats, corpus)
+    order = ("bucket", "term", "doc")
+    postings = postings.select("term", "doc", "tf", "dl", term_bucket(F.col("term"), buckets).alias("bucket"))
+    dealt = postings.repartitionByRange(files, *order) if files else postings.repartitionByRange(*order)
+    postings = store(dealt.sortWithinPartitions(*order), f"{version}/postings", ("bucket",))
+    release(counts)
+    publish(spark, path, version, buckets)
+    return SearchIndex(postings, doc_lengths, term_stats, corpus, buckets)

@@ -11,7 +11,7 @@ from lexspark.functions.weights import B, K1, bm25_term_score, length_coefficien
 from lexspark.operators.skew import join_per_key
 from lexspark.operators.topk import top_k, top_k_per_query
 from lexspark.session import stage
-from lexspark.sources.index_store import SearchIndex
+from lexspark.sources.index_store import SearchIndex, term_bucket
 
 
 def query_terms(queries: DataFrame, *, analyse: bool = True, stem: bool = False) -> DataFrame:
@@ -52,13 +52,16 @@ def term_scores(index: SearchIndex, terms: DataFrame, k1: float = K1, b: float =
 
     Query terms become one row per term, with the queries that hold it, and are joined to the
     postings in shares: a term's document frequency is the number of its postings, so a
-    frequent term does not fill a task, whatever the number of queries.
+    frequent term does not fill a task, whatever the number of queries.  Only the buckets that
+    hold a term are read; their numbers, fewer than the index has folders, go by the driver.
     """
     stats = index.term_stats.select("term", "idf", "df")
     terms = stage(terms, "query_terms")  # a filter by a stem would be a huge expression
     asked = terms.groupBy("term").agg(F.collect_list("query_id").alias("query_ids"))
     weighted = stage(asked.join(stats, "term"), "query_weights")
-    met = join_per_key(index.postings, weighted, "term", "df").withColumn("score", _score(index, k1, b))
+    buckets = weighted.select(term_bucket(F.col("term"), index.buckets).alias("bucket")).distinct().collect()
+    postings = index.postings.filter(F.col("bucket").isin([row.bucket for row in buckets]))
+    met = join_per_key(postings, weighted, "term", "df").withColumn("score", _score(index, k1, b))
     return met.select(F.explode("query_ids").alias("query_id"), "doc", "term", "score")
 
 
@@ -73,9 +76,12 @@ def score_text(
     """``(doc, score)`` of the documents that hold a word of the query ``text``."""
     query = index.postings.sparkSession.range(1).select(F.lit(text).alias("text"), F.lit(0).alias("query_id"))
     # the distinct words of one query, which the caller has typed
-    terms = sorted(row.term for row in query_terms(query, analyse=analyse, stem=stem).select("term").collect())
+    asked = query_terms(query, analyse=analyse, stem=stem)
+    asked = asked.select("term", term_bucket(F.col("term"), index.buckets).alias("bucket")).collect()
+    terms, buckets = sorted(row.term for row in asked), sorted({row.bucket for row in asked})
     stats = F.broadcast(index.term_stats.filter(_one_of(terms)).select("term", "idf"))
-    scores = index.postings.filter(_one_of(terms)).join(stats, "term").withColumn("score", _score(index, k1, b))
+    postings = index.postings.filter(F.col("bucket").isin(buckets)).filter(_one_of(terms))
+    scores = postings.join(stats, "term").withColumn("score", _score(index, k1, b))
     return scores.groupBy("doc").agg(F.sum("score").alias("score"))
 
 

@@ -34,9 +34,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as a Parquet table and read it back."""
-    df.write.mode("overwrite").parquet(path)
+def store(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as a Parquet table and read it back.  Columns to partition by come last."""
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -55,6 +55,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def release(*stages: DataFrame) -> None:
     """Delete the folders of staged tables that no later plan reads."""
     for df in stages:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.stage_path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, df.stage_path)
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever Spark's paths lead."""
+    files, path = _file_system(spark, folder)
+    files.delete(path, True)
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    files, path = _file_system(spark, folder)
+    return [f.getPath().getName() for f in files.listStatus(path) if f.isDirectory()]

@@ -1,29 +1,42 @@
-"""The index on disk: four Parquet tables, and a plain-text form for exchange."""
+"""The index on disk: four Parquet tables, and a plain-text form for exchange.
+
+A build writes its tables to a new folder of its own and then appends one row to ``published``,
+which names that folder.  Until then, and if a build fails, readers see the index before; an
+index may be rebuilt from its own tables.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.functions.weights import B, K1, length_coefficient
+from lexspark.session import remove, subfolders
 
 TABLES = ("postings", "doc_lengths", "term_stats", "corpus_stats")
+BUCKETS = 32
+_PUBLISHED = "at timestamp, version string, buckets int"
 
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """``postings(term, doc, tf, dl)`` in term order, ``doc_lengths(doc, dl, n_terms)``,
+    """``postings(term, doc, tf, dl, bucket)``, ``doc_lengths(doc, dl, n_terms)``,
     ``term_stats(term, df, idf)`` in term order, ``corpus_stats(n_docs, total_len, avg_len)``.
 
-    A posting carries the length of its document, so ranking needs no join by document.
+    A posting carries the length of its document, so ranking needs no join by document.  Postings
+    lie in ``buckets`` partition folders by a hash of the term, in term order in each, so that a
+    search opens the files of its terms' buckets only.
     """
 
     postings: DataFrame
     doc_lengths: DataFrame
     term_stats: DataFrame
     corpus_stats: DataFrame
+    buckets: int = BUCKETS
 
     def stat(self, name: str) -> Column:
         """A corpus statistic as a scalar subquery, evaluated once per query."""
@@ -35,8 +48,43 @@ class SearchIndex:
         return self.doc_lengths.select("doc", "dl", k.alias("k"))
 
 
+def term_bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def new_version(path: str) -> str:
+    """A folder for the tables of one build."""
+    return f"{path}/version-{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, path: str, version: str, buckets: int) -> None:
+    """Make the complete tables in the folder ``version`` the index at ``path``."""
+    row = spark.range(1, numPartitions=1).select(
+        F.current_timestamp().alias("at"),
+        F.lit(version.rsplit("/", 1)[1]).alias("version"),
+        F.lit(buckets).alias("buckets"),
+    )
+    row.write.mode("append").parquet(f"{path}/published")
+
+
+def _published(spark: SparkSession, path: str):
+    rows = spark.read.schema(_PUBLISHED).parquet(f"{path}/published")
+    return rows.agg(F.max_by(F.struct("version", "buckets"), F.struct("at", "version")).alias("last")).first().last
+
+
 def read_index(spark: SparkSession, path: str) -> SearchIndex:
-    return SearchIndex(*(spark.read.parquet(f"{path}/{name}") for name in TABLES))
+    """The index that was published last at ``path``."""
+    last = _published(spark, path)
+    return SearchIndex(*(spark.read.parquet(f"{path}/{last.version}/{name}") for name in TABLES), last.buckets)
+
+
+def drop_old_versions(spark: SparkSession, path: str) -> None:
+    """Delete the tables of all builds at ``path`` but the one published last: those before it, and
+    those that failed.  Not while another build or a reader of an older version runs."""
+    last = _published(spark, path).version
+    for folder in subfolders(spark, path):
+        if folder.startswith("version-") and folder != last:
+            remove(spark, f"{path}/{folder}")
 
 
 _ESCAPES = {"\t": "\\t", "\r": "\\r", "\n": "\\n"}

@@ -7,10 +7,12 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lexspark import build_index, read_wiki, search, table_chunks, tfidf, untitled_lines, wiki_chunks
+from lexspark import build_index, read_index, read_wiki, search, search_many, table_chunks, tfidf, untitled_lines, wiki_chunks
 from lexspark.operators import skew
+from lexspark.plans.indexing import index_counts
 from lexspark.plans.ranking import score_text
 from lexspark.session import SCRATCH_SETTING, scratch_dir
+from lexspark.sources.index_store import drop_old_versions
 from lexspark.sources.stopwords import read_stopwords
 
 WORDS = "the of cat dog running house light [[link relational zebra".split()
@@ -89,11 +91,51 @@ def test_search_reads_only_its_terms_and_shuffles_once(index):
     text = plan(search(index, "zebra dog"))
     scans = [line for line in text.splitlines() if "PushedFilters" in line and "tf" in line]
     assert scans and all("EqualTo(term,zebra)" in line for line in scans)
+    assert all("PartitionFilters: [isnotnull(bucket" in line or "PartitionFilters: [bucket" in line for line in scans)
     physical = text.split("== Physical Plan ==")[1]
     assert physical.count("Exchange hashpartitioning") == 1
     assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
 
 
+def test_many_terms_read_their_buckets_and_are_dealt_in_shares(spark, documents, tmp_path):
+    index = build_index(table_chunks(documents, "id", "text"), str(tmp_path), buckets=64)
+    words = [f"w{i}" for i in range(201)]
+    few = plan(score_text(index, "zebra " + " ".join(words))).split("== Physical Plan ==")[1]
+    assert "PartitionFilters: [bucket" in few and "EqualTo(term,w1)" in few  # the rest is cut off in print
+    queries = spark.createDataFrame([(0, "zebra"), (1, "cat dog " + " ".join(words))], "query_id int, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        physical = plan(search_many(index, queries)).split("== Physical Plan ==")[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scans = [line for line in physical.splitlines() if "FileScan" in line and "tf#" in line]
+    assert scans and all("PartitionFilters: [bucket" in line for line in scans)
+    for line in physical.splitlines():
+        if "Exchange hashpartitioning(term" in line:
+            assert "__share" in line
+    assert search_many(index, queries.filter("false")).isEmpty()
+    assert search(index, "").isEmpty()
+
+
+def test_a_failed_build_leaves_the_index_as_it_was(spark, documents, tmp_path):
+    path = str(tmp_path / "index")
+    chunks = table_chunks(documents, "id", "text")
+    built = build_index(chunks, path, buckets=3)
+    before = sorted(map(tuple, read_index(spark, path).postings.collect()))
+    broken = built.postings.select("doc", "term", F.when(F.col("doc") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("tf")).cast("long").alias("tf"))
+    with pytest.raises(Exception, match="lost"):
+        index_counts(broken, path)
+    assert read_index(spark, path).buckets == 3
+    assert sorted(map(tuple, read_index(spark, path).postings.collect())) == before
+    again = read_index(spark, path).postings.select("doc", "term", "tf").filter("doc < 50")
+    index_counts(again, path, files=2)
+    drop_old_versions(spark, path)
+    assert len(list((tmp_path / "index").glob("version-*"))) == 1
+    assert read_index(spark, path).corpus_stats.first().n_docs == 50
+    assert search(read_index(spark, path), "zebra dog").count() == 10
+
+
 def test_text_is_split_once(documents):
     from lexspark.operators.terms import tokens
 
