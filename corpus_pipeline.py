@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lexspark.llm import decontamination, minhash, queries, surrogates, toxicity, word_bpe
 from lexspark.session import stage
 
-ORACLE_SQL = None  # a trained net, signatures and keyed hashes have no SQL; see tests/llm/test_pipeline.py
+ORACLE_SQL = None  # a trained net, signatures and keyed hashes have no SQL; see tests/llm/test_llm.py
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
