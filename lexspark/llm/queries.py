@@ -59,7 +59,7 @@ def op4_token_file(spark, sf_dir):
 
 
 def op5_repeated_passages(spark, sf_dir):
-    return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"), kinds=repeats.ALL_KINDS)
 
 
 def op6_toxicity(spark, sf_dir):

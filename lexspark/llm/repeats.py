@@ -3,9 +3,11 @@
 A text is cut into sentences: at line breaks, and after words that end in ``. ! ? : ;`` or
 an ideographic full stop.  From each sentence on, the shortest run of whole sentences that has
 ``min_words`` words or more is a unit, so a repeated passage is found wherever it lies in a line
-or a paragraph, and short phrases that are common by nature are no units.  Units are normalised (A-Z
-lower-cased, white space ignored) and hashed to 64 bits; any one of them equals one of 10**12
-others by chance with a probability of 5 in 10**8.
+or a paragraph, and short phrases that are common by nature are no units.  With ``"lines"`` among
+the kinds, each line and each paragraph (lines up to a blank one) is a unit of its own as well,
+whatever its number of words.  Units are normalised (A-Z lower-cased, white space ignored) and
+hashed to 64 bits; any one of them equals one of 10**12 others by chance with a probability of 5 in
+10**8.
 
 Digests are grouped globally.  The occurrence in the document of the smallest id stays, in it the
 first one; the words of all others are removed.
@@ -26,6 +28,8 @@ from lexspark.operators.skew import join_per_key
 from lexspark.session import stage
 
 MIN_WORDS = 12
+SENTENCES = ("sentences",)
+ALL_KINDS = ("sentences", "lines")
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?:;")] = True
 _FACTOR = 0xD1342543DE82EF95
@@ -53,12 +57,9 @@ def sentence_ends(words: Words) -> np.ndarray:
     return marks
 
 
-def units(words: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(text, first word, end word, digest)`` of the units."""
-    ends = np.flatnonzero(sentence_ends(words)) + 1
-    if not len(ends):
-        none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64)
+def _runs(words: Words, ends: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(first word, end word)``: from each end on, the shortest run of ``min_words`` or more
+    that stops at an end of the same text."""
     starts = np.concatenate(([0], ends[:-1]))
     until = np.searchsorted(ends, starts + min_words)
     fits = until < len(ends)
@@ -66,19 +67,53 @@ def units(words: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     stop = ends[until]
     text = np.searchsorted(words.first, starts, "right") - 1
     fits &= stop <= words.first[text + 1]
-    starts, stop, text = starts[fits], stop[fits], text[fits]
+    return starts[fits], stop[fits]
+
+
+def _blocks(words: Words, breaks: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(first word, end word)`` of what lies between so many line breaks or more: 1 for lines,
+    2 for paragraphs.  A carriage return before a line feed is no break of its own."""
+    data = words.data
+    marks = data == 0x0A
+    marks[:-1] |= (data[:-1] == 0x0D) & (data[1:] != 0x0A)
+    marks[-1:] |= data[-1:] == 0x0D
+    before = np.concatenate(([0], np.cumsum(marks)))
+    last = np.zeros(len(words.end), bool)
+    last[:-1] = before[words.start[1:]] - before[words.end[:-1]] >= breaks
+    last[words.first[1:][np.diff(words.first) > 0] - 1] = True
+    ends = np.flatnonzero(last) + 1
+    return np.concatenate(([0], ends[:-1])), ends
+
+
+def units(
+    words: Words, min_words: int, kinds: tuple[str, ...] = SENTENCES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(text, first word, end word, digest)`` of the units, each span once."""
+    if not len(words.end):
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(0, np.uint64)
+    found = []
+    if "sentences" in kinds:
+        found.append(_runs(words, np.flatnonzero(sentence_ends(words)) + 1, min_words))
+    if "lines" in kinds:
+        found += [_blocks(words, 1), _blocks(words, 2)]
+    size = len(words.end) + 1
+    starts, stop = np.divmod(np.unique(np.concatenate([a * size + b for a, b in found])), size)
+    text = np.searchsorted(words.first, starts, "right") - 1
     hashes = words.hashes()
     sums = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(hashes * _powers(_FACTOR, len(hashes)), out=sums[1:])
     return text, starts, stop, mix((sums[stop] - sums[starts]) * _powers(_FACTOR_INVERSE, len(hashes) + 1)[starts])
 
 
-def unit_batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+def unit_batches(
+    batches: Iterator[pa.RecordBatch], min_words: int, kinds: tuple[str, ...] = SENTENCES
+) -> Iterator[pa.RecordBatch]:
     """``(doc_id, start, end, digest, first)``: byte offsets of units, and whether a unit is the
     first of its digest in its text."""
     for batch in batches:
         for at, words in word_groups(batch.column(1)):
-            text, first, stop, digest = units(words, min_words)
+            text, first, stop, digest = units(words, min_words, kinds)
             base = words.offset[text]
             order = np.lexsort((first, digest, text))
             repeated = np.zeros(len(text), bool)
@@ -134,9 +169,12 @@ def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", *, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", *, min_words: int = MIN_WORDS, kinds: tuple[str, ...] = SENTENCES
+) -> DataFrame:
     """``(doc_id, text, removed, kept)`` for each row of ``docs``: the text without repeated units,
     and the character offsets, in the original text, of what was removed and of what stays.
+    ``kinds`` says what is a unit; ``ALL_KINDS`` is the whole job.
 
     Null texts stay null and empty ones empty, without spans.  Rows without id are returned as they
     are and are no occurrence.  Rows that repeat an id are one document: their units do not repeat
@@ -148,7 +186,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", *, m
     ship(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = "doc_id long, start long, end long, digest long, first boolean"
-    found = rows.filter("doc_id is not null").mapInArrow(lambda batches: unit_batches(batches, min_words), schema)
+    found = rows.filter("doc_id is not null").mapInArrow(lambda batches: unit_batches(batches, min_words, kinds), schema)
     groups = found.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n_rows"))
     shared = stage(groups.filter("n_rows > 1"), "digests")
     later = join_per_key(found, shared, "digest", "n_rows").filter("doc_id <> first_doc or not first")

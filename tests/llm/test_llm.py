@@ -312,6 +312,34 @@ def test_repeats_of_odd_rows(spark, odd, empty):
     assert repeats.remove_repeats(empty).count() == 0
 
 
+def test_repeated_lines_of_any_length(spark):
+    """Short lines, lines of scripts without blanks, and a short paragraph broken otherwise."""
+    texts = [
+        "Share this page\nBody one.\n\nin two\nlines here",
+        "Body two.\nSHARE  this page\r\n\r\nin two lines\nhere\r\n\r\nend",
+        "漢字かな交じり文\nx",
+        "y\n漢字かな交じり文\nx y",
+    ]
+    got = {r.doc_id: r for r in repeats.remove_repeats(table(spark, texts), kinds=repeats.ALL_KINDS).collect()}
+    assert [got[i].text for i in range(4)] == [texts[0], "Body two.\n\r\n\r\n\r\n\r\nend", texts[2], "y\n\nx y"]
+    assert [(s.start, s.end) for s in got[3].removed] == [(2, 10)]
+
+
+def test_repeats_query_takes_all_kinds(spark):
+    name = "op5_repeated_passages"
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kept = {r.doc_id: r.text for r in queries.queries()[name](spark, SF_DIR).collect()}
+    seen = collections.defaultdict(set)
+    for r in docs.collect():
+        for line in re.split("[\r\n]+", r.text or ""):
+            own = " ".join(line.translate(A_TO_Z).split())
+            if own:
+                seen[own].add(r.doc_id)
+    again = [(own, d) for own, ids in seen.items() if len(ids) > 1 for d in ids if d != min(ids)]
+    lines = {d: {" ".join(x.translate(A_TO_Z).split()) for x in re.split("[\r\n]+", kept[d])} for d in {d for _, d in again}}
+    assert again and not [own for own, d in again if own in lines[d]]
+
+
 # ---------------------------------------------------------------- chat
 
 
