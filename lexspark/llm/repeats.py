@@ -5,12 +5,18 @@ an ideographic full stop.  From each sentence on, the shortest run of whole sent
 ``min_words`` words or more is a unit, so a repeated passage is found wherever it lies in a line
 or a paragraph, and short phrases that are common by nature are no units.  With ``"lines"`` among
 the kinds, each line and each paragraph (lines up to a blank one) is a unit of its own as well,
-whatever its number of words.  Units are normalised (A-Z lower-cased, white space ignored) and
+whatever its number of words.  With ``"pieces"``, units also begin and end where the words
+themselves say, so a passage is found that has no sentence marks or lies inside a line or sentence:
+a cut is made between two words whose joint hash is the least in a window of ``WINDOW`` places,
+and from each cut on, the shortest run of ``min_words`` words or more up to a cut is a unit, of
+``min_words + WINDOW - 1`` at most.  For these, each character of a script without blanks (Chinese,
+Japanese, Thai, Lao) counts as half a word.  Units are normalised (A-Z lower-cased, white space ignored) and
 hashed to 64 bits; any one of them equals one of 10**12 others by chance with a probability of 5 in
 10**8.
 
 Digests are grouped globally.  The occurrence in the document of the smallest id stays, in it the
-first one; the words of all others are removed.
+first one; the words of all others are removed.  With pieces, occurrences in that document that
+overlap the first one stay too, so a run of one word does not cut itself short.
 """
 
 from __future__ import annotations
@@ -29,7 +35,8 @@ from lexspark.session import stage
 
 MIN_WORDS = 12
 SENTENCES = ("sentences",)
-ALL_KINDS = ("sentences", "lines")
+ALL_KINDS = ("sentences", "lines", "pieces")
+WINDOW = 8
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?:;")] = True
 _FACTOR = 0xD1342543DE82EF95
@@ -57,11 +64,12 @@ def sentence_ends(words: Words) -> np.ndarray:
     return marks
 
 
-def _runs(words: Words, ends: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(first word, end word)``: from each end on, the shortest run of ``min_words`` or more
-    that stops at an end of the same text."""
+def _runs(words: Words, ends: np.ndarray, least: int, upto: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``(first word, end word)``: from each end on, the shortest run of ``least`` words or more
+    that stops at an end of the same text.  ``upto`` has the running sums of other lengths."""
     starts = np.concatenate(([0], ends[:-1]))
-    until = np.searchsorted(ends, starts + min_words)
+    upto = np.arange(len(words.end) + 1) if upto is None else upto
+    until = np.searchsorted(upto[ends], upto[starts] + least)
     fits = until < len(ends)
     until[~fits] = 0
     stop = ends[until]
@@ -70,6 +78,54 @@ def _runs(words: Words, ends: np.ndarray, min_words: int) -> tuple[np.ndarray, n
     return starts[fits], stop[fits]
 
 
+def _split(words: Words) -> tuple[Words, np.ndarray]:
+    """Words with each character of a script without blanks as one of its own, and which of them
+    are such characters.  Thai and Lao vowel signs and tone marks stay with their letter."""
+    data, n = words.data, len(words.data)
+    lone = (data >= 0xE3) & (data <= 0xE9)
+    if not lone.any() and not (data == 0xE0).any() and not (data >= 0xEF).any():
+        return words, np.zeros(len(words.end), bool)
+    second, third = np.zeros(n, np.uint8), np.zeros(n, np.uint8)
+    second[:-1], third[:-2] = data[1:], data[2:]
+    thai = (data == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    odd = second % 2 == 1
+    sign = thai & ((~odd & ((third == 0xB1) | ((third >= 0xB4) & (third <= 0xBC)))) | (odd & (third >= 0x87) & (third <= 0x8E)))
+    lone |= thai | ((data == 0xEF) & (second >= 0xBC) & (second <= 0xBD)) | ((data == 0xF0) & (second >= 0xA0) & (second <= 0xB3))
+    chars = np.flatnonzero((data & 0xC0) != 0x80)
+    alone, joins = lone[chars], sign[chars]
+    new = alone & ~joins
+    new[1:] |= alone[:-1] & ~joins[1:]
+    word = np.searchsorted(words.start, chars, "right") - 1
+    new &= (word >= 0) & (chars < words.end[np.maximum(word, 0)])
+    start = np.union1d(words.start, chars[new])
+    end = np.minimum(np.append(start[1:], n), words.end[np.searchsorted(words.start, start, "right") - 1])
+    return Words(data, words.offset, start, end, np.searchsorted(start, words.offset), words._sums), lone[start]
+
+
+def _over_window(values: np.ndarray, pick, window: int) -> np.ndarray:
+    """The least or greatest of each ``window`` values that follow each other."""
+    out = values[: len(values) - window + 1].copy()
+    for j in range(1, window):
+        pick(out, values[j : len(values) - window + 1 + j], out=out)
+    return out
+
+
+def _piece_ends(words: Words, hashes: np.ndarray) -> np.ndarray:
+    """The ends of what the words themselves cut.  Windows lie within one text, so a run of words
+    is cut alike wherever it stands, but for ``WINDOW`` places at its ends."""
+    last = np.zeros(len(hashes), bool)
+    last[words.first[1:][np.diff(words.first) > 0] - 1] = True
+    joint = np.zeros(len(hashes), np.uint64)
+    joint[:-1] = mix(hashes[:-1] * np.uint64(3) + mix(hashes[1:])) | np.uint64(1)
+    if len(hashes) >= WINDOW:
+        least = _over_window(joint, np.minimum, WINDOW)
+        crossed = np.concatenate(([0], np.cumsum(last)))
+        least[crossed[WINDOW:] > crossed[:-WINDOW]] = 0
+        none = np.zeros(WINDOW - 1, np.uint64)
+        last |= _over_window(np.concatenate((none, least, none)), np.maximum, WINDOW) == joint
+    return np.flatnonzero(last) + 1
+
+
 def _blocks(words: Words, breaks: int) -> tuple[np.ndarray, np.ndarray]:
     """``(first word, end word)`` of what lies between so many line breaks or more: 1 for lines,
     2 for paragraphs.  A carriage return before a line feed is no break of its own."""
@@ -85,47 +141,66 @@ def _blocks(words: Words, breaks: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], ends[:-1])), ends
 
 
+def _digests(words: Words, starts: np.ndarray, stop: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * _powers(_FACTOR, len(hashes)), out=sums[1:])
+    return mix((sums[stop] - sums[starts]) * _powers(_FACTOR_INVERSE, len(hashes) + 1)[starts])
+
+
 def units(
     words: Words, min_words: int, kinds: tuple[str, ...] = SENTENCES
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(text, first word, end word, digest)`` of the units, each span once."""
+    """``(text, start, end, digest)`` of the units, each span of bytes of the group once."""
+    none = np.zeros(0, np.int64)
     if not len(words.end):
-        none = np.zeros(0, np.int64)
         return none, none, none, np.zeros(0, np.uint64)
-    found = []
+    spans = []
     if "sentences" in kinds:
-        found.append(_runs(words, np.flatnonzero(sentence_ends(words)) + 1, min_words))
+        spans.append(_runs(words, np.flatnonzero(sentence_ends(words)) + 1, min_words))
     if "lines" in kinds:
-        found += [_blocks(words, 1), _blocks(words, 2)]
-    size = len(words.end) + 1
-    starts, stop = np.divmod(np.unique(np.concatenate([a * size + b for a, b in found])), size)
-    text = np.searchsorted(words.first, starts, "right") - 1
-    hashes = words.hashes()
-    sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * _powers(_FACTOR, len(hashes)), out=sums[1:])
-    return text, starts, stop, mix((sums[stop] - sums[starts]) * _powers(_FACTOR_INVERSE, len(hashes) + 1)[starts])
+        spans += [_blocks(words, 1), _blocks(words, 2)]
+    found = [(words, *(np.concatenate(x) for x in zip(*spans)), words.hashes())] if spans else []
+    if "pieces" in kinds:
+        split, lone = _split(words)
+        hashes = split.hashes()
+        upto = np.concatenate(([0], np.cumsum(2 - lone)))
+        found.append((split, *_runs(split, _piece_ends(split, hashes), 2 * min_words, upto), hashes))
+    start = np.concatenate([w.start[a] if len(a) else none for w, a, _, _ in found])
+    end = np.concatenate([w.end[b - 1] if len(b) else none for w, _, b, _ in found])
+    digest = np.concatenate([_digests(*f) for f in found])
+    # a span that is two units at once has one digest, unless characters count in one of them
+    order = np.lexsort((digest, end, start))
+    start, end, digest = start[order], end[order], digest[order]
+    new = np.ones(len(start), bool)
+    new[1:] = (np.diff(start) > 0) | (np.diff(end) > 0) | (digest[1:] != digest[:-1])
+    text = np.searchsorted(words.offset, start[new], "right") - 1
+    return text, start[new], end[new], digest[new]
 
 
 def unit_batches(
     batches: Iterator[pa.RecordBatch], min_words: int, kinds: tuple[str, ...] = SENTENCES
 ) -> Iterator[pa.RecordBatch]:
     """``(doc_id, start, end, digest, first)``: byte offsets of units, and whether a unit is the
-    first of its digest in its text."""
+    first of its digest in its text or, with pieces, overlaps the first."""
     for batch in batches:
         for at, words in word_groups(batch.column(1)):
-            text, first, stop, digest = units(words, min_words, kinds)
+            text, start, end, digest = units(words, min_words, kinds)
             base = words.offset[text]
-            order = np.lexsort((first, digest, text))
+            order = np.lexsort((start, digest, text))
             repeated = np.zeros(len(text), bool)
             if len(order):
                 a, b = order[1:], order[:-1]
                 repeated[a] = (text[a] == text[b]) & (digest[a] == digest[b])
+            if "pieces" in kinds and len(order):
+                firsts = np.flatnonzero(~repeated[order])
+                own = order[firsts[np.cumsum(~repeated[order]) - 1]]
+                repeated[order] &= start[order] >= end[own]
             ids = batch.column(0).slice(at, words.texts).take(pa.array(text))
             yield pa.RecordBatch.from_arrays(
                 [
                     ids,
-                    pa.array(words.start[first] - base if len(first) else first, pa.int64()),
-                    pa.array(words.end[stop - 1] - base if len(stop) else stop, pa.int64()),
+                    pa.array(start - base, pa.int64()),
+                    pa.array(end - base, pa.int64()),
                     pa.array(digest.view(np.int64)),
                     pa.array(~repeated),
                 ],

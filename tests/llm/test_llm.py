@@ -325,6 +325,32 @@ def test_repeated_lines_of_any_length(spark):
     assert [(s.start, s.end) for s in got[3].removed] == [(2, 10)]
 
 
+def test_repeated_runs_without_sentence_marks(spark):
+    """Runs of 50 words or 80 characters inside lines lose most of themselves, and nothing else
+    is lost; a run of one word keeps its first twelve."""
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(5_000)]
+    signs = [chr(c) for c in (*range(0x4E00, 0x5E00), *range(0x0E01, 0x0E2F))]
+    texts, runs = [], []
+    for glue, letters, n in [(" ", vocabulary, 50)] * 40 + [("", signs, 80)] * 20:
+        own = lambda k: glue.join(rng.choices(letters, k=k))
+        runs.append(own(n))
+        for _ in range(2):
+            texts.append(glue.join([own(rng.randint(30, 60)), runs[-1], own(rng.randint(30, 60))]))
+    got = {r.doc_id: r for r in repeats.remove_repeats(table(spark, texts), kinds=repeats.ALL_KINDS).collect()}
+    for i, run in enumerate(runs):
+        assert got[2 * i].text == texts[2 * i]
+        text = texts[2 * i + 1]
+        cut = got[2 * i + 1].removed
+        assert all(text.index(run) <= s.start and s.end <= text.index(run) + len(run) for s in cut)
+        assert sum(s.end - s.start for s in cut) > len(run) / 3
+    lost = sum(s.end - s.start for r in got.values() for s in r.removed)
+    assert lost > 0.6 * sum(map(len, runs))
+    same = [" ".join(["a"] * 40), "b " + " ".join(["a"] * 13)]
+    got = {r.doc_id: r.text for r in repeats.remove_repeats(table(spark, same), kinds=repeats.ALL_KINDS).collect()}
+    assert len(got[0].split()) == 12 and got[1].split() == ["b"]
+
+
 def test_repeats_query_takes_all_kinds(spark):
     name = "op5_repeated_passages"
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
