@@ -1,7 +1,8 @@
 """Personal data replaced by surrogates of the same type, format, script and gender.
 
-Entities are found by patterns: e-mail and IPv4 addresses, phone, card, social security and
-account numbers, access tokens, and names after a title.  Each distinct entity gets one surrogate
+Entities are found by patterns: e-mail, IPv4 and IPv6 addresses, phone, card, social security and
+account numbers, access tokens, and names after a title.  Words of a name that is found are
+replaced wherever else they stand in the same text, too.  Each distinct entity gets one surrogate
 in the whole corpus, made from a keyed hash, so the same entity reads the same everywhere and
 nobody without the key can go back.  An entity is known by a canonical form (lower case, numbers
 without their punctuation), and each occurrence gets the surrogate in its own punctuation and
@@ -25,20 +26,34 @@ from lexspark.session import release, stage
 
 # What entities look like.
 TITLES = {
-    "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин"],
-    "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Signora", "Госпожа"],
-}
+    "m": ["Mr", "Mister", "Sir", "Lord", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин"],
+    "f": [
+        "Mrs", "Ms", "Miss", "Madam", "Lady", "Dame", "Frau", "Fräulein", "Madame", "Mme", "Mademoiselle", "Mlle",
+        "Señora", "Sra", "Señorita", "Srta", "Signora", "Signorina", "Госпожа",
+    ],
+    "": ["Dr", "Doctor", "Prof", "Professor", "Docteur", "Доктор", "Профессор"],
+}
+ALL_TITLES = [title for titles in TITLES.values() for title in titles]
+_TITLED = rf"(?:(?:{'|'.join(ALL_TITLES)})\.? )++"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-_NAME = r"\p{Lu}\p{Ll}[\p{L}'’-]*+(?!\d)"
+_HEX = r"[0-9A-Fa-f]{1,4}"
+_NAME = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}\p{L}*+(?:[-'’](?!s(?!\p{L}))\p{L}++)*+(?!\d)"
+_INITIALS = r"(?:\p{Lu}\.-?){1,3}+"
+_PARTICLES = r"(?:(?:van|von|vom|zu|zur|ter|ten|de|der|den|del|della|di|da|dos|du|la|le|bin|ibn|al|y) ){0,3}+"
+_NATIONAL = (
+    r"(?<![\p{L}\d+])(?<!\d[.-])(?:(?:1[-. ])?\d{3}(?<gap>[-. ])\d{3}\k<gap>\d{4}"
+    r"|0\d{1,4}[ -]\d{3,4}[ -]\d{3,4}|0\d{2,4}[ /-]\d{5,8}|0\d(?<two>[ .-])\d\d(?:\k<two>\d\d){3})(?!\d|[.-]\d)"
+)
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*+(?<=\.\p{L}{2,24})",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\) ?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){3,4}(?!\d)",
+    "ip6": rf"(?<![\p{{L}}\d:.])(?=[A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{0,6}})?::(?:{_HEX}(?::{_HEX}){{0,6}})?)(?![\p{{L}}\d:]|\.\d)",
+    "phone": rf"(?<![\d+])(?:\+\d{{1,3}}[ .-]?)?\(\d{{2,4}}\) ?\d{{3,4}}[ .-]?\d{{3,4}}(?!\d)|(?<![\d+])\+\d{{1,3}}(?:[ .-]?\d{{2,4}}){{3,4}}(?!\d)|{_NATIONAL}",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<![\p{L}\d])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\p{L}\d])",
-    "token": r"(?<![\p{L}\d])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\d])",
+    "card": r"(?<![\p{L}\d])(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}(?<by>[ -])\d{6}\k<by>\d{4,5}|[2-6]\d{12,14})(?![\p{L}\d])",
+    "token": r"(?<![\p{L}\d])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![\p{L}\d])",
     "account": r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])",
-    "name": rf"(?<![\p{{L}}\d])(?:{'|'.join(TITLES['m'] + TITLES['f'])})\.? {_NAME}(?: {_NAME})?",
+    "name": rf"(?<![\p{{L}}\d]){_TITLED}(?:{_INITIALS} ?){{0,3}}{_PARTICLES}{_NAME}(?: (?:{_INITIALS} ){{0,3}}{_PARTICLES}{_NAME}){{0,3}}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values()).replace("([ -]?)", "(?<cut>[ -]?)").replace(r"\1", r"\k<cut>")
 TRIES_BESIDE_ENTITIES, TRIES = 12, 40
@@ -52,7 +67,7 @@ _SCRIPTS = {  # letters, syllables, endings of given names
 def may_hold(text: Column) -> Column:
     """A quick test that all texts with an entity pass: a digit, an at sign or a title."""
     found = text.rlike("[0-9@]")
-    for title in TITLES["m"] + TITLES["f"]:
+    for title in ALL_TITLES:
         found = found | text.contains(title + " ") | text.contains(title + ". ")
     return found
 
@@ -70,15 +85,15 @@ def _type(occurrence: Column) -> Column:
 
 
 def _words(occurrence: Column) -> Column:
-    """The words of a name after its title."""
-    return F.slice(F.split(occurrence, " "), 2, 2)
+    """The words of a name after its titles; initials with a point are words of their own."""
+    return F.split(F.regexp_replace(F.regexp_replace(occurrence, f"^{_TITLED}", ""), r"\.(?=\p{Lu}['’\p{Ll}])", ". "), " ")
 
 
 def parts(occurrence: Column, kind: Column) -> Column:
     """The entities in an occurrence, ``(type, canonical)``: one, or the words of a name."""
-    title = F.regexp_replace(F.split(occurrence, " ")[0], r"\.", "")
-    given = F.when(title.isin(TITLES["f"]), "given_f").otherwise("given_m")
-    words = F.transform(_words(occurrence), F.lower)
+    titles = F.regexp_extract(occurrence, f"^{_TITLED}", 0)
+    given = F.when(titles.rlike(rf"(?:^| )(?:{'|'.join(TITLES['f'])})\.? "), "given_f").otherwise("given_m")
+    words = _words(occurrence)
 
     def entity(type_: Column, canonical: Column) -> Column:
         return F.struct(type_.alias("type"), canonical.alias("canonical"))
@@ -88,8 +103,18 @@ def parts(occurrence: Column, kind: Column) -> Column:
     ).otherwise(F.lower(occurrence))
     return (
         F.when(kind != "name", F.array(entity(kind, plain)))
-        .when(F.size(words) == 1, F.array(entity(F.lit("surname"), words[0])))
-        .otherwise(F.array(entity(given, words[0]), entity(F.lit("surname"), words[1])))
+        .otherwise(
+            F.transform(
+                words,
+                lambda word, i: entity(
+                    F.when(word.contains("."), "initial")
+                    .when(~F.substring(word, 1, 1).rlike(r"\p{Lu}"), "particle")
+                    .when(i == F.size(words) - 1, "surname")
+                    .otherwise(given),
+                    F.lower(word),
+                ),
+            )
+        )
     )
 
 
@@ -148,6 +173,9 @@ def surrogate(kind: Column, canonical: Column, key: str, attempt: int) -> Column
     card = F.concat(
         F.substring(card, F.lit(1), size - 1), F.pmod(_digit_sum(canonical) - _digit_sum(rest), F.lit(10)).cast("string")
     )
+    hexadecimal = lambda c, i: F.when(c.rlike(r"\d"), _pick("0123456789", _number(digest, i))).otherwise(_pick("abcdef", _number(digest, i)))
+    local = F.when(canonical.rlike("^(?:fe80|f[cd]..):"), 4).otherwise(1)
+    ip6 = joined(lambda c, i: F.when((i < local) & (F.instr(canonical, ":") > local) | (c == ":"), c).otherwise(hexadecimal(c, i)))
     octets = F.split(canonical, r"\.")
     private = F.when(canonical.rlike(r"^(?:10|127)\."), 1).when(
         canonical.rlike(r"^(?:192\.168|172\.(?:1[6-9]|2\d|3[01]))\."), 2
@@ -172,13 +200,13 @@ def surrogate(kind: Column, canonical: Column, key: str, attempt: int) -> Column
     return (
         F.when(kind == "email", joined(mail))
         .when(kind == "ip", ip)
+        .when(kind == "ip6", ip6)
         .when(kind == "card", card)
         .when(kind == "phone", kept(1))
         .when(kind == "account", kept(2))
-        .when(kind == "token", joined(
-            lambda c, i: F.when(c.rlike(r"\d"), _pick("0123456789", _number(digest, i))).otherwise(_pick("abcdef", _number(digest, i)))
-        ))
-        .when(kind == "ssn", kept(0))
+        .when(kind == "token", joined(hexadecimal))
+        .when(kind.isin("ssn", "initial"), kept(0))
+        .when(kind == "particle", canonical)
         .when(canonical.rlike(r"\p{IsCyrillic}"), name("cyrillic"))
         .otherwise(name("latin"))
     )
@@ -201,10 +229,17 @@ def _rendered(occurrence: Column, kind: Column, found: Column) -> Column:
     filled = F.aggregate(
         _characters(occurrence), F.struct(F.lit(1).alias("i"), F.lit("").alias("out")), step, lambda s: s["out"]
     )
-    title = F.substring_index(occurrence, " ", 1)
+    titles = F.regexp_extract(occurrence, f"^({_TITLED})", 1)
+    words = F.zip_with(
+        found,
+        _words(occurrence),
+        lambda s, word: F.when(word.contains("."), F.upper(s)).when(F.substring(word, 1, 1).rlike(r"\p{Lu}"), F.initcap(s)).otherwise(s),
+    )
+    name, glued = F.array_join(words, " "), ~F.regexp_replace(occurrence, f"^{_TITLED}", "").contains(". ")
     return (
         F.when(kind == "ip", surrogate_)
-        .when(kind == "name", F.concat_ws(" ", title, F.array_join(F.transform(found, F.initcap), " ")))
+        .when(kind == "token", F.when(occurrence.rlike("[A-F]"), F.upper(surrogate_)).otherwise(surrogate_))
+        .when(kind == "name", F.concat(titles, F.when(glued, F.replace(name, F.lit(". "), F.lit("."))).otherwise(name)))
         .otherwise(filled)
     )
 
@@ -216,6 +251,11 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     and not taken before; the rest try again.  After ``TRIES_BESIDE_ENTITIES`` rounds (a form with
     more entities than unused numbers) an entity's form may be used; after ``TRIES`` it is an error.
     """
+    # these are no entities by themselves: no two need differ
+    free = F.col("type").isin("initial", "particle")
+    plain = entities.filter(free)
+    plain = plain.select("type", "canonical", surrogate(F.col("type"), F.col("canonical"), key, 0).alias("surrogate"), "n_rows")
+    entities = entities.filter(~free)
     taken, pending = None, entities
     for attempt in range(TRIES):
         made = pending.withColumn("surrogate", surrogate(F.col("type"), F.col("canonical"), key, attempt))
@@ -235,7 +275,7 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         pending = stage(left, "pending")
         release(made)
         if pending.isEmpty():
-            return taken
+            return taken.unionByName(plain)
     raise ValueError("an entity type has more entities than its form has surrogates")
 
 
@@ -260,17 +300,27 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     entities = split_up.groupBy("entity").agg(F.count("*").alias("n_rows")).select("entity.*", "n_rows")
     assigned = assign(stage(entities, "entities"), key)
     assigned = assigned.select(F.struct("type", "canonical").alias("entity"), "surrogate", "n_rows")
-    with_surrogate = join_per_key(split_up, assigned, "entity", "n_rows")
+    with_surrogate = stage(join_per_key(split_up, assigned, "entity", "n_rows"), "rendered_parts")
     in_order = F.array_sort(F.collect_list(F.struct("at", "surrogate")))["surrogate"]
     rendered = with_surrogate.groupBy("key", "occurrence", "kind").agg(in_order.alias("found"))
-    pair = F.struct("occurrence", _rendered(F.col("occurrence"), F.col("kind"), F.col("found")).alias("by"))
-    per_text = rendered.groupBy("key").agg(F.map_from_entries(F.collect_list(pair)).alias("by"))
+    rendered = rendered.select("key", "occurrence", _rendered(F.col("occurrence"), F.col("kind"), F.col("found")).alias("by"), F.lit(False).alias("bare"))
+    # a name's words, where they stand alone in its text; a surname goes before a given name
+    word = F.get(_words(F.col("occurrence")), F.col("at"))
+    alone = with_surrogate.filter("entity.type in ('surname', 'given_m', 'given_f')").select(
+        "key", word.alias("occurrence"), F.struct(F.col("entity.type") != "surname", F.initcap("surrogate").alias("by")).alias("by")
+    )
+    alone = alone.groupBy("key", "occurrence").agg(F.min("by")["by"].alias("by"), F.lit(True).alias("bare"))
+    pairs = F.map_from_entries(F.collect_list(F.struct("occurrence", "by")))
+    names = F.array_join(F.sort_array(F.collect_list(F.when(F.col("bare"), F.col("occurrence"))), asc=False), "|")
+    per_text = rendered.unionByName(alone).groupBy("key").agg(pairs.alias("by"), names.alias("names"))
     n_rows = found.groupBy("key").agg(F.max("n_texts").alias("n_rows"))
     per_text = stage(per_text.join(n_rows, "key"), "replacements")
 
+    with_names = F.concat(F.lit(PATTERN + r"|(?<![\p{L}\d])(?:"), F.col("names"), F.lit(r")(?![\p{L}\d])"))
+    holds_names = F.col("names") != ""
     replaced = F.array_join(
         F.zip_with(
-            F.split("text", PATTERN, -1),
+            F.when(holds_names, F.split("text", with_names, -1)).otherwise(F.split("text", PATTERN, -1)),
             F.transform("matches", lambda m: F.element_at("by", m)),
             lambda piece, by: F.concat(piece, F.coalesce(by, F.lit(""))),
         ),
@@ -279,6 +329,8 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     matches = keyed.withColumn("matches", find(F.col("text")))
     holds = F.coalesce(F.size("matches"), F.lit(0)) > 0
     with_map = join_per_key(matches.filter(holds), per_text, "key", "n_rows")
+    every = F.when(holds_names, F.regexp_extract_all(F.col("text"), with_names, F.lit(0))).otherwise(F.col("matches"))
+    with_map = with_map.withColumn("matches", every)
     changed = with_map.select("row", replaced.alias("text"), F.size("matches").cast("long").alias("n_replaced"))
     same = matches.filter(~holds).select("row", "text", F.lit(0).cast("long").alias("n_replaced"))
     both = changed.unionByName(same)

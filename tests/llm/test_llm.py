@@ -436,6 +436,31 @@ def test_surrogates(spark):
     assert surrogates.replace_entities(rows.limit(0), "k").count() == 0
 
 
+def test_surrogates_of_more_forms(spark):
+    """National phone numbers, more titles and name words, initials, bare mentions, card lengths, IPv6, long tokens."""
+    token = "0a1b" * 50
+    text = (
+        "Call 555-123-4567, 415.555.1234, 1-800-555-0199, 020 7946 0958 or 01 42 68 53 00. Mr. John Michael Smith's wife, Dr. Jane Doe, "
+        "Prof. Dr. J. R. Tolk and Herr Ludwig van Beeth saw Mr. J. O'Brien. Smith and John left; Smithson stays with Doe. "
+        f"3782 822463 10005, 378282246310005, 6011 0009 9013 9424 123; 2001:db8::8a2e:370:7334 or fe80::1; {token} {token.upper()}; std::map 12:30:45 2024-01-02"
+    )
+    texts = [text, "Smith and Jane of another text, Dr. Doe"]
+    got = {r.doc_id: r for r in surrogates.replace_entities(table(spark, texts), "k").collect()}
+    shape = (
+        r"Call 5\d\d-\d{3}-\d{4}, 4\d\d\.\d{3}\.\d{4}, 1-\d{3}-\d{3}-\d{4}, 0\d\d \d{4} \d{4} or 0\d \d\d \d\d \d\d \d\d\. "
+        r"Mr\. (\w+) (\w+) (\w+)'s wife, Dr\. (\w+) (\w+), Prof\. Dr\. [A-Z]\. [A-Z]\. (\w+) and Herr (\w+) van (\w+) saw "
+        r"Mr\. [A-Z]\. (\w+)\. \3 and \1 left; Smithson stays with \5\. 3\d{3} \d{6} \d{5}, 3\d{14}, 6\d{3} \d{4} \d{4} \d{4} \d{3}; "
+        r"2\d{3}:[a-f]{2}\d::\d[a-f]\d[a-f]:\d{3}:\d{4} or fe80::\d; ([0-9a-f]{200}) ([0-9A-F]{200}); std::map 12:30:45 2024-01-02"
+    )
+    new = got[0].text
+    match = re.fullmatch(shape, new)
+    assert match, new
+    assert match[10] == match[11].lower() != token
+    gone = "123-4567 555.1234 555-0199 7946 John Michael Tolk Jane Doe Ludwig Beeth Brien 822463 8a2e".split()
+    assert not [x for x in gone if x in new] and " Smith " not in new and " Smith'" not in new
+    assert got[1].text == f"Smith and Jane of another text, Dr. {match[5]}" and got[0].n_replaced == 20
+
+
 def test_surrogates_stay_distinct(spark):
     """A thousand numbers of three free digits each must use every surrogate once."""
     numbers = [f"+1 (55) 00{i:02d}-00{j:02d}" for i in range(0, 99, 3) for j in range(0, 99, 3)]
