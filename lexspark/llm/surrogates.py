@@ -11,14 +11,15 @@ whether its check digit is right, the top domain of an address, private networks
 domains, given names and surnames get equal surrogates, alone or together.
 
 Collision checks: no two entities of a type share a surrogate, and no surrogate is itself an
-entity of the corpus; those that fail try again with another hash.
+entity of the corpus; those that fail try again with another hash.  What is left after that, where
+a form is nearly full, is assigned exactly from the unused surrogates of its form.
 
 All work is column expressions and joins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexspark.operators.skew import join_per_key
@@ -140,9 +141,9 @@ def _digit_sum(digits: Column) -> Column:
     return F.aggregate(weighted, F.lit(0), lambda a, d: a + d)
 
 
-def surrogate(kind: Column, canonical: Column, key: str, attempt: int) -> Column:
-    """The surrogate of an entity, in canonical form."""
-    digest = F.sha2(F.concat_ws("|", F.lit(key), kind, canonical, F.lit(str(attempt))), 512)
+def surrogate(kind: Column, canonical: Column, key: str, attempt: int, digest: Column | None = None) -> Column:
+    """The surrogate of an entity, in canonical form; ``digest`` stands for its keyed hash."""
+    digest = digest if digest is not None else F.sha2(F.concat_ws("|", F.lit(key), kind, canonical, F.lit(str(attempt))), 512)
     domain = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), F.substring_index(canonical, "@", -1)), 512)
     letters, cyrillic = _SCRIPTS["latin"][0], _SCRIPTS["cyrillic"][0]
 
@@ -244,12 +245,119 @@ def _rendered(occurrence: Column, kind: Column, found: Column) -> Column:
     )
 
 
+def _radices(kind: Column, canonical: Column) -> Column:
+    """How many values a surrogate may take at each place of the digest."""
+    size, at_sign = F.length(canonical), F.instr(canonical, "@") - 1
+    local = F.when(canonical.rlike("^(?:fe80|f[cd]..):"), 4).otherwise(1)
+    private = F.when(canonical.rlike(r"^(?:10|127)\."), 1).when(
+        canonical.rlike(r"^(?:192\.168|172\.(?:1[6-9]|2\d|3[01]))\."), 2
+    ).otherwise(0)
+
+    def at(c: Column, i: Column) -> Column:
+        other = (
+            F.when(c.rlike(r"\d"), 10).when(c.rlike(r"\p{IsCyrillic}"), len(_SCRIPTS["cyrillic"][0]))
+            .when(c.rlike(r"\p{IsLatin}"), 26).otherwise(1)
+        )
+        hexadecimal = F.when(c.rlike(r"\d"), 10).otherwise(6)
+        return (
+            F.when((kind == "email") & (i >= at_sign), 1)
+            .when((kind == "card") & ((i < 1) | (i == size - 1)) | (kind == "phone") & (i < 1) | (kind == "account") & (i < 2), 1)
+            .when((kind == "ip6") & ((i < local) & (F.instr(canonical, ":") > local) | (c == ":")), 1)
+            .when(kind.isin("ip6", "token"), hexadecimal)
+            .otherwise(other)
+        )
+
+    syllables = 3 + (TRIES - 1) % 8
+    name = F.array(*(F.lit(16 if i < syllables else 4 if i == 40 else 1) for i in range(41)))
+    octets = F.transform(F.split(canonical, r"\."), lambda _, i: F.when(i < private, 1).when(i == 0, 99).otherwise(256))
+    places = F.slice(F.transform(_characters(canonical), at), 1, 64)
+    return F.when(kind == "ip", octets).when(kind.isin("given_f", "given_m", "surname"), name).otherwise(places)
+
+
+def _digest_of(number: Column, radices: Column) -> Column:
+    """A digest whose places are the digits of a number in mixed radices."""
+    start = F.struct(number.cast("long").alias("n"), F.lit("").alias("out"))
+
+    def step(state: Column, r: Column) -> Column:
+        digit = F.lpad(F.lower(F.hex(F.pmod(state["n"], r.cast("long")))), 2, "0")
+        return F.struct(F.floor((state["n"] - F.pmod(state["n"], r.cast("long"))) / r).cast("long").alias("n"), F.concat(digit, state["out"]).alias("out"))
+
+    return F.rpad(F.aggregate(F.reverse(radices), start, step, lambda s: s["out"]), 128, "0")
+
+
+def _ranked(rows: DataFrame, by: str, key: str) -> DataFrame:
+    """``rows`` with their ``rank`` in (type, form), from 0, by a keyed hash; counted in 256 shares
+    of a form, so no form is one task."""
+    rows = rows.withColumn("__hash", F.sha2(F.concat_ws("|", F.lit(key), F.lit("rest"), by), 256))
+    rows = stage(rows.withColumn("__share", F.substring("__hash", 1, 2)), "rest_shares")
+    before = F.sum("n").over(Window.partitionBy("type", "form").orderBy("__share")) - F.col("n")
+    shares = rows.groupBy("type", "form", "__share").agg(F.count("*").alias("n"))
+    shares = shares.select("type", "form", "__share", before.alias("__before"))
+    within = F.row_number().over(Window.partitionBy("type", "form", "__share").orderBy("__hash", by)) - 1
+    ranked = rows.withColumn("rank", within).join(shares, ["type", "form", "__share"])
+    return ranked.withColumn("rank", F.col("rank") + F.col("__before")).drop("__hash", "__share", "__before")
+
+
+def assign_rest(pending: DataFrame, taken: DataFrame, key: str) -> DataFrame:
+    """``taken`` and a surrogate for each pending entity, from the unused ones of its form.
+
+    A form is what has the same places to fill.  As many of its surrogates are listed as it has
+    entities and some more, so some are unused unless all are; the pending entities and those are
+    joined by rank.  Entities that meet themselves rotate their surrogates; a single one takes a
+    spare surrogate, or that of another entity, which takes this one.
+    """
+    in_form = ["type", "form"]
+    columns = ["type", "canonical", "surrogate", "n_rows"]
+    kind, canonical = F.col("type"), F.col("canonical")
+    form = surrogate(kind, canonical, key, TRIES - 1, F.lit("0" * 128)).alias("form")
+    left = stage(pending.select("type", "canonical", "n_rows", form), "rest")
+    forms = left.groupBy(in_form).agg(F.count("*").alias("p"), F.min("canonical").alias("canonical"))
+    known = stage(taken.select(*columns, form).join(forms.select(in_form), in_form, "left_semi"), "rest_taken")
+    forms = forms.join(known.groupBy(in_form).agg(F.count("*").alias("u")), in_form, "left")
+    forms = forms.withColumn("radices", _radices(kind, canonical))
+    size = F.aggregate("radices", F.lit(1.0), lambda a, r: a * r)
+    forms = forms.withColumn("m", F.least(size, F.coalesce("u", F.lit(0)) + 2 * F.col("p") + 1).cast("long"))
+    block = 4096
+    blocks = forms.withColumn("at", F.explode(F.expr(f"sequence(0L, (m - 1) div {block})"))).repartition("type", "form", "at")
+    listed = blocks.withColumn("n", F.explode(F.expr(f"sequence(at * {block}, least(m, (at + 1) * {block}) - 1)")))
+    made = surrogate(kind, canonical, key, TRIES - 1, _digest_of(F.col("n"), F.col("radices"))).alias("surrogate")
+    used = taken.select("type", "surrogate")
+    unused = _ranked(listed.select("type", "form", made).join(used, ["type", "surrogate"], "left_anti"), "surrogate", key)
+    unused = stage(unused, "rest_unused")
+    pairs = stage(_ranked(left, "canonical", key).join(unused, [*in_form, "rank"]).select(*in_form, *columns[1:], "rank"), "rest_pairs")
+    if pairs.count() < left.count():
+        raise ValueError("an entity type has more entities than its form has surrogates")
+    same = stage(_ranked(pairs.filter("surrogate = canonical").drop("rank"), "canonical", key), "rest_same")
+    good = pairs.filter("surrogate <> canonical").drop("rank")
+    if same.isEmpty():
+        return taken.unionByName(good.select(columns))
+    same = stage(same.join(same.groupBy(in_form).agg(F.count("*").alias("k")), in_form), "rest_counted")
+    many = same.filter("k > 1").withColumn("rank", F.pmod(F.col("rank") + 1, F.col("k")))
+    others = same.select(*in_form, "rank", F.col("surrogate").alias("other"))
+    rotated = many.join(others, [*in_form, "rank"]).withColumn("surrogate", F.col("other"))
+    one = same.filter("k = 1").select(*in_form, F.col("canonical").alias("own"), F.col("n_rows").alias("own_rows"))
+    spare = unused.join(pairs.select(*in_form, "rank"), [*in_form, "rank"], "left_anti")
+    nobody = F.lit(None).cast("string").alias("canonical")
+    offers = spare.select(*in_form, F.lit(0).alias("order"), "surrogate", nobody, F.lit(0).cast("long").alias("n_rows"))
+    holders = known.unionByName(good).select(*in_form, F.lit(1).alias("order"), "surrogate", "canonical", "n_rows")
+    offer = offers.unionByName(holders).join(one.select(in_form), in_form, "left_semi").groupBy(in_form)
+    offer = offer.agg(F.min(F.struct("order", "surrogate", "canonical", "n_rows")).alias("by"))
+    swapped = stage(one.join(offer, in_form, "left"), "rest_swapped")
+    if not swapped.filter("by is null").isEmpty():
+        raise ValueError("an entity type has more entities than its form has surrogates")
+    gets = swapped.select("type", F.col("own").alias("canonical"), F.col("by.surrogate").alias("surrogate"), F.col("own_rows").alias("n_rows"))
+    gives = swapped.filter("by.canonical is not null").select("type", F.col("by.canonical").alias("canonical"), F.col("own").alias("surrogate"), F.col("by.n_rows").alias("n_rows"))
+    kept = taken.unionByName(good.select(columns)).join(gives.select("type", "canonical"), ["type", "canonical"], "left_anti")
+    return stage(kept.select(columns).unionByName(rotated.select(columns)).unionByName(gets).unionByName(gives), "rest_assigned")
+
+
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """``(type, canonical, surrogate, n_rows)`` for a stored table of distinct entities.
 
     A candidate is taken by the first entity, in order, that it is made for, if it is no entity
     and not taken before; the rest try again.  After ``TRIES_BESIDE_ENTITIES`` rounds (a form with
-    more entities than unused numbers) an entity's form may be used; after ``TRIES`` it is an error.
+    more entities than unused numbers) an entity's form may be used; after ``TRIES`` the rest is
+    assigned by ``assign_rest``.
     """
     # these are no entities by themselves: no two need differ
     free = F.col("type").isin("initial", "particle")
@@ -276,7 +384,7 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         release(made)
         if pending.isEmpty():
             return taken.unionByName(plain)
-    raise ValueError("an entity type has more entities than its form has surrogates")
+    return assign_rest(pending, taken, key).unionByName(plain)
 
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:

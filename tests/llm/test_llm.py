@@ -468,6 +468,24 @@ def test_surrogates_stay_distinct(spark):
     assert len({r.text for r in got}) == len(numbers) and not {r.text for r in got} & set(numbers)
 
 
+@pytest.mark.parametrize("tries", [1, 3])
+def test_surrogates_of_full_forms(spark, monkeypatch, tries):
+    """Forms whose every value is in use, nearly all, or one, after few random rounds."""
+    monkeypatch.setattr(surrogates, "TRIES", tries)
+    monkeypatch.setattr(surrogates, "TRIES_BESIDE_ENTITIES", 0)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [("email", f"{c}@full.example.com") for c in letters] + [("email", f"{c}@most.example.org") for c in letters[:24]]
+    rows += [("email", f"{a}{b}@two.example.net") for a in letters for b in letters[:25]]
+    rows += [("ip6", f"::{d}") for d in range(10)] + [("ip6", "fe80::1"), ("surname", "smith"), ("card", "4111111111111111")]
+    rows += [("ip", f"192.168.7.{d}") for d in range(256)] + [("initial", "j.")]
+    table = spark.createDataFrame([(*r, 1) for r in rows], "type string, canonical string, n_rows long").localCheckpoint()
+    got = [(r.type, r.canonical, r.surrogate) for r in surrogates.assign(table, "k").collect()]
+    assert sorted(g[:2] for g in got) == sorted(rows)
+    assert len({(t, s) for t, _, s in got if t != "initial"}) == len(rows) - 1
+    assert not [g for g in got if g[1] == g[2]]
+    assert {len(s) for _, c, s in got if c.endswith("@full.example.com")} == {len("a@full.example.com")}
+
+
 # ---------------------------------------------------------------- toxicity
 
 
