@@ -13,6 +13,8 @@ from lexspark.operators.topk import top_k, top_k_per_query
 from lexspark.session import stage
 from lexspark.sources.index_store import SearchIndex, term_bucket
 
+QUERY_BLOCK = 1024  # about as many queries of a term go by one row
+
 
 def query_terms(queries: DataFrame, *, analyse: bool = True, stem: bool = False) -> DataFrame:
     """``(query_id, term)``: the distinct terms of ``queries(query_id, text)``.
@@ -47,18 +49,29 @@ def _score(index: SearchIndex, k1: float, b: float) -> Column:
     return bm25_term_score(F.col("tf"), F.col("idf"), k, k1)
 
 
+def query_blocks(terms: DataFrame) -> DataFrame:
+    """``(term, block, query_ids)``: the queries of each term, dealt by hash into blocks of about
+    ``QUERY_BLOCK``, so a term that many queries hold is not one group."""
+    counts = stage(terms.groupBy("term").agg(F.count("*").alias("n_queries")), "query_counts")
+    sized = counts.withColumn("blocks", F.ceil(F.col("n_queries") / QUERY_BLOCK))
+    dealt = join_per_key(terms, sized, "term", "n_queries")
+    block = F.pmod(F.xxhash64("query_id"), F.col("blocks")).alias("block")
+    return dealt.groupBy("term", block).agg(F.collect_list("query_id").alias("query_ids"))
+
+
 def term_scores(index: SearchIndex, terms: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
     """``(query_id, doc, term, score)`` for every document and query term that meet.
 
-    Query terms become one row per term, with the queries that hold it, and are joined to the
+    Query terms become one row per term and block of queries that hold it, and are joined to the
     postings in shares: a term's document frequency is the number of its postings, so a
     frequent term does not fill a task, whatever the number of queries.  Only the buckets that
     hold a term are read; their numbers, fewer than the index has folders, go by the driver.
     """
     stats = index.term_stats.select("term", "idf", "df")
     terms = stage(terms, "query_terms")  # a filter by a stem would be a huge expression
-    asked = terms.groupBy("term").agg(F.collect_list("query_id").alias("query_ids"))
-    weighted = stage(asked.join(stats, "term"), "query_weights")
+    # a term's postings count once, with its first block
+    weighted = query_blocks(terms).join(stats, "term").withColumn("df", F.when(F.col("block") == 0, F.col("df")))
+    weighted = stage(weighted.drop("block"), "query_weights")
     buckets = weighted.select(term_bucket(F.col("term"), index.buckets).alias("bucket")).distinct().collect()
     postings = index.postings.filter(F.col("bucket").isin([row.bucket for row in buckets]))
     met = join_per_key(postings, weighted, "term", "df").withColumn("score", _score(index, k1, b))

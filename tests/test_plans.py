@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexspark import build_index, read_index, read_wiki, search, search_many, table_chunks, tfidf, untitled_lines, wiki_chunks
 from lexspark.operators import skew
+from lexspark.plans import ranking
 from lexspark.plans.indexing import index_counts
 from lexspark.plans.ranking import score_text
 from lexspark.session import SCRATCH_SETTING, scratch_dir
@@ -196,3 +197,15 @@ def test_titles_do_not_depend_on_splits(spark, tmp_path, compression):
         for name, value in before.items():
             spark.conf.set(name, value)
     assert sorted(map(tuple, rows)) == sorted(want)
+
+
+def test_queries_of_a_term_in_blocks(spark, index, monkeypatch):
+    """A term that all queries hold is dealt into rows of bounded size, with the same result."""
+    queries = spark.createDataFrame([(i, f"the {WORDS[2 + i % 6]}") for i in range(60)], "query_id long, text string")
+    want = sorted(map(tuple, search_many(index, queries, 5).collect()))
+    monkeypatch.setattr(ranking, "QUERY_BLOCK", 8)
+    blocks = ranking.query_blocks(ranking.query_terms(queries)).filter("term = 'the'").collect()
+    assert sorted(i for r in blocks for i in r.query_ids) == list(range(60)) and max(len(r.query_ids) for r in blocks) < 30
+    got = sorted(map(tuple, search_many(index, queries, 5).collect()))
+    assert [g[:2] + g[3:] for g in got] == [w[:2] + w[3:] for w in want]
+    assert all(math.isclose(g[2], w[2], abs_tol=1e-9) for g, w in zip(got, want))
