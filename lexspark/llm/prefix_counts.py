@@ -8,8 +8,9 @@ never joins a neighbour.
 
 No piece reaches over the beginning of a run of blanks or line breaks (checked when the model is
 read), so a text is cut there into chunks, the table is made once per distinct chunk and worker,
-and counts of whole prefixes are running sums.  Truncation and budgets are looked up in the stored
-sums and the tables; nothing is encoded again.
+and counts of whole prefixes are running sums.  Stored are the counts at chunk ends only: budgets
+are looked up there, and the table of the one chunk at the cut is made again.  A text without blanks
+or line breaks is one chunk, so for it that is the whole text.
 """
 
 from __future__ import annotations
@@ -180,8 +181,8 @@ def table_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.R
 
 
 def cut_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Cut texts to a budget by their stored tables.  Only the chunk at the cut is looked up, in
-    the table of its own prefixes."""
+    """Cut texts to a budget by their stored tables.  Only the chunk at the cut is encoded
+    again, for the table of its own prefixes."""
     model = load(path)
     for batch in batches:
         out = []
