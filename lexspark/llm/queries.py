@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from lexspark.llm import (
     chat,
     decontamination,
+    divergence,
+    fill_middle,
     minhash,
     neighbours,
     prefix_counts,
@@ -17,6 +19,7 @@ from lexspark.llm import (
     token_file,
     toxicity,
     word_bpe,
+    wrappers,
 )
 from lexspark.session import scratch_path
 
@@ -98,6 +101,24 @@ def op10_token_counts(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_fill_middle(spark, sf_dir):
+    formed = fill_middle.fill_middle(_table(spark, sf_dir, "documents"))
+    restored = fill_middle.restore(F.col("output"), F.col("form"))
+    return formed.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op12_main_text(spark, sf_dir):
+    extracted = wrappers.extract(_table(spark, sf_dir, "pages"))
+    return extracted.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op13_source_divergence(spark, sf_dir):
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         f.__name__: f
@@ -112,6 +133,9 @@ def queries() -> dict:
             op8_surrogates,
             op9_word_bpe,
             op10_token_counts,
+            op11_fill_middle,
+            op12_main_text,
+            op13_source_divergence,
         )
     }
 
@@ -156,8 +180,85 @@ SELECT conv_id, count(*) AS n_turns,
   regexp_matches(string_agg(left(role, 1), '' ORDER BY turn, role, text), '^s?(ua)+$') AS valid
 FROM sized GROUP BY conv_id"""
 
+_FILL_MIDDLE = r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h
+  FROM documents),
+numbers AS (
+  SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS b,
+    text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 AS plain,
+    CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 AS spm
+  FROM hashed),
+parts AS (
+  SELECT *, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+    least(a, b) AS i, greatest(a, b) AS j, text[1:least(a, b)] AS prefix,
+    text[least(a, b) + 1:greatest(a, b)] AS middle, text[greatest(a, b) + 1:] AS suffix
+  FROM numbers)
+SELECT doc_id, n, form, CASE WHEN NOT plain THEN i END AS prefix_chars, CASE WHEN NOT plain THEN j - i END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts"""
+
+_MAIN_TEXT = r"""
+WITH articles AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS inner_html FROM pages),
+blocks AS (
+  SELECT page_id, url, list_transform(
+    regexp_split_to_array(regexp_replace(inner_html, '\s+', ' ', 'g'), '</?(?:h1|p)>'),
+    lambda b: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(b, '<br>', ' ', 'g'),
+      '</?b>', '', 'g'), ' +', ' ', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'))) AS found
+  FROM articles)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM (
+  SELECT page_id, url, array_to_string(list_filter(found, lambda b: b <> ''), chr(10)) AS text FROM blocks)"""
+
+_DIVERGENCE = r"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(words)) AS term FROM docs) GROUP BY ALL HAVING count(*) >= 10),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+cells AS (
+  SELECT lang, source, term, count(*) AS n
+  FROM (SELECT lang, source, unnest(words) AS term FROM docs) JOIN kept USING (lang, term) GROUP BY ALL),
+dense AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, sum(n) OVER (PARTITION BY lang, source) AS total,
+    sum(n) OVER (PARTITION BY lang) AS lang_total, sum(n) OVER (PARTITION BY lang, term) AS lang_n,
+    (SELECT count(*) FROM kept k WHERE k.lang = sources.lang) AS vocabulary
+  FROM sources JOIN kept USING (lang) LEFT JOIN cells USING (lang, source, term)),
+shares AS (
+  SELECT lang, source, term, n,
+    1 + CAST(1000000000 * (n + 2) AS HUGEINT) // CAST(coalesce(total, 0) + 2 * vocabulary AS HUGEINT) AS p,
+    1 + CAST(1000000000 * (lang_n + 2) AS HUGEINT) // CAST(lang_total + 2 * vocabulary AS HUGEINT) AS q
+  FROM dense),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every_pair AS (
+  SELECT s.lang, s.source, t.source AS item, coalesce(value, 0) AS value
+  FROM sources s JOIN sources t ON s.lang = t.lang AND s.source <> t.source
+  LEFT JOIN pairs ON pairs.lang = s.lang AND pairs.source = s.source AND pairs.item = t.source),
+parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM every_pair
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
 
 def oracle_sql() -> dict[str, str]:
     marks = ["[INST]", "[/INST]", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "<|", "|>"]
     places = " + ".join(f"(length(text) - length(replace(text, '{m}', ''))) // {len(m)}" for m in marks)
-    return {"op2_near_duplicates": _NEAR_DUPLICATES, "op7_chat_format": _CHAT.format(places=places)}
+    return {
+        "op2_near_duplicates": _NEAR_DUPLICATES,
+        "op7_chat_format": _CHAT.format(places=places),
+        "op11_fill_middle": _FILL_MIDDLE,
+        "op12_main_text": _MAIN_TEXT,
+        "op13_source_divergence": _DIVERGENCE,
+    }
