@@ -66,7 +66,7 @@ _ENDS = {
     "th": (frozenset(["td", "th"]), frozenset(["tr", "table"])),
     "option": (frozenset(["option"]), frozenset(["select"])),
 }
-# never content: by tag, by a word of class, id or role, and by tag outside of a declared region
+# never content: by tag, and by the first or last word of a class, id or role
 _NEVER = frozenset(
     "head nav aside footer form fieldset select option button label dialog menu noscript template object canvas audio video"
     " svg math map datalist".split()
@@ -78,6 +78,7 @@ _NEVER_WORDS = frozenset(
     " newsletter subscribe subscription signup login search share sharing social toolbar masthead skip hidden"
     " complementary contentinfo banner alertdialog".split()
 )
+_ABOUT = frozenset("has have no not with without is".split())
 _MAIN_WORDS = frozenset("article articlebody content entry post story main maincontent".split())
 
 
@@ -109,9 +110,11 @@ def _label(tag: str, rest: str) -> tuple[str, bool]:
         for name, *values in _ATTRIBUTE.findall(rest):
             name, value = name.lower(), "".join(values).lower()
             if name in ("class", "id", "role", "itemprop"):
-                found = _NAMES.findall(value)
-                words += ["-".join(_NAMES.findall(part)) for part in value.split()]
-                never |= not _NEVER_WORDS.isdisjoint(found) and tag not in ("body", "html")
+                for found in map(_NAMES.findall, value.split()):
+                    words.append("-".join(found))
+                    # "content-sidebar-wrap" and "has-sidebar" are about what holds a sidebar
+                    if found and tag != "body" and found[0] not in _ABOUT:
+                        never |= not _NEVER_WORDS.isdisjoint((found[0], found[-1]))
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                 never = True
             elif name == "style" and "display:none" in value.replace(" ", ""):
