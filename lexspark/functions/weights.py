@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 K1 = 1.5
 B = 0.75
 
+_SUM_SCALE = 2.0**42  # room for the scores of some 50,000 terms, steps of 2e-13
+
 
 def bm25_idf(n_docs: Column, df: Column) -> Column:
     """Signed: negative for a term that is in more than half of the documents."""
@@ -31,3 +33,9 @@ def smoothed_idf(n_docs: Column, df: Column, exact: bool = False) -> Column:
     """``exact`` divides as real numbers; the default cuts N / df to a whole number."""
     ratio = n_docs / df
     return F.log10(1 + (ratio if exact else F.floor(ratio)))
+
+
+def exact_sum(score: Column) -> Column:
+    """The sum of scores, the same in whatever order tasks add them: each is rounded once to a fixed
+    step, and whole numbers of steps are added."""
+    return F.sum(F.rint(score * F.lit(_SUM_SCALE)).cast("long")) / F.lit(_SUM_SCALE)

@@ -8,18 +8,27 @@ from pyspark.sql import functions as F
 from lexspark.functions.porter import with_stem
 from lexspark.functions.text import chunk_words
 from lexspark.operators.carry import RUN_BITS
+from lexspark.operators.skew import join_per_key
 from lexspark.session import stage
 
 SEGMENT_CHARS = 16 * 1024 * 1024
 
 
 def stem_chunks(chunks: DataFrame) -> DataFrame:
-    """Chunks with each word stemmed, order and spacing kept."""
-    line = [c for c in chunks.columns if c != "chunk"]
-    placed = chunks.select(*line, F.posexplode(chunk_words(F.col("chunk"))).alias("pos", "term"))
-    stemmed = with_stem(placed, "term", "stem")
+    """Chunks with each word stemmed, order and spacing kept.
+
+    Each distinct word is stemmed once.  Words are (line number, position, word) rows, joined to their
+    stems in shares, so that a frequent word fills no task, and put together again by line; the
+    other columns of a line wait in the stored table.
+    """
+    lines = stage(chunks.withColumn("__line", F.monotonically_increasing_id()), "stem_lines")
+    placed = lines.select("__line", F.posexplode(chunk_words(F.col("chunk"))).alias("pos", "term"))
+    vocabulary = placed.groupBy("term").agg(F.count("*").alias("n_rows"))
+    vocabulary = stage(with_stem(vocabulary, "term", "stem").select("term", "stem", "n_rows"), "vocabulary")
+    stemmed = join_per_key(placed, vocabulary, "term", "n_rows")
     in_order = F.array_sort(F.collect_list(F.struct("pos", "stem")))
-    return stemmed.groupBy(*line).agg(F.array_join(in_order["stem"], " ").alias("chunk"))
+    rebuilt = stemmed.groupBy("__line").agg(F.array_join(in_order["stem"], " ").alias("chunk"))
+    return lines.drop("chunk").join(rebuilt, "__line").select(chunks.columns)
 
 
 def assemble_articles(chunks: DataFrame, segment_chars: int = SEGMENT_CHARS) -> DataFrame:

@@ -1,7 +1,7 @@
 """Order scored documents and keep the best.
 
-A score is a sum of doubles whose order of addition is not fixed, so equal documents may
-differ in the last bits.  Documents are compared by their score to 9 decimals, then by key.
+Scores are added in fixed point, so they are the same in every run (``weights.exact_sum``).
+Documents are compared by their score to 9 decimals, then by key.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexspark.operators.ranks import number_rows
+
 SCORE_DECIMALS = 9
 
 
@@ -21,6 +23,12 @@ def sort_by_score(scores: DataFrame) -> DataFrame:
     return scores.orderBy(*_best_first())
 
 
+def rank_all(scores: DataFrame) -> DataFrame:
+    """All rows with their ``rank`` from 1, best first, whatever order the rows come in: no task sees
+    more than its part of the order."""
+    return number_rows(scores, _best_first(), "rank")
+
+
 def top_k(scores: DataFrame, k: int = 10) -> DataFrame:
     """The best ``k`` rows: each task keeps its own best, the last step merges them."""
     return sort_by_score(scores).limit(k)

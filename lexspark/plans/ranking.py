@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.porter import with_stem
 from lexspark.functions.text import clean_word, has_letters, raw_words
-from lexspark.functions.weights import B, K1, bm25_term_score, length_coefficient
+from lexspark.functions.weights import B, K1, bm25_term_score, exact_sum, length_coefficient
 from lexspark.operators.skew import join_per_key
-from lexspark.operators.topk import top_k, top_k_per_query
+from lexspark.operators.topk import rank_all, top_k, top_k_per_query
 from lexspark.session import stage
 from lexspark.sources.index_store import SearchIndex, term_bucket
 
@@ -80,7 +80,7 @@ def term_scores(index: SearchIndex, terms: DataFrame, k1: float = K1, b: float =
 
 def document_scores(scores: DataFrame) -> DataFrame:
     """``(query_id, doc, score)``: the term scores of a document added up."""
-    return scores.groupBy("query_id", "doc").agg(F.sum("score").alias("score"))
+    return scores.groupBy("query_id", "doc").agg(exact_sum(F.col("score")).alias("score"))
 
 
 def score_text(
@@ -95,7 +95,7 @@ def score_text(
     stats = F.broadcast(index.term_stats.filter(_one_of(terms)).select("term", "idf"))
     postings = index.postings.filter(F.col("bucket").isin(buckets)).filter(_one_of(terms))
     scores = postings.join(stats, "term").withColumn("score", _score(index, k1, b))
-    return scores.groupBy("doc").agg(F.sum("score").alias("score"))
+    return scores.groupBy("doc").agg(exact_sum(F.col("score")).alias("score"))
 
 
 def all_scores(index: SearchIndex, text: str, **options) -> DataFrame:
@@ -107,6 +107,11 @@ def all_scores(index: SearchIndex, text: str, **options) -> DataFrame:
     )
 
 
+def rank_documents(index: SearchIndex, text: str, **options) -> DataFrame:
+    """``(doc, score, rank)`` of every document, the best first: the sorted result as data."""
+    return rank_all(all_scores(index, text, **options))
+
+
 def search(index: SearchIndex, text: str, k: int = 10, *, matched_only: bool = True, **options) -> DataFrame:
     """The best ``k`` documents for one query.
 
