@@ -75,18 +75,29 @@ def index_counts(
     counts = stage(counts, "counts")
     doc_lengths = store(document_lengths(counts), f"{version}/doc_lengths")
     corpus = store(corpus_stats(doc_lengths).coalesce(1), f"{version}/corpus_stats")
-
     n_docs = corpus.select("n_docs").scalar()
     frequencies = document_frequency(counts).withColumn("idf", bm25_idf(n_docs, F.col("df")))
-    term_stats = store(
-        frequencies.repartitionByRange("term").sortWithinPartitions("term"), f"{version}/term_stats"
-    )
-
-    postings = join_per_key(counts, doc_lengths, "doc", "n_terms").filter(F.col("term").isNotNull())
-    order = ("bucket", "term", "doc")
-    postings = postings.select("term", "doc", "tf", "dl", term_bucket(F.col("term"), buckets).alias("bucket"))
-    dealt = postings.repartitionByRange(files, *order) if files else postings.repartitionByRange(*order)
-    postings = store(dealt.sortWithinPartitions(*order), f"{version}/postings", ("bucket",))
+    term_stats = store_terms(frequencies, version)
+    postings = store_postings(with_lengths(counts, doc_lengths), version, buckets, files)
     release(counts)
     publish(spark, path, version, buckets)
     return SearchIndex(postings, doc_lengths, term_stats, corpus, buckets)
+
+
+def with_lengths(counts: DataFrame, doc_lengths: DataFrame) -> DataFrame:
+    """``(term, doc, tf, dl)``: counts with the length of their document."""
+    postings = join_per_key(counts, doc_lengths, "doc", "n_terms").filter(F.col("term").isNotNull())
+    return postings.select("term", "doc", "tf", "dl")
+
+
+def store_terms(frequencies: DataFrame, version: str) -> DataFrame:
+    """Write ``term_stats`` in term order."""
+    return store(frequencies.repartitionByRange("term").sortWithinPartitions("term"), f"{version}/term_stats")
+
+
+def store_postings(postings: DataFrame, version: str, buckets: int, files: int | None = None) -> DataFrame:
+    """Write ``postings(term, doc, tf, dl)`` by bucket, in the order of term and document."""
+    order = ("bucket", "term", "doc")
+    bucketed = postings.withColumn("bucket", term_bucket(F.col("term"), buckets))
+    dealt = bucketed.repartitionByRange(files, *order) if files else bucketed.repartitionByRange(*order)
+    return store(dealt.sortWithinPartitions(*order), f"{version}/postings", ("bucket",))

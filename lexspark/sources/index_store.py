@@ -3,6 +3,13 @@
 A build writes its tables to a new folder of its own and then appends one row to ``published``,
 which names that folder.  Until then, and if a build fails, readers see the index before; an
 index may be rebuilt from its own tables.
+
+An index may consist of several folders, its segments: a build, and one for each later addition
+of documents (``plans.growth``).  A segment's tables are about its own documents; ``superseded``
+lists the documents of earlier segments that it replaces or removes, ``term_changes`` and
+``corpus_changes`` say what that does to document frequencies, to N and to the total length.  So
+statistics add up over segments, and a row of an older segment counts unless a later one supersedes its
+document.
 """
 
 from __future__ import annotations
@@ -10,16 +17,18 @@ from __future__ import annotations
 import uuid
 
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.functions.weights import B, K1, length_coefficient
+from lexspark.functions.weights import B, K1, bm25_idf, length_coefficient
 from lexspark.session import remove, subfolders
 
 TABLES = ("postings", "doc_lengths", "term_stats", "corpus_stats")
 BUCKETS = 32
-_PUBLISHED = "at timestamp, version string, buckets int"
+_PUBLISHED = "at timestamp, version string, buckets int, number long, segments array<string>"
 
 
 @dataclass(frozen=True)
@@ -57,33 +66,81 @@ def new_version(path: str) -> str:
     return f"{path}/version-{uuid.uuid4().hex}"
 
 
-def publish(spark: SparkSession, path: str, version: str, buckets: int) -> None:
-    """Make the complete tables in the folder ``version`` the index at ``path``."""
+def publish(spark: SparkSession, path: str, version: str, buckets: int, before: tuple[str, ...] = ()) -> None:
+    """Make the complete tables in the folder ``version``, added to the segments ``before``, the index
+    at ``path``.  The row published last has the highest number, whatever the clocks of drivers say."""
+    name = version.rsplit("/", 1)[1]
+    try:
+        last = _published(spark, path).number
+    except AnalysisException as error:  # the first build at this path
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = 0
     row = spark.range(1, numPartitions=1).select(
         F.current_timestamp().alias("at"),
-        F.lit(version.rsplit("/", 1)[1]).alias("version"),
+        F.lit(name).alias("version"),
         F.lit(buckets).alias("buckets"),
+        F.lit(last + 1).cast("long").alias("number"),
+        F.array(*map(F.lit, (*before, name))).alias("segments"),
     )
     row.write.mode("append").parquet(f"{path}/published")
 
 
 def _published(spark: SparkSession, path: str):
     rows = spark.read.schema(_PUBLISHED).parquet(f"{path}/published")
-    return rows.agg(F.max_by(F.struct("version", "buckets"), F.struct("at", "version")).alias("last")).first().last
+    number = F.coalesce("number", F.lit(0)).alias("number")
+    segments = F.coalesce("segments", F.array("version")).alias("segments")
+    last = F.max_by(F.struct("version", "buckets", number, segments), F.struct(number, "at", "version"))
+    return rows.agg(last.alias("last")).first().last
+
+
+def segments(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The folders of the index published last at ``path``, oldest first."""
+    return tuple(_published(spark, path).segments)
+
+
+def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of a segment.  Postings in folders by bucket have no file, and so no schema, where there are none."""
+    if name != "postings":
+        return spark.read.parquet(f"{folder}/{name}")
+    doc = _read(spark, folder, "doc_lengths").schema["doc"].dataType.simpleString()
+    return spark.read.schema(f"term string, doc {doc}, tf bigint, dl bigint, bucket int").parquet(f"{folder}/{name}")
 
 
 def read_index(spark: SparkSession, path: str) -> SearchIndex:
     """The index that was published last at ``path``."""
     last = _published(spark, path)
-    return SearchIndex(*(spark.read.parquet(f"{path}/{last.version}/{name}") for name in TABLES), last.buckets)
+    folders = [f"{path}/{name}" for name in last.segments]
+    if len(folders) == 1:
+        return SearchIndex(*(_read(spark, folders[0], name) for name in TABLES), last.buckets)
+
+    def current(name: str) -> DataFrame:
+        parts = []
+        for i, folder in enumerate(folders):
+            rows = _read(spark, folder, name)
+            columns = rows.columns
+            for later in folders[i + 1 :]:
+                rows = rows.join(_read(spark, later, "superseded"), "doc", "left_anti")
+            parts.append(rows.select(columns))
+        return reduce(DataFrame.unionByName, parts)
+
+    def added(name: str, changes: str) -> DataFrame:
+        later = [spark.read.parquet(f"{folder}/{changes}") for folder in folders[1:]]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), later, spark.read.parquet(f"{folders[0]}/{name}"))
+
+    corpus = added("corpus_stats", "corpus_changes").agg(F.sum("n_docs").alias("n_docs"), F.sum("total_len").alias("total_len"))
+    corpus = corpus.withColumn("avg_len", F.try_divide("total_len", "n_docs"))
+    terms = added("term_stats", "term_changes").groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0")
+    terms = terms.withColumn("idf", bm25_idf(corpus.select("n_docs").scalar(), F.col("df")))
+    return SearchIndex(current("postings"), current("doc_lengths"), terms, corpus, last.buckets)
 
 
 def drop_old_versions(spark: SparkSession, path: str) -> None:
-    """Delete the tables of all builds at ``path`` but the one published last: those before it, and
-    those that failed.  Not while another build or a reader of an older version runs."""
-    last = _published(spark, path).version
+    """Delete the tables of all builds at ``path`` that are no part of the index published last: those
+    before it, and those that failed.  Not while another build or a reader of an older version runs."""
+    kept = segments(spark, path)
     for folder in subfolders(spark, path):
-        if folder.startswith("version-") and folder != last:
+        if folder.startswith("version-") and folder not in kept:
             remove(spark, f"{path}/{folder}")
 
 
