@@ -29,10 +29,13 @@ from lexspark.operators.terms import (  # noqa: E402
     without_stopwords,
 )
 from lexspark.operators.topk import sort_by_score, top_k  # noqa: E402
+from lexspark.plans.blocks import build_blocks, search_blocks, search_work  # noqa: E402
+from lexspark.plans.growth import add_documents, compact  # noqa: E402
 from lexspark.plans.indexing import build_index, index_counts, term_counts  # noqa: E402
 from lexspark.plans.ranking import (  # noqa: E402
     all_scores,
     query_terms,
+    rank_documents,
     score_text,
     search,
     search_many,
@@ -48,9 +51,7 @@ from lexspark.sources.wiki import read_wiki, untitled_lines, wiki_chunks  # noqa
 try:
     import corpus_pipeline
     from lexspark.llm import queries as llm_queries
-except ModuleNotFoundError as missing:  # these two may be left out of a copy
-    if missing.name not in ("corpus_pipeline", "lexspark.llm"):
-        raise
+except ImportError:  # these two, or a library that only they use, may be missing
     corpus_pipeline = llm_queries = None
 
 QUERY = oracles.QUERY
@@ -219,6 +220,66 @@ def bm25_topk_per_query(spark, sf_dir):
     return _rounded(best, "query_id", "rank")
 
 
+def bm25_ranked(spark, sf_dir):
+    """Every document with its place in the order."""
+    return _rounded(rank_documents(_index(spark, sf_dir), QUERY), "rank")
+
+
+def _blocks(spark, sf_dir):
+    return build_blocks(_index(spark, sf_dir), scratch_path(spark, "blocks"), range_docs=16)
+
+
+def bm25_topk_blocks(spark, sf_dir):
+    best = search_blocks(_blocks(spark, sf_dir), _benchmark_queries(spark, sf_dir), k=10)
+    return _rounded(best, "query_id", "rank")
+
+
+def bm25_topk_blocks_negative(spark, sf_dir):
+    """Queries of words that are in more than half of all documents of some corpora, alone and with others."""
+    said = ["the of", "the", "of and the onen", "worthless the", "and of in the to"]
+    asked = spark.createDataFrame(list(enumerate(said)), "query_id long, text string")
+    return _rounded(search_blocks(_blocks(spark, sf_dir), asked, k=25), "query_id", "rank")
+
+
+def bm25_blocks_work(spark, sf_dir):
+    """How many postings each benchmark query meets, and whether fewer were scored."""
+    work = search_work(_blocks(spark, sf_dir), _benchmark_queries(spark, sf_dir), k=10)
+    return work.select("query_id", "n_matched", (F.col("n_scored") < F.col("n_matched")).alias("fewer_scored"))
+
+
+def _grown_index(spark, sf_dir):
+    """The documents indexed in three steps: some of them, some cut short and some that are no
+    documents; then what is missing and the whole texts; then the strangers are removed."""
+    path = scratch_path(spark, "index")
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    third = F.col("doc_id") % 3
+    cut = F.when(third == 1, F.substring("text", 1, 200)).otherwise(F.col("text"))
+    strangers = docs.filter("doc_id % 5 = 0").select((-1 - F.col("doc_id")).alias("doc_id"), "text")
+    first = docs.filter(third > 0).withColumn("text", cut).unionByName(strangers)
+    build_index(table_chunks(first, "doc_id", "text"), path)
+    add_documents(spark, path, table_chunks(docs.filter(third < 2), "doc_id", "text"))
+    gone = strangers.select(F.col("doc_id").alias("doc"))
+    none = table_chunks(docs.filter("false"), "doc_id", "text")
+    return add_documents(spark, path, none, removed=gone), path
+
+
+def grown_index_top10(spark, sf_dir):
+    return _rounded(search(_grown_index(spark, sf_dir)[0], QUERY))
+
+
+def grown_index_postings(spark, sf_dir):
+    return _grown_index(spark, sf_dir)[0].postings.select("doc", "term", "tf", "dl")
+
+
+def grown_index_terms(spark, sf_dir):
+    return _grown_index(spark, sf_dir)[0].term_stats.select("term", "df", F.round("idf", 6).alias("idf"))
+
+
+def compacted_index_topk(spark, sf_dir):
+    index = compact(spark, _grown_index(spark, sf_dir)[1])
+    return _rounded(search_many(index, _benchmark_queries(spark, sf_dir), k=10), "query_id", "rank")
+
+
 def index_roundtrip_top10(spark, sf_dir):
     path = scratch_path(spark, "index")
     build_index(_chunks(spark, sf_dir), path)
@@ -384,6 +445,14 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bm25_top10_all": bm25_top10_all,
         "bm25_top10_raw_query": bm25_top10_raw_query,
         "bm25_topk_per_query": bm25_topk_per_query,
+        "bm25_ranked": bm25_ranked,
+        "bm25_topk_blocks": bm25_topk_blocks,
+        "bm25_topk_blocks_negative": bm25_topk_blocks_negative,
+        "bm25_blocks_work": bm25_blocks_work,
+        "grown_index_top10": grown_index_top10,
+        "grown_index_postings": grown_index_postings,
+        "grown_index_terms": grown_index_terms,
+        "compacted_index_topk": compacted_index_topk,
         "index_roundtrip_top10": index_roundtrip_top10,
         "text_roundtrip_top10": text_roundtrip_top10,
         "text_roundtrip_postings": text_roundtrip_postings,

@@ -219,11 +219,22 @@ bodies AS (
   WHERE NOT regexp_matches(norm_lines.line, '^\\[{{2}}.*\\]{{2}}'))"""
 
 
+_PER_QUERY = """,
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc) AS rank FROM scores)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc, round(score, 6) AS score FROM ranked WHERE rank <= {}"""
+_COMMON_WORDS = """
+query_terms(query_id, term) AS (
+  SELECT CAST(query_id AS BIGINT), unnest(string_split(words, ' '))
+  FROM (VALUES (0, 'the of'), (1, 'the'), (2, 'of and the onen'), (3, 'worthless the'), (4, 'and of in the to')) q(query_id, words))"""
+
+
 def oracle_sql() -> dict[str, str]:
     counts = f"WITH {_LINES},{_TOKENS},{_COUNTS}"
     index = f"WITH {_INDEX}"
     ranked = f"WITH {_INDEX},{_query(*QUERY.split())},{_TERM_SCORES}"
     weights = f"WITH {_TFIDF}"
+    per_query = f"WITH {_INDEX},{_BENCHMARK_TERMS},{_TERM_SCORES}{_PER_QUERY.format(10)}"
     return {
         "clean_lines": f"WITH {_LINES} SELECT doc, CAST(line_no AS INTEGER) AS line_no, chunk FROM lines",
         "clean_lines_ascii_first": f"WITH {_LINES_ASCII_FIRST} "
@@ -247,10 +258,17 @@ def oracle_sql() -> dict[str, str]:
         "bm25_top10_all": f"WITH {_INDEX},{_query('the', 'of')},{_TERM_SCORES},{_ALL} "
         "SELECT doc, round(score, 6) AS score FROM all_scores ORDER BY round(all_scores.score, 9) DESC, doc LIMIT 10",
         "bm25_top10_raw_query": f"WITH {_INDEX},{_query('the', 'worthless,', 'thenti', 'onen,')},{_TERM_SCORES} {_TOP10}",
-        "bm25_topk_per_query": f"""WITH {_INDEX},{_BENCHMARK_TERMS},{_TERM_SCORES},
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc) AS rank FROM scores)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, doc, round(score, 6) AS score FROM ranked WHERE rank <= 10""",
+        "bm25_topk_per_query": per_query,
+        "bm25_ranked": f"{ranked},{_ALL} SELECT doc, round(score, 6) AS score, "
+        "row_number() OVER (ORDER BY round(score, 9) DESC, doc) AS rank FROM all_scores",
+        "bm25_topk_blocks": per_query,
+        "bm25_topk_blocks_negative": f"WITH {_INDEX},{_COMMON_WORDS},{_TERM_SCORES}{_PER_QUERY.format(25)}",
+        "bm25_blocks_work": f"WITH {_LINES},{_TOKENS},{_COUNTS},{_BENCHMARK_TERMS} "
+        "SELECT query_id, count(*) AS n_matched, true AS fewer_scored FROM query_terms JOIN counts USING (term) GROUP BY query_id",
+        "grown_index_top10": f"{ranked} {_TOP10}",
+        "grown_index_postings": f"{index} SELECT doc, term, tf, dl FROM counts JOIN lengths USING (doc)",
+        "grown_index_terms": f"{index} SELECT term, df, round(idf, 6) AS idf FROM idf",
+        "compacted_index_topk": per_query,
         "index_roundtrip_top10": f"{ranked} {_TOP10}",
         "text_roundtrip_top10": f"{ranked} {_TOP10}",
         "text_roundtrip_postings": f"{counts} SELECT 'd-' || doc || chr(9) || chr(92) || 't' || chr(10) || chr(92) AS doc, "
