@@ -16,14 +16,20 @@ occurs: with p for a term that a group has and p0 for one it has not, the diverg
 
 The first two are added up by distinct values of p, not by term; the third joins the groups of each
 term.  All of it is integer arithmetic.
+
+Most terms are too rare to be kept, so counts travel packed: a task hands on its counts in one row
+per language and bucket of terms, and what reads a bucket adds them up and unpacks the kept terms only.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +43,8 @@ MIN_DOCS = 10
 TOP_TERMS = 10
 SCALE = 1_000_000_000
 KEPT_TEXTS, KEPT_TERMS = 100_000, 400_000  # what a worker keeps before it hands on what it has
+BUCKET_DOCS, LEAST_BUCKETS = 500, 1024  # so a bucket has the terms of some hundred documents, however many there are
+MERGED_CELLS = 1_000_000  # packed counts of one bucket that are read before they are added up
 _SLICE = 20_000
 # A-Z to lower case, all other ASCII characters but a-z to a blank
 _LETTERS = bytes(
@@ -44,7 +52,11 @@ _LETTERS = bytes(
 )
 
 _COPIES = "lang string, source string, digest binary, text string, n long"
-_TERMS = "lang string, source string, term string, n long, n_docs long"
+_PACKED = "bucket long, lang long, terms binary, groups binary, n binary, n_docs binary"
+_KEPT = "lang_key long, group_key long, term string, n long, lang_n long, first boolean"
+_PACKED_SCHEMA = pa.schema(
+    [("bucket", pa.int64()), ("lang", pa.int64()), *((c, pa.binary()) for c in ("terms", "groups", "n", "n_docs"))]
+)
 
 
 # ---------------------------------------------------------------- copies, terms
@@ -108,33 +120,36 @@ def copy_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from counted()
 
 
-def term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of ``copy_batches``, all of a text next to each other, as ``(lang, source, term, n,
-    n_docs)``: occurrences and documents, of part of the texts each."""
-    found: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-    def added() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (counts, docs) in found.items():
-            terms = list(counts)
-            for a in range(0, len(terms), _SLICE):
-                part = terms[a : a + _SLICE]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(part), pa.string()),
-                        pa.array([source] * len(part), pa.string()),
-                        pa.array(part, pa.binary()).cast(pa.string()),
-                        pa.array([counts[t] for t in part], pa.int64()),
-                        pa.array([docs[t] for t in part], pa.int64()),
-                    ],
-                    names=["lang", "source", "term", "n", "n_docs"],
-                )
-        found.clear()
-
-    def add(lang: str, text: bytes, copies: Counter) -> None:
+def _packed(lang: int, cells: dict[int, tuple[Counter, Counter]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The counts of a language by group as one row per bucket: its terms with blanks between them,
+    their groups, occurrences and documents."""
+    terms = list(chain.from_iterable(counts for counts, _ in cells.values()))
+    groups = np.repeat(np.array(list(cells), np.int64), [len(counts) for counts, _ in cells.values()])
+    n = np.fromiter(chain.from_iterable(counts.values() for counts, _ in cells.values()), np.int64, len(terms))
+    n_docs = np.fromiter(chain.from_iterable(map(docs.__getitem__, counts) for counts, docs in cells.values()), np.int64, len(terms))
+    bucket = np.fromiter(map(zlib.crc32, terms), np.int64, len(terms)) % buckets
+    order = np.argsort(bucket, kind="stable")
+    bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1)).tolist()
+    for a in range(0, len(bounds) - 1, _SLICE):
+        rows: list[list] = [[] for _ in range(6)]
+        for x, y in zip(bounds[a : a + _SLICE], bounds[a + 1 : a + 1 + _SLICE]):
+            part = order[x:y]
+            joined = b" ".join([terms[i] for i in part.tolist()])
+            for column, value in zip(rows, (int(bucket[part[0]]), lang, joined, *(v[part].tobytes() for v in (groups, n, n_docs)))):
+                column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, _PACKED_SCHEMA)], schema=_PACKED_SCHEMA)
+
+
+def term_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``copy_batches`` with numbers for language and group, all of a text next to each other, as
+    packed counts of part of the texts each."""
+    found: dict[int, dict[int, tuple[Counter, Counter]]] = {}
+
+    def add(lang: int, text: bytes, copies: Counter) -> None:
         words = terms_of(text)
         distinct = None
-        for source, n in copies.items():
-            counts, docs = found.setdefault((lang, source), (Counter(), Counter()))
+        for group, n in copies.items():
+            counts, docs = found.setdefault(lang, {}).setdefault(group, (Counter(), Counter()))
             if n == 1:
                 counts.update(words)
                 docs.update(set(words))
@@ -144,10 +159,15 @@ def term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[term] += times * n
                 docs[term] += n
 
+    def handed_on() -> Iterator[pa.RecordBatch]:
+        for lang, cells in found.items():
+            yield from _packed(lang, cells, buckets)
+        found.clear()
+
     key, text, copies = None, b"", Counter()
     for batch in batches:
         for a in range(0, batch.num_rows, 1000):
-            for lang, source, digest, row_text, n in zip(*(c.to_pylist() for c in batch.slice(a, 1000).columns)):
+            for lang, group, digest, row_text, n in zip(*(c.to_pylist() for c in batch.slice(a, 1000).columns)):
                 if (lang, digest) != key:
                     if key:
                         add(key[0], text, copies)
@@ -155,23 +175,78 @@ def term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if n is None:
                     text = row_text.encode("utf-8")
                 else:
-                    copies[source] += n
-            if sum(len(counts) for counts, _ in found.values()) > KEPT_TERMS:
-                yield from added()
+                    copies[group] += n
+            if sum(len(counts) for cells in found.values() for counts, _ in cells.values()) > KEPT_TERMS:
+                yield from handed_on()
     if key:
         add(key[0], text, copies)
-    yield from added()
+    yield from handed_on()
+
+
+def _added(parts: list[tuple]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Packed counts of one bucket and language as ``(terms, groups, n, n_docs)``, each term and group once."""
+    terms = pa.array(b" ".join([p[0] for p in parts]).split(b" "), pa.binary())
+    columns = [np.frombuffer(b"".join([p[i] for p in parts]), np.int64) for i in (1, 2, 3)]
+    table = pa.table([terms, *columns], names=["term", "group", "n", "n_docs"])
+    summed = table.group_by(["term", "group"], use_threads=False).aggregate([("n", "sum"), ("n_docs", "sum")])
+    return (summed["term"].combine_chunks(), *(summed[c].to_numpy() for c in ("group", "n_sum", "n_docs_sum")))
+
+
+def kept_batches(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
+    """Packed counts, all of a bucket and language next to each other, as one row per kept term and group
+    that has it; ``first`` marks one row of each term."""
+
+    def kept(lang: int, parts: list[tuple]) -> pa.RecordBatch:
+        terms, groups, n, n_docs = _added(parts)
+        codes = terms.dictionary_encode()
+        code = codes.indices.to_numpy()
+        often = np.bincount(code, n_docs) >= min_docs  # sums of documents, far below 2 ** 53
+        total = np.zeros(len(often), np.int64)
+        np.add.at(total, code, n)
+        rows = np.flatnonzero(often[code])
+        rows = rows[np.argsort(code[rows], kind="stable")]
+        first = np.diff(code[rows], prepend=-1) != 0
+        chosen = codes.dictionary.take(pa.array(code[rows])).cast(pa.string())
+        columns = [pa.array(np.full(len(rows), lang)), pa.array(groups[rows]), chosen, pa.array(n[rows]), pa.array(total[code[rows]]), pa.array(first)]
+        return pa.RecordBatch.from_arrays(columns, names=["lang_key", "group_key", "term", "n", "lang_n", "first"])
+
+    key, parts, cells = None, [], 0
+    for batch in batches:
+        for bucket, lang, *packed in zip(*(c.to_pylist() for c in batch.columns)):
+            if (bucket, lang) != key:
+                if key:
+                    yield kept(key[1], parts)
+                key, parts, cells = (bucket, lang), [], 0
+            parts.append(tuple(packed))
+            cells += len(packed[1]) // 8
+            if cells > MERGED_CELLS:
+                terms, *numbers = _added(parts)
+                parts = [(b" ".join(terms.to_pylist()), *(v.tobytes() for v in numbers))]
+                cells = len(terms)
+                cells = cells if cells * 2 < MERGED_CELLS else 0  # a bucket this large is added up in steps of its size
+    if key:
+        yield kept(key[1], parts)
+
 
+def _named(docs: DataFrame, lang: str, source: str) -> list[Column]:
+    return [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"))]
 
-def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
-    """``(lang, source, term, n, n_docs)``: occurrences of each term in the texts of a source
-    of a language and how many of these texts hold it.  Nulls count as ''."""
+
+def kept_terms(
+    docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = MIN_DOCS
+) -> DataFrame:
+    """``(lang_key, group_key, term, n, lang_n, first)``: how often each kept term occurs in the texts of a
+    group and in those of its language.  The keys are hashes of lang, and of lang and source; nulls
+    count as ''."""
     ship(docs.sparkSession)
-    blank = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"), (text, "text"))]
-    copies = docs.select(*blank).mapInArrow(copy_batches, _COPIES)
-    together = copies.repartition("lang", "digest").sortWithinPartitions("lang", "digest")
-    found = together.mapInArrow(term_batches, _TERMS)
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+    buckets = max(LEAST_BUCKETS, docs.count() // BUCKET_DOCS)
+    texts = docs.select(*_named(docs, lang, source), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    copies = texts.mapInArrow(copy_batches, _COPIES)
+    keyed = copies.select(F.xxhash64("lang").alias("lang"), F.xxhash64("lang", "source").alias("group"), "digest", "text", "n")
+    together = keyed.repartition("lang", "digest").sortWithinPartitions("lang", "digest")
+    packed = together.mapInArrow(lambda batches: term_batches(batches, buckets), _PACKED)
+    by_bucket = packed.repartition("bucket").sortWithinPartitions("bucket", "lang")
+    return by_bucket.mapInArrow(lambda batches: kept_batches(batches, min_docs), _KEPT)
 
 
 # ---------------------------------------------------------------- divergence
@@ -189,27 +264,14 @@ def distance(p: str, q: str) -> str:
     return f"(({p} - {q}) * ({p} - {q})) div ({p} + {q})"
 
 
-def _kept_terms(counts: DataFrame, min_docs: int) -> DataFrame:
-    """``(lang, source, term, n, lang_n, first)`` of the kept terms, ``first`` once per term."""
-    term = Window.partitionBy("lang", "term")
-    marked = counts.withColumns(
-        {
-            "docs_of_term": F.sum("n_docs").over(term),
-            "lang_n": F.sum("n").over(term),
-            "first": F.row_number().over(term.orderBy("source")) == 1,
-        }
-    )
-    return marked.filter(F.col("docs_of_term") >= min_docs).drop("docs_of_term", "n_docs")
-
-
 def _groups(docs: DataFrame, kept: DataFrame, lang: str, source: str) -> DataFrame:
     """One row per group that occurs: ``total`` and ``terms`` of its kept terms, of its language
     ``vocabulary`` and ``lang_total``, and ``p0``, its value for a term that it has not."""
-    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"))]
-    occurring = docs.select(*named).distinct()
-    own = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("terms"))
-    langs = kept.filter("first").groupBy("lang").agg(F.count("*").alias("vocabulary"), F.sum("lang_n").alias("lang_total"))
-    all_groups = occurring.join(own, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0)
+    occurring = docs.select(*_named(docs, lang, source)).distinct()
+    occurring = occurring.withColumns({"lang_key": F.xxhash64("lang"), "group_key": F.xxhash64("lang", "source")})
+    own = kept.groupBy("group_key").agg(F.sum("n").alias("total"), F.count("*").alias("terms"))
+    langs = kept.filter("first").groupBy("lang_key").agg(F.count("*").alias("vocabulary"), F.sum("lang_n").alias("lang_total"))
+    all_groups = occurring.join(own, "group_key", "left").join(langs, "lang_key", "left").na.fill(0)
     p0 = F.when(F.col("vocabulary") > 0, share("0L", "total", "vocabulary"))
     return all_groups.withColumn("p0", p0)
 
@@ -267,11 +329,12 @@ def audit(
     term's groups is the only work that grows with the square of the number of sources, and
     only of those that have the term.
     """
-    kept = stage(_kept_terms(term_counts(docs, lang, source, text), min_docs), "kept_terms")
+    kept = stage(kept_terms(docs, lang, source, text, min_docs), "kept_terms")
     of_groups = stage(_groups(docs, kept, lang, source), "groups")
-    group = F.struct("lang", "source").alias("group")
-    keyed = of_groups.filter("terms > 0").select(group, "total", "vocabulary", "lang_total", "p0", "terms")
-    rows = join_per_key(kept.withColumn("group", group), keyed, "group", "terms").withColumns(
+    if of_groups.count() > of_groups.select("group_key").distinct().count():
+        raise ValueError("two groups have the same 64-bit key")
+    keyed = of_groups.filter("terms > 0").drop("lang_key")
+    rows = join_per_key(kept.drop("lang_key"), keyed, "group_key", "terms").withColumns(
         {"p": share("n", "total", "vocabulary"), "q": share("lang_n", "lang_total", "vocabulary")}
     )
     cells = stage(rows.select("lang", "source", "term", "p", "q", "p0"), "cells")
