@@ -2,7 +2,9 @@
 
 The file's rules: Unicode form NFC, white space to a blank, lower case; pieces by a pattern;
 bytes as letters; the last symbol of a piece with an end mark; merges by rank.  Special
-strings in a text are their ids.
+strings in a text are their ids.  What is a letter or a number, and its lower case, depends on the version
+of Unicode, so chunks with characters beyond ASCII are normalised and cut by the tokenizers
+library's own normaliser and splitter; encoding is done here.
 
 All distinct pieces of a batch are encoded together.  Their symbols lie in one array with links
 to the next and the previous symbol of a piece.  The index maps the rank of each adjacent pair to
@@ -15,7 +17,6 @@ from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from lexspark.llm.chunks import ChunkCode, encoded_groups
 from lexspark.llm.shipping import ship
@@ -47,6 +49,11 @@ class WordBpe:
         if steps != ["NFC", "Replace", "Lowercase"] or model["type"] != "BPE" or not split["invert"]:
             raise ValueError(f"{path}: not a file of the expected kind")
         self.pattern_or_end = regex.compile(split["pattern"]["Regex"] + "|\n")
+        replaced = spec["normalizer"]["normalizers"][1]
+        self.normalizer = normalizers.Sequence(
+            [normalizers.NFC(), normalizers.Replace(Regex(replaced["pattern"]["Regex"]), replaced["content"]), normalizers.Lowercase()]
+        )
+        self.splitter = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), split["behavior"].lower(), split["invert"])
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = special
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")")
@@ -135,16 +142,32 @@ class WordBpe:
         alive = symbols >= 0
         return symbols[alive].astype(np.uint32), np.concatenate(([0], np.cumsum(alive)[ends - 1]))
 
+    def _pieces(self, chunk: str) -> list[str]:
+        """The pieces of a chunk with characters beyond ASCII."""
+        pieces: list[str] = []
+        for part in self.special_cut.split(chunk):
+            if part in self.special:
+                pieces.append(part)
+            elif part:
+                pieces += [p for p, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(part))]
+        return pieces
+
     def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of chunks without white space at which texts are cut, and their offsets."""
-        plain = "\n".join(chunks)
-        if not plain.isascii():
-            plain = unicodedata.normalize("NFC", plain).replace("Σ", "σ")  # no rule for a last sigma
-        cut = [c if c in self.special else c.lower() for c in self.special_cut.split(plain)]
-        parts = [p for c in cut for p in ((c,) if c in self.special else self.pattern_or_end.findall(c))]
         if not chunks:
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        plain = "\n".join(c if c.isascii() else "" for c in chunks)
+        cut = [c if c in self.special else c.lower() for c in self.special_cut.split(plain)]
+        parts = [p for c in cut for p in ((c,) if c in self.special else self.pattern_or_end.findall(c))]
         parts.append("\n")
+        if others := [(i, c) for i, c in enumerate(chunks) if not c.isascii()]:
+            ends = [i for i, p in enumerate(parts) if p == "\n"]
+            whole, at = [], 0
+            for i, chunk in others:
+                whole += parts[at : ends[i]]
+                whole += self._pieces(chunk)
+                at = ends[i]
+            parts = whole + parts[at:]
         known: dict[str, int] = {}
         code = np.array([known.setdefault(p, len(known)) for p in parts])
         distinct = list(known)
