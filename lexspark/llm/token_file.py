@@ -31,6 +31,7 @@ from lexspark.llm.words import BLANKS
 from lexspark.session import release, stage
 
 BLOCK_IDS = 1 << 17
+MOST_IDS = 1 << 22  # a table of ranks goes to the driver and to each worker
 #: by control byte: bytes of its four numbers, and of all four
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) % 4 + 1
 BLOCK_SCHEMA = "part int, block int, before long, doc_ids array<long>, lengths array<long>, control binary, data binary"
@@ -151,9 +152,11 @@ def block_batches(batches: Iterator[pa.RecordBatch], rank_of: np.ndarray) -> Ite
         yield packed()
 
 
-def _table(ranks: DataFrame, vocabulary_size: int) -> np.ndarray:
-    """``id_of[rank]``; as many entries as the vocabulary at most."""
-    rows = ranks.orderBy("rank").limit(vocabulary_size).collect()
+def _table(ranks: DataFrame) -> np.ndarray:
+    """``id_of[rank]``; as many entries as the vocabulary at most.  One of more than ``MOST_IDS`` is refused."""
+    rows = ranks.orderBy("rank").limit(MOST_IDS + 1).collect()
+    if len(rows) > MOST_IDS:
+        raise ValueError(f"more than {MOST_IDS} different ids")
     return np.array([r.id for r in rows], np.uint32)
 
 
@@ -180,7 +183,7 @@ def write_tokens(
     by_frequency = Window.orderBy(F.col("n").desc(), "id")  # at most the vocabulary
     ranks = counts.select((F.row_number().over(by_frequency) - 1).alias("rank"), "id").coalesce(1)
     ranks.write.mode("overwrite").parquet(f"{path}/ranks")
-    id_of = _table(spark.read.parquet(f"{path}/ranks"), 1 << 22)
+    id_of = _table(spark.read.parquet(f"{path}/ranks"))
     rank_of = np.zeros(int(id_of.max(initial=0)) + 1, np.uint32)
     rank_of[id_of] = np.arange(len(id_of))
     in_order = encoded.repartitionByRange("doc_id", F.xxhash64("ids")).sortWithinPartitions("doc_id", "ids")
@@ -195,7 +198,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids)`` of the documents, ``ids`` as little-endian 32-bit
     numbers, ``start`` the number of ids of all documents before."""
     ship(spark)
-    id_of = _table(spark.read.parquet(f"{path}/ranks"), 1 << 22)
+    id_of = _table(spark.read.parquet(f"{path}/ranks"))
     stored = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
     total = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n)
     parts = stored.groupBy("part").agg(F.max(F.col("before") + total).alias("n"))
