@@ -30,6 +30,7 @@ from lexspark.session import stage
 
 WIDTH = 5
 BITMAP = 1 << 24
+MOST_SHINGLES = 1 << 18  # of windows that are looked at together
 BLOCKS, ERRORS = 8, 2
 RADIUS = BLOCKS * (ERRORS + 1) - 1
 
@@ -107,8 +108,9 @@ def window_batches(
                     full = n - w + 1
                     stop = np.minimum(starts + full, offset[text + 1])
                     good = (sums[stop] - sums[starts]) * den >= num * full
-                    for a in range(0, good.sum(), 5000):
-                        chosen = np.flatnonzero(good)[a : a + 5000]
+                    step = max(1, min(5000, MOST_SHINGLES // full))
+                    for a in range(0, good.sum(), step):
+                        chosen = np.flatnonzero(good)[a : a + step]
                         places = starts[chosen][:, None] + np.arange(full)
                         used = places < stop[chosen][:, None]
                         rows = shingles[np.minimum(places, len(shingles) - 1)]
