@@ -38,6 +38,17 @@ _BITS = np.array([v.bit_count() for v in range(256)], np.uint8)
 _WITHIN = [np.flatnonzero(_BITS <= e).astype(np.uint8) for e in range(9)]
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors with their largest component between 1/2 and 1, by a power of two: no square
+    overflows, and all digits and cosines stay as they are."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
+def unit_length(vectors: np.ndarray) -> np.ndarray:
+    vectors = scaled(vectors)
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
 @dataclass
 class Coder:
     mean: np.ndarray
@@ -49,14 +60,14 @@ class Coder:
         return self.directions.shape[1]
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
-        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        unit = unit_length(vectors)
         return np.packbits((unit - self.mean) @ self.directions > 0, axis=1)
 
 
 def learn(vectors: np.ndarray, k: int, seed: int = 3) -> Coder:
     """A coder for vectors like the sample's."""
     rng = np.random.default_rng(seed)
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    unit = unit_length(vectors)
     mean = unit.mean(axis=0)
     _, axes = np.linalg.eigh(np.cov((unit - mean).T).reshape(unit.shape[1], -1))
     axes = axes[:, ::-1][:, :MOST_DIRECTIONS]
@@ -118,25 +129,26 @@ def _matrix(table: pa.Table, column: str, kind) -> np.ndarray:
 
 def search_block(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     """The ``k`` nearest found of the rows of a block for each query of a block."""
-    out: list[list] = [[], [], []]
+    out: list[list] = [[], [], [], []]
     if rows.num_rows and queries.num_rows:
-        ids, vectors = rows.column("vec_id").to_numpy(), _matrix(rows, "vector", np.float64)
+        ids, vectors = rows.column("vec_id").to_numpy(), scaled(_matrix(rows, "vector", np.float64))
         norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
         codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8).reshape(len(ids), -1)
         index = MultiIndex(codes)
-        asked = _matrix(queries, "vector", np.float64)
-        for q, code, radius, own in zip(
-            queries.column("vec_id").to_pylist(), queries.column("code").to_pylist(), queries.column("radius").to_pylist(), asked
+        asked = scaled(_matrix(queries, "vector", np.float64))
+        for q, key, code, radius, own in zip(
+            *(queries.column(c).to_pylist() for c in ("vec_id", "key", "code", "radius")), asked
         ):
             found = index.within(np.frombuffer(code, np.uint8), radius)
             found = found[ids[found] != q]
             scores = np.einsum("ij,j->i", vectors[found], own) / (norms[found] * np.sqrt(np.einsum("i,i->", own, own)))
             best = np.lexsort((ids[found], -scores))[:k]
             out[0].extend([q] * len(best))
-            out[1].extend(ids[found][best].tolist())
-            out[2].extend(scores[best].tolist())
-    kinds = (pa.int64(), pa.int64(), pa.float64())
-    return pa.table({n: pa.array(v, t) for n, v, t in zip(("query_id", "vec_id", "score"), out, kinds)})
+            out[1].extend([key] * len(best))
+            out[2].extend(ids[found][best].tolist())
+            out[3].extend(scores[best].tolist())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+    return pa.table({n: pa.array(v, t) for n, v, t in zip(("query_id", "key", "vec_id", "score"), out, kinds)})
 
 
 def usable(vector: Column) -> Column:
@@ -188,11 +200,11 @@ def _search(index: DataFrame, queries: DataFrame, k: int, n_rows: int, n_queries
     found = (
         rows.groupBy("rb", "qb")
         .cogroup(asked.groupBy("rb", "qb"))
-        .applyInArrow(lambda a, b: search_block(a, b, k), "query_id long, vec_id long, score double")
+        .applyInArrow(lambda a, b: search_block(a, b, k), "query_id long, key long, vec_id long, score double")
     )
-    nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    nearest = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return ranked.select("query_id", "key", "rank", "vec_id", "score")
 
 
 def nearest(index: DataFrame, coder: Coder | None, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -200,18 +212,21 @@ def nearest(index: DataFrame, coder: Coder | None, queries: DataFrame, k: int =
     index, the ``k`` other rows of largest cosine among those within the radius, all if they are
     fewer than ``k`` otherwise; ties by id.
 
-    Rows of an equal id are one row to each other: neither finds the other.  An empty index gives an
-    empty table.
+    Rows of an equal id are one row to each other: neither finds the other.  As queries, equal rows are
+    one, and rows of an equal id with different vectors are asked, and ranked, each for itself.  An empty
+    index gives an empty table.
     """
     spark = index.sparkSession
     if coder is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    queries = stage(queries.withColumn("key", F.xxhash64("vector")).dropDuplicates(["vec_id", "key"]), "asked")
     n_rows, n_queries = index.count(), queries.count()
     first = stage(_search(index, queries.withColumn("radius", F.lit(coder.radius)), k, n_rows, n_queries), "neighbours")
-    served = first.groupBy("query_id").count().filter(F.col("count") == k).select(F.col("query_id").alias("vec_id"))
-    again = stage(queries.join(served, "vec_id", "left_anti"), "unserved")
+    served = first.groupBy(F.col("query_id").alias("vec_id"), "key").count().filter(F.col("count") == k).drop("count")
+    again = stage(queries.join(served, ["vec_id", "key"], "left_anti"), "unserved")
     n_again = again.count()
-    if not n_again:
-        return first
-    rest = _search(index, again.select(*queries.columns, F.lit(coder.bits).alias("radius")), k, n_rows, n_again)
-    return first.join(served, first.query_id == served.vec_id, "left_semi").unionByName(rest)
+    if n_again:
+        rest = _search(index, again.select(*queries.columns, F.lit(coder.bits).alias("radius")), k, n_rows, n_again)
+        kept = first.join(served.withColumnRenamed("vec_id", "query_id"), ["query_id", "key"], "left_semi")
+        first = kept.select(rest.columns).unionByName(rest)
+    return first.drop("key")
