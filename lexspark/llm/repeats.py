@@ -37,6 +37,9 @@ MIN_WORDS = 12
 SENTENCES = ("sentences",)
 ALL_KINDS = ("sentences", "lines", "pieces")
 WINDOW = 8
+FIRST, SHORT = 1, 2
+_WIDE = np.zeros(256, np.int64)
+_WIDE[0xE0:0xF5] = 1  # first bytes of characters that scripts without blanks use
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?:;")] = True
 _FACTOR = 0xD1342543DE82EF95
@@ -150,7 +153,8 @@ def _digests(words: Words, starts: np.ndarray, stop: np.ndarray, hashes: np.ndar
 def units(
     words: Words, min_words: int, kinds: tuple[str, ...] = SENTENCES
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(text, start, end, digest)`` of the units, each span of bytes of the group once."""
+    """``(text, start, end, digest)`` of the units, each span of bytes of the group once.  Lines
+    and paragraphs may be of any size."""
     none = np.zeros(0, np.int64)
     if not len(words.end):
         return none, none, none, np.zeros(0, np.uint64)
@@ -178,13 +182,20 @@ def units(
 
 
 def unit_batches(
-    batches: Iterator[pa.RecordBatch], min_words: int, kinds: tuple[str, ...] = SENTENCES
+    batches: Iterator[pa.RecordBatch], min_words: int, kinds: tuple[str, ...] = SENTENCES, line_words: int = 1
 ) -> Iterator[pa.RecordBatch]:
-    """``(doc_id, start, end, digest, first)``: byte offsets of units, and whether a unit is the
-    first of its digest in its text or, with pieces, overlaps the first."""
+    """Batches of ``(id columns ..., text)`` as ``(id columns ..., start, end, digest, mark)``: byte offsets of
+    units of ``line_words`` words or more, and a sum of ``FIRST`` if a unit is the first of its digest
+    in its text or, with pieces, overlaps the first, and ``SHORT`` if it has fewer than ``min_words`` words."""
     for batch in batches:
-        for at, words in word_groups(batch.column(1)):
+        for at, words in word_groups(batch.column(batch.num_columns - 1)):
             text, start, end, digest = units(words, min_words, kinds)
+            # a character of a script without blanks counts as half a word
+            wide = np.concatenate(([0], np.cumsum(_WIDE[words.data])))
+            size = np.searchsorted(words.start, end) - np.searchsorted(words.start, start)
+            size = np.maximum(size, (wide[end] - wide[start]) // 2)
+            large = size >= line_words
+            text, start, end, digest, size = (v[large] for v in (text, start, end, digest, size))
             base = words.offset[text]
             order = np.lexsort((start, digest, text))
             repeated = np.zeros(len(text), bool)
@@ -195,16 +206,16 @@ def unit_batches(
                 firsts = np.flatnonzero(~repeated[order])
                 own = order[firsts[np.cumsum(~repeated[order]) - 1]]
                 repeated[order] &= start[order] >= end[own]
-            ids = batch.column(0).slice(at, words.texts).take(pa.array(text))
+            rows = pa.array(text)
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids,
+                    *(c.slice(at, words.texts).take(rows) for c in batch.columns[:-1]),
                     pa.array(start - base, pa.int64()),
                     pa.array(end - base, pa.int64()),
                     pa.array(digest.view(np.int64)),
-                    pa.array(~repeated),
+                    pa.array(np.where(repeated, 0, FIRST) + np.where(size < min_words, SHORT, 0), pa.int8()),
                 ],
-                names=["doc_id", "start", "end", "digest", "first"],
+                names=[*batch.schema.names[:-1], "start", "end", "digest", "mark"],
             )
 
 
@@ -219,7 +230,8 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without their spans, and the character offsets of what is cut and what stays."""
+    """Batches of ``(doc_id, text, spans)``: texts without their spans, and the character offsets of what
+    is cut and what stays."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
         for a in range(0, batch.num_rows, 500):
@@ -244,28 +256,57 @@ def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _repeated_ids(rows: DataFrame) -> DataFrame:
+    """The ids that several rows have."""
+    return rows.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+
+
 def remove_repeats(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", *, min_words: int = MIN_WORDS, kinds: tuple[str, ...] = SENTENCES
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    *,
+    min_words: int = MIN_WORDS,
+    kinds: tuple[str, ...] = SENTENCES,
+    line_words: int = 1,
+    short_docs: int = 1,
 ) -> DataFrame:
     """``(doc_id, text, removed, kept)`` for each row of ``docs``: the text without repeated units,
     and the character offsets, in the original text, of what was removed and of what stays.
     ``kinds`` says what is a unit; ``ALL_KINDS`` is the whole job.
 
+    Short lines repeat by nature in lists, verse and dialogue.  A line or paragraph of fewer than ``line_words``
+    words is no unit, and one of fewer than ``min_words`` counts as repeated only if it stands in ``short_docs``
+    documents or more; two characters of a script without blanks are as good as a word.
+
     Null texts stay null and empty ones empty, without spans.  Rows without id are returned as they
-    are and are no occurrence.  Rows that repeat an id are one document: their units do not repeat
-    each other, and what is removed from one is removed from each at the same offsets.  An empty
-    table gives an empty table; other columns are ignored.
+    are and are no occurrence.  Rows that repeat an id are one document: what one of them repeats of
+    another stays, and each has the offsets of its own text.  An empty table gives an empty
+    table; other columns are ignored.
 
     A digest in a third of all documents is counted before the shuffle and joined in shares.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    schema = "doc_id long, start long, end long, digest long, first boolean"
-    found = rows.filter("doc_id is not null").mapInArrow(lambda batches: unit_batches(batches, min_words, kinds), schema)
-    groups = found.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n_rows"))
-    shared = stage(groups.filter("n_rows > 1"), "digests")
-    later = join_per_key(found, shared, "digest", "n_rows").filter("doc_id <> first_doc or not first")
-    spans = later.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    joined = rows.join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    repeated = stage(_repeated_ids(rows), "repeated_ids")
+    row = ["doc_id"]
+    if not repeated.isEmpty():  # only then do offsets need to know the text that they belong to
+        row.append("key")
+        marked = rows.join(repeated.withColumn("again", F.lit(True)), "doc_id", "left")
+        rows = marked.select("doc_id", F.when(F.col("again"), F.xxhash64("text")).otherwise(0).alias("key"), "text")
+    schema = ", ".join([*(f"{c} long" for c in row), "start long, end long, digest long, mark byte"])
+    found = rows.filter("doc_id is not null").mapInArrow(lambda batches: unit_batches(batches, min_words, kinds, line_words), schema)
+    first, short = (F.col("mark").bitwiseAND(bit) > 0 for bit in (FIRST, SHORT))
+    groups = found.groupBy("digest").agg(
+        F.min("doc_id").alias("first_doc"),
+        F.count("*").alias("n_rows"),
+        F.sum(first.cast("long")).alias("n_docs"),
+        F.max(short.cast("int")).alias("short"),
+    )
+    counts = (F.col("short") == 0) | (F.col("n_docs") >= short_docs)
+    shared = stage(groups.filter("n_rows > 1").filter(counts).select("digest", "first_doc", "n_rows"), "digests")
+    later = join_per_key(found, shared, "digest", "n_rows").filter((F.col("doc_id") != F.col("first_doc")) | ~first)
+    spans = later.groupBy(*row).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    joined = rows.join(spans, row, "left").select("doc_id", "text", "spans")
     span = "array<struct<start: bigint, end: bigint>>"
     return joined.mapInArrow(cut_batches, f"doc_id long, text string, removed {span}, kept {span}")
