@@ -62,7 +62,8 @@ def op4_token_file(spark, sf_dir):
 
 
 def op5_repeated_passages(spark, sf_dir):
-    return repeats.remove_repeats(_table(spark, sf_dir, "documents"), kinds=repeats.ALL_KINDS)
+    docs = _table(spark, sf_dir, "documents")
+    return repeats.remove_repeats(docs, kinds=repeats.ALL_KINDS, line_words=repeats.MIN_WORDS)
 
 
 def op6_toxicity(spark, sf_dir):
