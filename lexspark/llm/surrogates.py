@@ -8,7 +8,10 @@ nobody without the key can go back.  An entity is known by a canonical form (low
 without their punctuation), and each occurrence gets the surrogate in its own punctuation and
 case.  What is kept: the country of phone and account numbers, the first digit of a card and
 whether its check digit is right, the top domain of an address, private networks, titles.  Equal
-domains, given names and surnames get equal surrogates, alone or together.
+domains, given names and surnames get equal surrogates, alone or together.  A given name is that of a
+woman or a man by the titles that it has in the whole corpus, and gets a neutral form where these say
+neither, so a person stays one person after Dr and after Mrs.  Letters are replaced by letters of their script, those
+of scripts not listed by Latin ones, never by themselves as a rule.
 
 Collision checks: no two entities of a type share a surrogate, and no surrogate is itself an
 entity of the corpus; those that fail try again with another hash.  What is left after that, where
@@ -27,10 +30,10 @@ from lexspark.session import release, stage
 
 # What entities look like.
 TITLES = {
-    "m": ["Mr", "Mister", "Sir", "Lord", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин"],
+    "m": ["Mr", "Mister", "Sir", "Lord", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин", "Κύριος"],
     "f": [
         "Mrs", "Ms", "Miss", "Madam", "Lady", "Dame", "Frau", "Fräulein", "Madame", "Mme", "Mademoiselle", "Mlle",
-        "Señora", "Sra", "Señorita", "Srta", "Signora", "Signorina", "Госпожа",
+        "Señora", "Sra", "Señorita", "Srta", "Signora", "Signorina", "Госпожа", "Κυρία",
     ],
     "": ["Dr", "Doctor", "Prof", "Professor", "Docteur", "Доктор", "Профессор"],
 }
@@ -46,7 +49,7 @@ _NATIONAL = (
     r"|0\d{1,4}[ -]\d{3,4}[ -]\d{3,4}|0\d{2,4}[ /-]\d{5,8}|0\d(?<two>[ .-])\d\d(?:\k<two>\d\d){3})(?!\d|[.-]\d)"
 )
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*+(?<=\.\p{L}{2,24})",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+-]*+@[\p{L}\p{M}\p{N}-]++(?:\.[\p{L}\p{M}\p{N}-]++)*+(?<=\.[\p{L}\p{M}]{2,63})",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "ip6": rf"(?<![\p{{L}}\d:.])(?=[A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{0,6}})?::(?:{_HEX}(?::{_HEX}){{0,6}})?)(?![\p{{L}}\d:]|\.\d)",
     "phone": rf"(?<![\d+])(?:\+\d{{1,3}}[ .-]?)?\(\d{{2,4}}\) ?\d{{3,4}}[ .-]?\d{{3,4}}(?!\d)|(?<![\d+])\+\d{{1,3}}(?:[ .-]?\d{{2,4}}){{3,4}}(?!\d)|{_NATIONAL}",
@@ -59,10 +62,34 @@ PATTERNS = {
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values()).replace("([ -]?)", "(?<cut>[ -]?)").replace(r"\1", r"\k<cut>")
 TRIES_BESIDE_ENTITIES, TRIES = 12, 40
 
-_SCRIPTS = {  # letters, syllables, endings of given names
-    "latin": ("abcdefghijklmnopqrstuvwxyz", "ba de ka lo mi no pe ra su ta ve zo fi ga hu je".split(), ("n r s l", "a ia na ra")),
-    "cyrillic": ("абвгдежзиклмнопрстуфхцчшэюя", "ба де ка ло ми но пе ра су та ве зо фи га ху же".split(), ("н р с л", "а ия на ра")),
+# letters to choose from by script, 128 at most; of scripts with capital letters also the syllables of
+# names and the endings of a man's, a woman's and a neutral one
+_LETTERS = {
+    "Latin": "abcdefghijklmnopqrstuvwxyz",
+    "Cyrillic": "абвгдежзиклмнопрстуфхцчшэюя",
+    "Greek": "αβγδεζηθικλμνξοπρστυφχψω",
+    "Hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+    "Arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    "Devanagari": "कखगघचछजझटठडढतथदधनपफबभमयरलवशषसह",
+    "Thai": "กขคงจฉชซญดตถทธนบปผพฟภมยรลวศสหอ",
+    "Hiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわ",
+    "Katakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ",
+    "Hangul": "".join(map(chr, range(0xAC00, 0xAC00 + 28 * 64, 28))),
+    "Han": "".join(map(chr, range(0x5200, 0x5280))),
 }
+_NAMES = {
+    "Latin": ("ba de ka lo mi no pe ra su ta ve zo fi ga hu je", ("n r s l", "a ia na ra", "e i o u")),
+    "Cyrillic": ("ба де ка ло ми но пе ра су та ве зо фи га ху же", ("н р с л", "а ия на ра", "е и о ю")),
+    "Greek": ("βα δε κα λο μι νο πε ρα σου τα βε ζο φι γα χου ζε", ("ν ρ ς λ", "α ια να ρα", "ε ι ο ω")),
+}
+
+
+def _by_script(c: Column, chosen) -> Column:
+    """``chosen(letters)`` with the letters of the character's script, Latin ones where it is not listed."""
+    out = chosen(_LETTERS["Latin"])
+    for script, letters in reversed(_LETTERS.items()):
+        out = F.when(c.rlike(rf"\p{{Is{script}}}"), chosen(letters)).otherwise(out)
+    return out
 
 
 def may_hold(text: Column) -> Column:
@@ -92,8 +119,6 @@ def _words(occurrence: Column) -> Column:
 
 def parts(occurrence: Column, kind: Column) -> Column:
     """The entities in an occurrence, ``(type, canonical)``: one, or the words of a name."""
-    titles = F.regexp_extract(occurrence, f"^{_TITLED}", 0)
-    given = F.when(titles.rlike(rf"(?:^| )(?:{'|'.join(TITLES['f'])})\.? "), "given_f").otherwise("given_m")
     words = _words(occurrence)
 
     def entity(type_: Column, canonical: Column) -> Column:
@@ -111,7 +136,7 @@ def parts(occurrence: Column, kind: Column) -> Column:
                     F.when(word.contains("."), "initial")
                     .when(~F.substring(word, 1, 1).rlike(r"\p{Lu}"), "particle")
                     .when(i == F.size(words) - 1, "surname")
-                    .otherwise(given),
+                    .otherwise("given"),
                     F.lower(word),
                 ),
             )
@@ -119,6 +144,15 @@ def parts(occurrence: Column, kind: Column) -> Column:
     )
 
 
+def gender(occurrence: Column) -> Column:
+    """What the titles of a name say: f, m or nothing."""
+    titles = F.regexp_extract(occurrence, f"^{_TITLED}", 0)
+    said = F.lit("")
+    for g in ("m", "f"):
+        said = F.when(titles.rlike(rf"(?:^| )(?:{'|'.join(TITLES[g])})\.? "), g).otherwise(said)
+    return said
+
+
 def _characters(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
@@ -145,15 +179,10 @@ def surrogate(kind: Column, canonical: Column, key: str, attempt: int, digest: C
     """The surrogate of an entity, in canonical form; ``digest`` stands for its keyed hash."""
     digest = digest if digest is not None else F.sha2(F.concat_ws("|", F.lit(key), kind, canonical, F.lit(str(attempt))), 512)
     domain = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), F.substring_index(canonical, "@", -1)), 512)
-    letters, cyrillic = _SCRIPTS["latin"][0], _SCRIPTS["cyrillic"][0]
 
     def other(c: Column, number: Column) -> Column:
-        return (
-            F.when(c.rlike(r"\d"), _pick("0123456789", number))
-            .when(c.rlike(r"\p{IsCyrillic}"), _pick(cyrillic, number))
-            .when(c.rlike(r"\p{IsLatin}"), _pick(letters, number))
-            .otherwise(c)
-        )
+        letter = _by_script(c, lambda letters: _pick(letters, number))
+        return F.when(c.rlike(r"\p{N}"), _pick("0123456789", number)).when(c.rlike(r"[\p{L}\p{M}]"), letter).otherwise(c)
 
     size = F.length(canonical)
     top = size - F.length(F.substring_index(canonical, ".", -1))
@@ -192,11 +221,11 @@ def surrogate(kind: Column, canonical: Column, key: str, attempt: int, digest: C
     )
 
     def name(script: str) -> Column:
-        _, syllables, endings = _SCRIPTS[script]
+        syllables, endings = _NAMES[script][0].split(), _NAMES[script][1]
         choices = F.array(*map(F.lit, syllables))
         stem = F.concat(*(F.get(choices, F.pmod(_number(digest, F.lit(i)), F.lit(len(syllables)))) for i in range(3 + attempt % 8)))
-        ends = [F.get(F.array(*map(F.lit, e.split())), F.pmod(_number(digest, F.lit(40)), F.lit(4))) for e in endings]
-        return F.concat(stem, F.when(kind == "given_f", ends[1]).otherwise(ends[0]))
+        man, woman, neutral = (F.get(F.array(*map(F.lit, e.split())), F.pmod(_number(digest, F.lit(40)), F.lit(4))) for e in endings)
+        return F.concat(stem, F.when(kind == "given_f", woman).when(kind == "given_n", neutral).otherwise(man))
 
     return (
         F.when(kind == "email", joined(mail))
@@ -208,8 +237,9 @@ def surrogate(kind: Column, canonical: Column, key: str, attempt: int, digest: C
         .when(kind == "token", joined(hexadecimal))
         .when(kind.isin("ssn", "initial"), kept(0))
         .when(kind == "particle", canonical)
-        .when(canonical.rlike(r"\p{IsCyrillic}"), name("cyrillic"))
-        .otherwise(name("latin"))
+        .when(canonical.rlike(r"\p{IsCyrillic}"), name("Cyrillic"))
+        .when(canonical.rlike(r"\p{IsGreek}"), name("Greek"))
+        .otherwise(name("Latin"))
     )
 
 
@@ -220,7 +250,7 @@ def _rendered(occurrence: Column, kind: Column, found: Column) -> Column:
     def step(state: Column, c: Column) -> Column:
         own = F.substring(surrogate_, state["i"], F.lit(1))
         cased = F.when((F.upper(c) == c) & (F.lower(c) != c), F.upper(own)).otherwise(own)
-        letter = c.rlike(r"[\p{L}\p{N}]")
+        letter = c.rlike(r"[\p{L}\p{M}\p{N}]")
         keeps = kind.isin("phone", "card", "ssn", "account") & ~letter
         return F.struct(
             F.when(keeps, state["i"]).otherwise(state["i"] + 1).alias("i"),
@@ -254,10 +284,8 @@ def _radices(kind: Column, canonical: Column) -> Column:
     ).otherwise(0)
 
     def at(c: Column, i: Column) -> Column:
-        other = (
-            F.when(c.rlike(r"\d"), 10).when(c.rlike(r"\p{IsCyrillic}"), len(_SCRIPTS["cyrillic"][0]))
-            .when(c.rlike(r"\p{IsLatin}"), 26).otherwise(1)
-        )
+        letters = _by_script(c, lambda letters: F.lit(len(letters)))
+        other = F.when(c.rlike(r"\p{N}"), 10).when(c.rlike(r"[\p{L}\p{M}]"), letters).otherwise(1)
         hexadecimal = F.when(c.rlike(r"\d"), 10).otherwise(6)
         return (
             F.when((kind == "email") & (i >= at_sign), 1)
@@ -271,7 +299,7 @@ def _radices(kind: Column, canonical: Column) -> Column:
     name = F.array(*(F.lit(16 if i < syllables else 4 if i == 40 else 1) for i in range(41)))
     octets = F.transform(F.split(canonical, r"\."), lambda _, i: F.when(i < private, 1).when(i == 0, 99).otherwise(256))
     places = F.slice(F.transform(_characters(canonical), at), 1, 64)
-    return F.when(kind == "ip", octets).when(kind.isin("given_f", "given_m", "surname"), name).otherwise(places)
+    return F.when(kind == "ip", octets).when(kind.isin("given_f", "given_m", "given_n", "surname"), name).otherwise(places)
 
 
 def _digest_of(number: Column, radices: Column) -> Column:
@@ -402,19 +430,24 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     found = keyed.select("key", occurrence).groupBy("key", "occurrence").agg(F.count("*").alias("n_texts"))
     found = found.withColumn("kind", _type(F.col("occurrence")))
     found = stage(found, "occurrences")
+    said = F.when(F.col("kind") == "name", gender(F.col("occurrence"))).alias("gender")
     split_up = found.select(
-        "key", "occurrence", "kind", F.posexplode(parts(F.col("occurrence"), F.col("kind"))).alias("at", "entity")
+        "key", "occurrence", "kind", said, F.posexplode(parts(F.col("occurrence"), F.col("kind"))).alias("at", "entity")
     )
-    entities = split_up.groupBy("entity").agg(F.count("*").alias("n_rows")).select("entity.*", "n_rows")
-    assigned = assign(stage(entities, "entities"), key)
-    assigned = assigned.select(F.struct("type", "canonical").alias("entity"), "surrogate", "n_rows")
-    with_surrogate = stage(join_per_key(split_up, assigned, "entity", "n_rows"), "rendered_parts")
+    times = [F.count(F.when(F.col("gender") == g, 1)).alias(g) for g in ("f", "m")]
+    entities = split_up.groupBy("entity").agg(F.count("*").alias("n_rows"), *times).select("entity.*", "n_rows", "f", "m")
+    given = F.when(F.col("f") > F.col("m"), "given_f").when(F.col("m") > F.col("f"), "given_m").otherwise("given_n")
+    entities = entities.withColumn("type", F.when(F.col("type") == "given", given).otherwise(F.col("type")))
+    assigned = assign(stage(entities.drop("f", "m"), "entities"), key)
+    type_ = F.when(F.col("type").startswith("given_"), "given").otherwise(F.col("type")).alias("type")
+    assigned = stage(assigned.select(F.struct(type_, "canonical").alias("entity"), "surrogate", "n_rows"), "assigned")
+    with_surrogate = stage(join_per_key(split_up.drop("gender"), assigned, "entity", "n_rows"), "rendered_parts")
     in_order = F.array_sort(F.collect_list(F.struct("at", "surrogate")))["surrogate"]
     rendered = with_surrogate.groupBy("key", "occurrence", "kind").agg(in_order.alias("found"))
     rendered = rendered.select("key", "occurrence", _rendered(F.col("occurrence"), F.col("kind"), F.col("found")).alias("by"), F.lit(False).alias("bare"))
     # a name's words, where they stand alone in its text; a surname goes before a given name
     word = F.get(_words(F.col("occurrence")), F.col("at"))
-    alone = with_surrogate.filter("entity.type in ('surname', 'given_m', 'given_f')").select(
+    alone = with_surrogate.filter("entity.type in ('surname', 'given')").select(
         "key", word.alias("occurrence"), F.struct(F.col("entity.type") != "surname", F.initcap("surrogate").alias("by")).alias("by")
     )
     alone = alone.groupBy("key", "occurrence").agg(F.min("by")["by"].alias("by"), F.lit(True).alias("bare"))

@@ -29,6 +29,7 @@ from lexspark.llm import (
     word_bpe,
     words,
 )
+from lexspark.session import stage
 
 SF_DIR = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key long, row string, block int"
@@ -461,6 +462,40 @@ def test_surrogates_of_more_forms(spark):
     assert got[1].text == f"Smith and Jane of another text, Dr. {match[5]}" and got[0].n_replaced == 20
 
 
+def test_surrogates_of_one_person_agree(spark):
+    """Whatever the title, over texts, and by independent counting: names map one to one."""
+    pick = random.Random(6)
+    given, sur = ["Jane", "Ann", "John", "Kim", "Élise", "Иван", "Ελένη"], ["Doe", "Smith", "O'Brien", "Иванов", "Παπαδόπουλος"]
+    titles = {"Jane": ["Mrs", "Dr.", "Prof."], "Ann": ["Ms", "Miss"], "John": ["Mr", "Dr."], "Kim": ["Dr.", "Mr", "Mrs"], "Élise": ["Mme"], "Иван": ["Господин"], "Ελένη": ["Κυρία", "Dr."]}
+    people = [(pick.choice(titles[g]), g, pick.choice(sur)) for g in given for _ in range(12)]
+    texts = ["; ".join(f"{t} {g} {s}" for t, g, s in people[a : a + 4]) for a in range(0, len(people), 4)]
+    got = sorted(surrogates.replace_entities(table(spark, texts), "k").collect(), key=lambda r: r.doc_id)
+    maps = collections.defaultdict(set)
+    for (t, g, s), new in zip(people, "; ".join(r.text for r in got).split("; ")):
+        title, *name = new.split(" ")
+        assert title == t and len(name) == 2
+        maps["given", g].add(name[0])
+        maps["sur", s].add(name[1])
+    assert {len(v) for v in maps.values()} == {1}
+    for kind in ("given", "sur"):
+        new = [min(v) for k, v in maps.items() if k[0] == kind]
+        assert len(set(new)) == len(new) and not {x.lower() for x in new} & {x.lower() for x in (*given, *sur)}
+    assert re.search("(a|ia)$", min(maps["given", "Jane"])) and re.search("[nrsl]$", min(maps["given", "John"]))
+    assert re.search("[nrsl]$|[aeiou]$", min(maps["given", "Kim"])) and re.fullmatch("[Α-Ωα-ω]+", min(maps["given", "Ελένη"]))
+    assert re.fullmatch("[Α-Ωα-ω]+", min(maps["sur", "Παπαδόπουλος"])) and re.fullmatch("[А-Яа-я]+", min(maps["given", "Иван"]))
+
+
+def test_no_letter_of_an_address_survives_in_any_script(spark):
+    names = ["ελένη", "東京太郎", "さくら", "サクラ", "محمد", "משה", "राम", "김철수", "สมชาย", "ნინო", "արամ", "jürgen", "иван", "x" * 90]
+    texts = [f"write to {n}.{n}@{n}.mail.example now" for n in names]
+    got = sorted(surrogates.replace_entities(table(spark, texts), "k").collect(), key=lambda r: r.doc_id)
+    for name, r in zip(names, got):
+        local, domain = re.fullmatch(r"write to (\S+)@(\S+) now", r.text).groups()
+        assert r.n_replaced == 1 and name not in r.text and domain.endswith(".example") and not domain.startswith(name)
+        # by chance alone, few places keep their letter
+        assert sum(a == b for a, b in zip(local, f"{name}.{name}")) - 1 <= len(local) // 3
+
+
 def test_surrogates_stay_distinct(spark):
     """A thousand numbers of three free digits each must use every surrogate once."""
     numbers = [f"+1 (55) 00{i:02d}-00{j:02d}" for i in range(0, 99, 3) for j in range(0, 99, 3)]
@@ -478,7 +513,8 @@ def test_surrogates_of_full_forms(spark, monkeypatch, tries):
     rows += [("email", f"{a}{b}@two.example.net") for a in letters for b in letters[:25]]
     rows += [("ip6", f"::{d}") for d in range(10)] + [("ip6", "fe80::1"), ("surname", "smith"), ("card", "4111111111111111")]
     rows += [("ip", f"192.168.7.{d}") for d in range(256)] + [("initial", "j.")]
-    table = spark.createDataFrame([(*r, 1) for r in rows], "type string, canonical string, n_rows long").localCheckpoint()
+    table = spark.createDataFrame([(*r, 1) for r in rows], "type string, canonical string, n_rows long")
+    table = stage(table, "entities")
     got = [(r.type, r.canonical, r.surrogate) for r in surrogates.assign(table, "k").collect()]
     assert sorted(g[:2] for g in got) == sorted(rows)
     assert len({(t, s) for t, _, s in got if t != "initial"}) == len(rows) - 1
