@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexspark.functions.weights import bm25_idf
@@ -52,15 +52,16 @@ def build_index(
     keep_empty: bool = False,
     buckets: int = BUCKETS,
     files: int | None = None,
+    dropped: Observation | None = None,
 ) -> SearchIndex:
     """Write the index tables of ``chunks(doc, chunk)`` to ``path`` and read them back;
-    ``buckets`` and ``files`` as in ``index_counts``."""
+    ``buckets``, ``files`` and ``dropped`` as in ``index_counts``."""
     counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
-    return index_counts(counts, path, buckets=buckets, files=files)
+    return index_counts(counts, path, buckets=buckets, files=files, dropped=dropped)
 
 
 def index_counts(
-    counts: DataFrame, path: str, *, buckets: int = BUCKETS, files: int | None = None
+    counts: DataFrame, path: str, *, buckets: int = BUCKETS, files: int | None = None, dropped: Observation | None = None
 ) -> SearchIndex:
     """Write the index tables of ``counts(doc, term, tf)`` to ``path`` and read them back.
 
@@ -70,6 +71,8 @@ def index_counts(
     some hundred MB.  Postings and term statistics are ordered by term, so that a query reads only
     the row groups of its terms; ordering postings by document within a term lets a frequent term
     spread over many files.  The index replaces the one at ``path`` when all its tables are written.
+    ``dropped`` is what the source of the counts was given to count the rows that it leaves out; the figures are
+    published with the index (``dropped_rows``).
     """
     spark, version = counts.sparkSession, new_version(path)
     counts = stage(counts, "counts")
@@ -80,7 +83,7 @@ def index_counts(
     term_stats = store_terms(frequencies, version)
     postings = store_postings(with_lengths(counts, doc_lengths), version, buckets, files)
     release(counts)
-    publish(spark, path, version, buckets)
+    publish(spark, path, version, buckets, dropped=dropped)
     return SearchIndex(postings, doc_lengths, term_stats, corpus, buckets)
 
 

@@ -69,6 +69,11 @@ def remove(spark: SparkSession, folder: str) -> None:
     files.delete(path, True)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    files, path = _file_system(spark, folder)
+    return files.exists(path)
+
+
 def subfolders(spark: SparkSession, folder: str) -> list[str]:
     files, path = _file_system(spark, folder)
     return [f.getPath().getName() for f in files.listStatus(path) if f.isDirectory()]

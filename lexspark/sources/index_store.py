@@ -19,16 +19,15 @@ import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.functions.weights import B, K1, bm25_idf, length_coefficient
-from lexspark.session import remove, subfolders
+from lexspark.session import exists, remove, subfolders
 
 TABLES = ("postings", "doc_lengths", "term_stats", "corpus_stats")
 BUCKETS = 32
-_PUBLISHED = "at timestamp, version string, buckets int, number long, segments array<string>"
+_PUBLISHED = "at timestamp, version string, buckets int, number long, segments array<string>, dropped map<string, bigint>"
 
 
 @dataclass(frozen=True)
@@ -66,22 +65,27 @@ def new_version(path: str) -> str:
     return f"{path}/version-{uuid.uuid4().hex}"
 
 
-def publish(spark: SparkSession, path: str, version: str, buckets: int, before: tuple[str, ...] = ()) -> None:
+def publish(
+    spark: SparkSession,
+    path: str,
+    version: str,
+    buckets: int,
+    before: tuple[str, ...] = (),
+    dropped: Observation | None = None,
+) -> None:
     """Make the complete tables in the folder ``version``, added to the segments ``before``, the index
-    at ``path``.  The row published last has the highest number, whatever the clocks of drivers say."""
+    at ``path``.  The row published last has the highest number, whatever the clocks of drivers say.
+    It keeps what the build's read of its input counted as ``dropped``."""
     name = version.rsplit("/", 1)[1]
-    try:
-        last = _published(spark, path).number
-    except AnalysisException as error:  # the first build at this path
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last = 0
+    last = _published(spark, path).number if exists(spark, f"{path}/published") else 0
+    counted = dropped.get if dropped is not None else {}
     row = spark.range(1, numPartitions=1).select(
         F.current_timestamp().alias("at"),
         F.lit(name).alias("version"),
         F.lit(buckets).alias("buckets"),
         F.lit(last + 1).cast("long").alias("number"),
         F.array(*map(F.lit, (*before, name))).alias("segments"),
+        F.create_map(*(F.lit(x) for item in counted.items() for x in item)).cast("map<string, bigint>").alias("dropped"),
     )
     row.write.mode("append").parquet(f"{path}/published")
 
@@ -94,6 +98,13 @@ def _published(spark: SparkSession, path: str):
     return rows.agg(last.alias("last")).first().last
 
 
+def dropped_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``(version, kind, n)``: what the builds and additions at ``path`` counted as left out, each in the
+    read that it made anyway.  A count may be too high where a lost executor made Spark read again."""
+    rows = spark.read.schema(_PUBLISHED).parquet(f"{path}/published")
+    return rows.select("version", F.explode("dropped").alias("kind", "n"))
+
+
 def segments(spark: SparkSession, path: str) -> tuple[str, ...]:
     """The folders of the index published last at ``path``, oldest first."""
     return tuple(_published(spark, path).segments)
@@ -189,16 +200,19 @@ def export_text(index: SearchIndex, path: str) -> None:
     save(index.term_stats, term, "idf", "idf")
 
 
-def import_text(spark: SparkSession, path: str) -> DataFrame:
+def import_text(spark: SparkSession, path: str, dropped: Observation | None = None) -> DataFrame:
     """``(doc, term, tf)`` from a ``counts`` folder of ``term-doc<TAB>n`` lines.
 
     ``malformed_lines`` has the lines that are left out: those without exactly one tab, or
-    without a term, a document and a whole number.
+    without a term, a document and a whole number.  ``dropped`` counts them, as ``malformed_lines``,
+    while the rows are used.
     """
     value = F.col("value")
+    lines = spark.read.text(f"{path}/counts")
+    if dropped is not None:
+        lines = lines.observe(dropped, F.count(F.when(~value.rlike(_LINE), 1)).alias("malformed_lines"))
     return (
-        spark.read.text(f"{path}/counts")
-        .filter(value.rlike(_LINE))
+        lines.filter(value.rlike(_LINE))
         .select(
             _unescape(F.regexp_extract(value, _LINE, 2)).alias("doc"),
             _unescape(F.regexp_extract(value, _LINE, 1)).alias("term"),

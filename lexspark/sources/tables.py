@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexspark.functions.text import LINE_BREAK, clean_body, has_line, normalise_line, strip_blanks
 
 
-def table_chunks(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """``(doc, text)``: each row's text, whole, to be cut into words in one go."""
+def table_chunks(df: DataFrame, doc: str, text: str, dropped: Observation | None = None) -> DataFrame:
+    """``(doc, text)``: each row's text, whole, to be cut into words in one go.  ``dropped`` counts the
+    rows that an index can't hold, ``null_ids`` and ``null_texts``, while the chunks are used."""
+    if dropped is not None:
+        df = df.observe(dropped, *(F.count(F.when(F.col(c).isNull(), 1)).alias(n) for c, n in ((doc, "null_ids"), (text, "null_texts"))))
     return df.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
 
 

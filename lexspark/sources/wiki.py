@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.functions.text import clean_body, has_line, is_title, normalise_line, strip_blanks, title_key
@@ -47,16 +47,18 @@ def titled_lines(lines: DataFrame, ascii_first: bool = False) -> DataFrame:
     return carry_forward(stage(marked, "lines"), "title_line").filter(F.col("chunk").isNotNull())
 
 
-def wiki_chunks(lines: DataFrame, ascii_first: bool = False) -> DataFrame:
+def wiki_chunks(lines: DataFrame, ascii_first: bool = False, dropped: Observation | None = None) -> DataFrame:
     """``(doc, title_line, file, block_start, line_id, chunk)``: body lines under their title.
 
     The key of a document is the bracketed part of its title line, so equal titles anywhere
     in the input are one document.  Lines above the first title of a file belong to none;
-    see ``untitled_lines``.
+    see ``untitled_lines``.  ``dropped`` counts them, as ``untitled_lines``, while the chunks are used.
     """
+    titled = titled_lines(lines, ascii_first)
+    if dropped is not None:
+        titled = titled.observe(dropped, F.count(F.when(F.col("title_line").isNull(), 1)).alias("untitled_lines"))
     return (
-        titled_lines(lines, ascii_first)
-        .filter(F.col("title_line").isNotNull())
+        titled.filter(F.col("title_line").isNotNull())
         .select(title_key(F.col("title_line")).alias("doc"), "title_line", *POSITION, "chunk")
     )
 
