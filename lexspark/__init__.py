@@ -13,6 +13,7 @@ from lexspark.plans.tfidf import tfidf
 from lexspark.sources.index_store import (
     SearchIndex,
     drop_old_versions,
+    dropped_rows,
     export_text,
     import_text,
     malformed_lines,
@@ -31,6 +32,7 @@ __all__ = [
     "build_index",
     "compact",
     "drop_old_versions",
+    "dropped_rows",
     "export_text",
     "import_text",
     "malformed_lines",

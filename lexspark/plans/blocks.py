@@ -25,13 +25,12 @@ from lexspark.functions.weights import B, K1, length_coefficient
 from lexspark.operators.ranks import number_rows
 from lexspark.operators.skew import join_per_key
 from lexspark.operators.topk import top_k_per_query
-from lexspark.plans.ranking import document_scores, query_blocks, query_terms
+from lexspark.plans.ranking import BROADCAST_ROWS, asked_terms, document_scores, join_asked, pruned_join, query_terms
 from lexspark.session import release, stage, store
 from lexspark.sources.index_store import SearchIndex, term_bucket
 
 RANGE_DOCS = 64
 SLACK = 1e-7  # scores are compared to 9 decimals; a bound may be short by rounding
-BROADCAST_ROWS = 200_000  # terms and ids of queries, or blocks, that are asked for
 
 
 @dataclass(frozen=True)
@@ -83,49 +82,19 @@ def read_blocks(spark: SparkSession, path: str, index: SearchIndex, *, k1: float
     return BlockIndex(spark.read.parquet(f"{path}/blocks"), index, k1, b)
 
 
-def _pruned(blocks: DataFrame, asked: DataFrame, on: list[str]) -> DataFrame:
-    """Blocks joined to a small table of what is asked for, which is broadcast: no block moves, and
-    Spark prunes the folders of other buckets by the broadcast values while the query runs."""
-    # a test that always holds: only a side with a condition prunes folders
-    return blocks.join(F.broadcast(asked.filter(F.col("bucket") >= 0)), ["bucket", *on])
-
-
-def _of_terms(blocks: DataFrame, weighted: DataFrame) -> DataFrame:
-    """Blocks of the asked terms, with the queries that ask for them.
-
-    Beyond ``BROADCAST_ROWS``, which is counted, both sides are dealt by term in shares: a term
-    has no more blocks than documents.  There Spark filters blocks by a Bloom filter on the
-    term where the index is large enough for its settings."""
-    n = weighted.agg(F.sum(F.size("query_ids") + 1).alias("n")).first().n or 0
-    if n <= BROADCAST_ROWS:
-        return _pruned(blocks, weighted.drop("df"), ["term"])
-    return join_per_key(blocks, weighted.drop("bucket"), "term", "df")
-
-
 def _of_ranges(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
     """Blocks by term and range, repeated for each query that wants them.  Beyond ``BROADCAST_ROWS``
     a plain join, whose large partitions Spark splits."""
     if wanted.count() <= BROADCAST_ROWS:
-        return _pruned(blocks, wanted, ["term", "range"])
+        return pruned_join(blocks, wanted, ["term", "range"])
     return blocks.join(wanted, ["bucket", "term", "range"])
 
 
-def _asked_terms(index: SearchIndex, queries: DataFrame, analyse: bool, stem: bool) -> tuple[DataFrame, DataFrame]:
-    """``(term, idf, df, bucket, query_ids)`` by term and block of queries, and ``(query_id, term, idf, bucket)``."""
-    terms = stage(query_terms(queries, analyse=analyse, stem=stem), "query_terms")
-    stats = index.term_stats.select("term", "idf", "df")
-    bucket = term_bucket(F.col("term"), index.buckets).alias("bucket")
-    weighted = query_blocks(terms).join(stats, "term").withColumn("df", F.when(F.col("block") == 0, F.col("df")))
-    weighted = stage(weighted.select("term", "idf", "df", bucket, "query_ids"), "query_weights")
-    single = weighted.select(F.explode("query_ids").alias("query_id"), "term", "idf", "bucket")
-    return weighted, stage(single, "asked_terms")
-
-
 def _bounds(blocked: BlockIndex, weighted: DataFrame) -> DataFrame:
     """``(query_id, range, bound, n)``: the most that a document of a range can score, and how many
     postings the query has there."""
     rows = blocked.blocks.select("bucket", "term", "range", "n", "greatest", "least")
-    met = _of_terms(rows, weighted)
+    met = join_asked(rows, weighted)
     best = F.lit(blocked.k1 + 1) * F.col("idf") * F.when(F.col("idf") > 0, F.col("greatest")).otherwise(F.col("least"))
     met = met.select(F.explode("query_ids").alias("query_id"), "range", "n", best.alias("best"))
     together = met.groupBy("query_id", "range").agg(
@@ -146,7 +115,8 @@ def _range_scores(blocked: BlockIndex, asked: DataFrame, ranges: DataFrame) -> D
 
 def _search(blocked: BlockIndex, queries: DataFrame, k: int, analyse: bool, stem: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The best documents, the bounds, and the ranges that were scored."""
-    weighted, asked = _asked_terms(blocked.index, queries, analyse, stem)
+    weighted = asked_terms(blocked.index, query_terms(queries, analyse=analyse, stem=stem))
+    asked = weighted.select(F.explode("query_ids").alias("query_id"), "term", "idf", "bucket")
     bounds = stage(_bounds(blocked, weighted), "bounds")
     best_first = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "range")
     first = bounds.withColumn("place", F.row_number().over(best_first)).filter(F.col("place") <= k)

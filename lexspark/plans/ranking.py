@@ -14,6 +14,9 @@ from lexspark.session import stage
 from lexspark.sources.index_store import SearchIndex, term_bucket
 
 QUERY_BLOCK = 1024  # about as many queries of a term go by one row
+BROADCAST_ROWS = 200_000  # terms and ids of queries that are sent to all tasks at most
+FILTER_TERMS = 2_000_000  # terms whose hashes are
+TYPED_TERMS = 200  # of one query, that are pushed down to the scan as equality tests
 
 
 def query_terms(queries: DataFrame, *, analyse: bool = True, stem: bool = False) -> DataFrame:
@@ -59,22 +62,46 @@ def query_blocks(terms: DataFrame) -> DataFrame:
     return dealt.groupBy("term", block).agg(F.collect_list("query_id").alias("query_ids"))
 
 
-def term_scores(index: SearchIndex, terms: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
-    """``(query_id, doc, term, score)`` for every document and query term that meet.
-
-    Query terms become one row per term and block of queries that hold it, and are joined to the
-    postings in shares: a term's document frequency is the number of its postings, so a
-    frequent term does not fill a task, whatever the number of queries.  Only the buckets that
-    hold a term are read; their numbers, fewer than the index has folders, go by the driver.
-    """
+def asked_terms(index: SearchIndex, terms: DataFrame) -> DataFrame:
+    """``(term, idf, df, bucket, query_ids)`` of ``terms(query_id, term)``, stored: one row per term and
+    block of queries that hold it.  ``df`` is null but in a term's first block."""
     stats = index.term_stats.select("term", "idf", "df")
     terms = stage(terms, "query_terms")  # a filter by a stem would be a huge expression
-    # a term's postings count once, with its first block
     weighted = query_blocks(terms).join(stats, "term").withColumn("df", F.when(F.col("block") == 0, F.col("df")))
-    weighted = stage(weighted.drop("block"), "query_weights")
-    buckets = weighted.select(term_bucket(F.col("term"), index.buckets).alias("bucket")).distinct().collect()
-    postings = index.postings.filter(F.col("bucket").isin([row.bucket for row in buckets]))
-    met = join_per_key(postings, weighted, "term", "df").withColumn("score", _score(index, k1, b))
+    bucket = term_bucket(F.col("term"), index.buckets).alias("bucket")
+    return stage(weighted.select("term", "idf", "df", bucket, "query_ids"), "query_weights")
+
+
+def pruned_join(rows: DataFrame, asked: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """``rows``, in folders by ``bucket``, joined to a small table of what is asked for, which is broadcast:
+    no row moves, and Spark reads only the folders of the buckets that turn up in the broadcast table,
+    which it finds out while the query runs."""
+    # a test that always holds: only a side with a condition prunes folders
+    return rows.join(F.broadcast(asked.filter(F.col("bucket") >= 0)), ["bucket", *on], how)
+
+
+def join_asked(rows: DataFrame, weighted: DataFrame) -> DataFrame:
+    """``rows`` by term, a term having ``df`` of them at most, joined to the result of ``asked_terms``.
+
+    How many terms and ids of queries there are is counted.  Up to ``BROADCAST_ROWS``, they are
+    broadcast.  Beyond, rows and terms are dealt by term in shares, so a frequent term fills no task
+    whatever the number of queries; up to ``FILTER_TERMS`` terms, their hashes are broadcast first, so that
+    only folders and rows of asked terms are read and moved.
+    """
+    n = weighted.agg(F.sum(F.size("query_ids") + 1).alias("cells"), F.count("df").alias("terms")).first()
+    if (n.cells or 0) <= BROADCAST_ROWS:
+        return pruned_join(rows, weighted.drop("df"), ["term"])
+    if n.terms <= FILTER_TERMS:
+        hashes = weighted.select("bucket", F.xxhash64("term").alias("__hash")).distinct()
+        rows = pruned_join(rows.withColumn("__hash", F.xxhash64("term")), hashes, ["__hash"], "left_semi").drop("__hash")
+    return join_per_key(rows, weighted.drop("bucket"), "term", "df")
+
+
+def term_scores(index: SearchIndex, terms: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
+    """``(query_id, doc, term, score)`` for every document and query term that meet; the postings are
+    joined to the terms as ``join_asked`` says."""
+    rows = index.postings.select("bucket", "term", "doc", "tf", "dl")
+    met = join_asked(rows, asked_terms(index, terms)).withColumn("score", _score(index, k1, b))
     return met.select(F.explode("query_ids").alias("query_id"), "doc", "term", "score")
 
 
@@ -86,11 +113,13 @@ def document_scores(scores: DataFrame) -> DataFrame:
 def score_text(
     index: SearchIndex, text: str, *, analyse: bool = True, stem: bool = False, k1: float = K1, b: float = B
 ) -> DataFrame:
-    """``(doc, score)`` of the documents that hold a word of the query ``text``."""
+    """``(doc, score)`` of the documents that hold a word of the query ``text``.  A pasted text of more than
+    ``TYPED_TERMS`` distinct words goes the way of a table of queries."""
     query = index.postings.sparkSession.range(1).select(F.lit(text).alias("text"), F.lit(0).alias("query_id"))
-    # the distinct words of one query, which the caller has typed
-    asked = query_terms(query, analyse=analyse, stem=stem)
-    asked = asked.select("term", term_bucket(F.col("term"), index.buckets).alias("bucket")).collect()
+    words = query_terms(query, analyse=analyse, stem=stem)
+    asked = words.select("term", term_bucket(F.col("term"), index.buckets).alias("bucket")).limit(TYPED_TERMS + 1).collect()
+    if len(asked) > TYPED_TERMS:
+        return document_scores(term_scores(index, words, k1, b)).select("doc", "score")
     terms, buckets = sorted(row.term for row in asked), sorted({row.bucket for row in asked})
     stats = F.broadcast(index.term_stats.filter(_one_of(terms)).select("term", "idf"))
     postings = index.postings.filter(F.col("bucket").isin(buckets)).filter(_one_of(terms))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexspark import build_blocks, build_index, read_blocks, search_blocks, search_many, search_work, table_chunks
 from lexspark.functions.weights import exact_sum
 from lexspark.operators.ranks import number_rows
-from lexspark.plans import blocks
+from lexspark.plans import blocks, ranking
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +45,10 @@ def test_joins_in_shares_give_the_same_rows(spark, index, queries, tmp_path, mon
     blocked = read_blocks(spark, str(tmp_path), index)
     want = rows_of(search_blocks(blocked, queries, 5))
     monkeypatch.setattr(blocks, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ranking, "BROADCAST_ROWS", 0)
     assert rows_of(search_blocks(blocked, queries, 5)) == want == rows_of(search_many(index, queries, 5))
+    monkeypatch.setattr(ranking, "FILTER_TERMS", 0)
+    assert rows_of(search_blocks(blocked, queries, 5)) == want
 
 
 def test_blocks_hold_all_postings_and_their_bounds(index, tmp_path):
@@ -58,7 +61,7 @@ def test_blocks_hold_all_postings_and_their_bounds(index, tmp_path):
 
 def test_folders_are_pruned_while_the_query_runs(spark, index, queries, tmp_path):
     blocked = build_blocks(index, str(tmp_path), range_docs=16)
-    weighted, _ = blocks._asked_terms(index, queries, True, False)
+    weighted = ranking.asked_terms(index, ranking.query_terms(queries))
     plan = blocks._bounds(blocked, weighted)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "greatest" in line)
     assert "dynamicpruning" in scan and "postings" not in scan.split("ReadSchema")[1]

@@ -1,5 +1,6 @@
 """Invariants, skew and the shape of plans."""
 
+import bz2
 import math
 import random
 from collections import Counter
@@ -8,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexspark import build_index, read_index, read_wiki, search, search_many, table_chunks, tfidf, untitled_lines, wiki_chunks
+from lexspark.functions.porter import with_stem
 from lexspark.operators import skew
+from lexspark.operators.articles import stem_chunks
 from lexspark.plans import ranking
 from lexspark.plans.indexing import index_counts
 from lexspark.plans.ranking import score_text
@@ -98,27 +101,37 @@ def test_search_reads_only_its_terms_and_shuffles_once(index):
     assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
 
 
-def test_many_terms_read_their_buckets_and_are_dealt_in_shares(spark, documents, tmp_path):
+def test_many_terms_read_their_buckets_and_are_dealt_in_shares(spark, documents, tmp_path, monkeypatch):
     index = build_index(table_chunks(documents, "id", "text"), str(tmp_path), buckets=64)
-    words = [f"w{i}" for i in range(201)]
+    words = [f"w{i}" for i in range(190)]
     few = plan(score_text(index, "zebra " + " ".join(words))).split("== Physical Plan ==")[1]
     assert "PartitionFilters: [bucket" in few and "EqualTo(term,w1)" in few  # the rest is cut off in print
     queries = spark.createDataFrame([(0, "zebra"), (1, "cat dog " + " ".join(words))], "query_id int, text string")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        physical = plan(search_many(index, queries)).split("== Physical Plan ==")[1]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    scans = [line for line in physical.splitlines() if "FileScan" in line and "tf#" in line]
-    assert scans and all("PartitionFilters: [bucket" in line for line in scans)
-    for line in physical.splitlines():
-        if "Exchange hashpartitioning(term" in line:
-            assert "__share" in line
+    # whether terms or only their hashes are broadcast, folders are pruned by what turns up in them
+    for most in (ranking.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(ranking, "BROADCAST_ROWS", most)
+        try:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            physical = plan(search_many(index, queries)).split("== Physical Plan ==")[1]
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        scans = [line for line in physical.splitlines() if "FileScan" in line and "tf#" in line]
+        assert scans and all("dynamicpruningexpression(bucket" in line for line in scans)
+        shuffled = [line for line in physical.splitlines() if "Exchange hashpartitioning(term" in line]
+        assert all("__share" in line for line in shuffled) and bool(shuffled) == (most == 0)
     assert search_many(index, queries.filter("false")).isEmpty()
     assert search(index, "").isEmpty()
 
 
+def test_a_pasted_text_goes_the_way_of_a_table(index, monkeypatch):
+    want = list(map(tuple, search(index, "zebra the dog cat").collect()))
+    monkeypatch.setattr(ranking, "TYPED_TERMS", 3)
+    physical = plan(score_text(index, "zebra the dog cat")).split("== Physical Plan ==")[1]
+    assert "dynamicpruning" in physical and "EqualTo(term" not in physical
+    assert list(map(tuple, search(index, "zebra the dog cat").collect())) == want
+
+
 def test_a_failed_build_leaves_the_index_as_it_was(spark, documents, tmp_path):
     path = str(tmp_path / "index")
     chunks = table_chunks(documents, "id", "text")
@@ -199,6 +212,37 @@ def test_titles_do_not_depend_on_splits(spark, tmp_path, compression):
     assert sorted(map(tuple, rows)) == sorted(want)
 
 
+def test_one_bzip2_file_is_read_in_splits(spark, tmp_path):
+    """Titles are carried over the splits of one compressed file of several blocks."""
+    pick = random.Random(9)
+    lines, want = [], []
+    for i in range(3000):
+        lines.append(f"[[T{i}]]")
+        for j in range(i % 5):
+            lines.append(f"{i} {j} " + "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=150)))
+            want.append((f"[[T{i}]]", lines[-1]))
+    text = "\n".join(lines) + "\n"
+    (tmp_path / "dump.txt.bz2").write_bytes(bz2.compress(text.encode(), 1))  # blocks of 100 kB
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "150000")
+        read = read_wiki(spark, str(tmp_path))
+        assert read.select("block_start").distinct().count() > 3
+        got = wiki_chunks(read).select("doc", "chunk").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_stemmer_sees_each_word_once(spark, documents):
+    lines = documents.select(F.col("id").alias("doc"), F.lit(0).alias("line"), F.concat_ws("  ", "text", "text").alias("chunk"))
+    stemmed = {r.doc: r.chunk for r in stem_chunks(lines).collect()}
+    stems = dict(with_stem(spark.createDataFrame([(w,) for w in [*WORDS, ""]], "term string"), "term", "stem").collect())
+    assert stemmed == {r.doc: " ".join(stems[w] for w in r.chunk.split(" ")) for r in lines.collect()}
+    physical = plan(stem_chunks(lines)).split("== Physical Plan ==")[1]
+    assert "regexp" not in physical and "rlike" not in physical.lower()  # only words counted before are stemmed
+
+
 def test_queries_of_a_term_in_blocks(spark, index, monkeypatch):
     """A term that all queries hold is dealt into rows of bounded size, with the same result."""
     queries = spark.createDataFrame([(i, f"the {WORDS[2 + i % 6]}") for i in range(60)], "query_id long, text string")
