@@ -264,7 +264,7 @@ def oracle_sql() -> dict[str, str]:
         "bm25_topk_blocks": per_query,
         "bm25_topk_blocks_negative": f"WITH {_INDEX},{_COMMON_WORDS},{_TERM_SCORES}{_PER_QUERY.format(25)}",
         "bm25_blocks_work": f"WITH {_LINES},{_TOKENS},{_COUNTS},{_BENCHMARK_TERMS} "
-        "SELECT query_id, count(*) AS n_matched, true AS fewer_scored FROM query_terms JOIN counts USING (term) GROUP BY query_id",
+        "SELECT query_id, count(*) AS n_matched, true AS no_more_scored FROM query_terms JOIN counts USING (term) GROUP BY query_id",
         "grown_index_top10": f"{ranked} {_TOP10}",
         "grown_index_postings": f"{index} SELECT doc, term, tf, dl FROM counts JOIN lengths USING (doc)",
         "grown_index_terms": f"{index} SELECT term, df, round(idf, 6) AS idf FROM idf",
@@ -289,6 +289,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT doc, term, tf FROM counts",
         "bm25_top10_stemmed": f"WITH {_STEMMED_INDEX},{_STEMMED_QUERY},{_TERM_SCORES} {_TOP10}",
         "wiki_title_carry": f"WITH {_LINES},{_WIKI} SELECT doc, chunk FROM chunks",
+        "wiki_title_carry_bzip2": f"WITH {_LINES},{_WIKI} SELECT doc, chunk FROM chunks",
         "wiki_articles": f"WITH {_LINES},{_WIKI}{_BODY.format('chunks')}",
         "wiki_articles_stemmed": f"WITH {_LINES},{_WIKI},{_WIKI_TOKENS},{_stems('tokens')},{_STEM_LINES}"
         f"{_BODY.format('stemmed_chunks')}",
@@ -311,5 +312,7 @@ SELECT doc, term, count(*) AS tf FROM (
   SELECT '[[Doc ' || doc_id % 300 || ']]', unnest(['[[Doc', doc_id % 300 || ']]', 'part', doc_id || ''])
   FROM odd WHERE doc_id % 5 > 0)
 WHERE term <> '' GROUP BY doc, term""",
+        "dropped_while_building": f"WITH {_MERGED} SELECT 'untitled_lines' AS kind, count(*) AS n FROM bodies WHERE doc % 5 = 0 "
+        "UNION ALL SELECT 'malformed_lines', count(*) FROM documents WHERE doc_id % 3 > 0",
         "wiki_untitled_lines": f"WITH {_MERGED} SELECT count(*) AS n_lines FROM bodies WHERE doc % 5 = 0",
     }
