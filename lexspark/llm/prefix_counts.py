@@ -8,9 +8,8 @@ never joins a neighbour.
 
 No piece reaches over the beginning of a run of blanks or line breaks (checked when the model is
 read), so a text is cut there into chunks, the table is made once per distinct chunk and worker,
-and counts of whole prefixes are running sums.  Stored are the counts at chunk ends only: budgets
-are looked up there, and the table of the one chunk at the cut is made again.  A text without blanks
-or line breaks is one chunk, so for it that is the whole text.
+and counts of whole prefixes are running sums.  Stored is, for every prefix, by how much its count differs
+from that of the prefix before, in a byte; budgets are looked up in the sums of these, without the model.
 """
 
 from __future__ import annotations
@@ -31,6 +30,7 @@ BREAKS = np.zeros(256, bool)
 BREAKS[[0x20, 0x0A]] = True
 NEVER = float("-inf")
 MAX_PAIRS = 1_000_000
+LONGEST = 32  # characters of a piece: a character more adds 4 tokens at most and takes away 4 for each of a piece's
 
 
 class PieceModel:
@@ -48,6 +48,8 @@ class PieceModel:
         for piece in self.scores:
             if "\n" in piece[1:] or SPACE in piece.lstrip(SPACE) or "\n" in piece and len(piece) > 1:
                 raise ValueError(f"{path}: the piece {piece!r} reaches over a break")
+            if len(piece) > LONGEST:
+                raise ValueError(f"{path}: the piece {piece!r} is longer than {LONGEST} characters")
         self.lead = " " if rules.add_dummy_prefix else ""
         self.names = ["", *self.scores]
         self.numbers = {piece: n for n, piece in enumerate(self.names)}
@@ -168,42 +170,51 @@ def count_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.R
             )
 
 
+def step_groups(column: pa.Array, model: PieceModel) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(first text, steps, offsets)`` for groups of texts: for each character, how many tokens more the
+    text up to its end has than the text before it."""
+    code = model.code
+    for first, rows, _, firsts in leading_groups(column, code, BREAKS, model.lead, SPACE.encode()):
+        counts, _ = code.tokens(rows, firsts)
+        counts = counts.astype(np.int64)
+        starts = np.concatenate(([0], np.cumsum(np.diff(code.offset)[rows])))  # of chunks
+        steps = np.diff(counts, prepend=0)
+        steps[starts[:-1]] = counts[starts[:-1]]
+        kept = np.ones(len(steps), bool)
+        if model.lead:  # what stands before a text is no part of it
+            opening = starts[firsts[:-1][np.diff(firsts) > 0]]
+            kept[opening] = False
+            steps[opening + 1] = counts[opening + 1]
+        before = np.concatenate(([0], np.cumsum(kept)))
+        yield first, steps[kept].astype(np.int8), before[starts[firsts]]
+
+
 def table_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = load(path)
     for batch in batches:
-        for first, counts, ends, firsts in table_groups(batch.column(1), model):
-            n = len(firsts) - 1
-            lists = [pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(v, pa.int64())) for v in (ends, counts)]
+        for first, steps, offset in step_groups(batch.column(1), model):
+            n = len(offset) - 1
+            stored = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offset.astype(np.int64)), pa.py_buffer(steps)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(first, n), batch.column(1).slice(first, n), *lists],
-                names=["doc_id", "text", "ends", "counts"],
+                [batch.column(0).slice(first, n), batch.column(1).slice(first, n), stored.cast(pa.binary())],
+                names=["doc_id", "text", "steps"],
             )
 
 
-def cut_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Cut texts to a budget by their stored tables.  Only the chunk at the cut is encoded
-    again, for the table of its own prefixes."""
-    model = load(path)
+def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cut ``(doc_id, text, steps, budget)``: the longest prefix whose count is in the budget."""
     for batch in batches:
-        out = []
-        for text, ends, counts, budget in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
-            raw, fit = (text or "").encode("utf-8"), -1
-            # a later chunk never lowers the sum, so the last one that fits is found by search
-            fit = int(np.searchsorted(np.array(counts, np.int64), budget, "right"))
-            end, spent = (ends[fit - 1], counts[fit - 1]) if fit else (0, 0)
-            if fit < len(ends):
-                chunk = raw[end : ends[fit]].decode("utf-8")
-                lead = model.lead if fit == 0 else ""
-                inside = model.prefix_counts(lead + chunk)[len(lead) :]
-                fits = [i for i, c in enumerate(inside) if spent + c <= budget]
-                if fits:
-                    spent += inside[fits[-1]]
-                    end += len(chunk[: fits[-1] + 1].encode("utf-8"))
-            out.append((raw[:end].decode("utf-8"), spent))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([t for t, _ in out], pa.string()), pa.array([n for _, n in out], pa.int64())],
-            names=["doc_id", "text", "n_tokens"],
-        )
+        for a in range(0, batch.num_rows, 500):
+            part = batch.slice(a, 500)
+            out = []
+            for text, steps, budget in zip(*(part.column(i).to_pylist() for i in range(1, 4))):
+                counts = np.concatenate(([0], np.cumsum(np.frombuffer(steps, np.int8), dtype=np.int64)))
+                fit = int(np.flatnonzero(counts <= budget)[-1]) if budget >= 0 else 0
+                out.append(((text or "")[:fit], int(counts[fit])))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([t for t, _ in out], pa.string()), pa.array([n for _, n in out], pa.int64())],
+                names=["doc_id", "text", "n_tokens"],
+            )
 
 
 def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -224,16 +235,15 @@ def token_counts(docs: DataFrame, path: str, id: str = "doc_id", text: str = "te
 
 
 def prefix_tables(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, text, ends, counts)``: the tokens of each prefix that ends where a chunk does
-    (before blanks and line breaks) at byte ``ends[i]``.  Store it to answer many questions."""
-    return _rows(docs, id, text).mapInArrow(
-        lambda batches: table_batches(batches, path), "doc_id long, text string, ends array<long>, counts array<long>"
-    )
+    """``(doc_id, text, steps)``: the tokens of every prefix of a text, as one signed byte per character:
+    the sum of the first ``i`` is the count of the first ``i`` characters.  Store it to answer many
+    questions.  Rows as in ``token_counts``; null texts stay null and have no steps."""
+    return _rows(docs, id, text).mapInArrow(lambda batches: table_batches(batches, path), "doc_id long, text string, steps binary")
 
 
-def cut_to_budget(tables: DataFrame, budget: int, path: str) -> DataFrame:
+def cut_to_budget(tables: DataFrame, budget: int) -> DataFrame:
     """``(doc_id, text, n_tokens)``: the longest prefix of each text that has at most ``budget``
-    tokens, cut inside a word if need be, and its tokens."""
+    tokens, cut inside a word if need be, and its tokens.  Nothing is encoded; a null text is cut to an empty one."""
     ship(tables.sparkSession)
-    rows = tables.select("doc_id", "text", "ends", "counts", F.lit(budget).alias("budget"))
-    return rows.mapInArrow(lambda batches: cut_batches(batches, path), "doc_id long, text string, n_tokens long")
+    rows = tables.select("doc_id", "text", "steps", F.lit(budget).alias("budget"))
+    return rows.mapInArrow(cut_batches, "doc_id long, text string, n_tokens long")

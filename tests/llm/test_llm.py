@@ -252,15 +252,30 @@ def test_prefix_counts_are_the_library(pieces):
 
 
 def test_cut_to_budget(spark, pieces):
+    """All prefixes are in the stored table, which answers without the model."""
     texts = noise(60, 4)
-    stored = prefix_counts.prefix_tables(table(spark, texts), queries.PIECE_BPE)
+    stored = stage(prefix_counts.prefix_tables(table(spark, texts), queries.PIECE_BPE), "tables")
+    for r in stored.collect():
+        text = texts[r.doc_id] or ""
+        counts = np.cumsum(np.frombuffer(r.steps, np.int8))
+        assert counts.tolist() == [len(pieces.encode(text[: i + 1])) for i in range(len(text))]
     for budget in (0, 1, 7):
-        for r in prefix_counts.cut_to_budget(stored, budget, queries.PIECE_BPE).collect():
+        for r in prefix_counts.cut_to_budget(stored, budget).collect():
             text = texts[r.doc_id] or ""
             fits = [i for i in range(len(text) + 1) if len(pieces.encode(text[:i])) <= budget]
             assert r.text == text[: fits[-1]] and r.n_tokens == len(pieces.encode(r.text))
 
 
+def test_cutting_calls_no_model(monkeypatch):
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["été  a\nb漢", None])], names=["doc_id", "text"])
+    (tables,) = prefix_counts.table_batches(iter([batch]), queries.PIECE_BPE)
+    for name in ("prefix_counts", "tables", "keeps_apart"):
+        monkeypatch.delattr(prefix_counts.PieceModel, name)
+    monkeypatch.setattr(prefix_counts, "_loaded", {})
+    (cut,) = prefix_counts.cut_batches(iter([tables.append_column("budget", pa.array([3, 3]))]))
+    assert cut.column(1).to_pylist()[1] == "" and "été  a\nb漢".startswith(cut.column(1).to_pylist()[0]) and cut.column(2)[0].as_py() <= 3
+
+
 def test_token_counts_of_odd_rows(odd, empty, pieces):
     got = collections.Counter(map(tuple, prefix_counts.token_counts(odd, queries.PIECE_BPE).collect()))
     want = collections.Counter((r.doc_id, len((r.text or "").encode()), len(pieces.encode(r.text or ""))) for r in odd.collect())
