@@ -3,7 +3,7 @@
 The file's rules: Unicode form NFC, white space to a blank, lower case; pieces by a pattern;
 bytes as letters; the last symbol of a piece with an end mark; merges by rank.  Special
 strings in a text are their ids.  What is a letter or a number, and its lower case, depends on the version
-of Unicode, so chunks with characters beyond ASCII are normalised and cut by the tokenizers
+of Unicode, so chunks with characters beyond ``LATIN`` are normalised and cut by the tokenizers
 library's own normaliser and splitter; encoding is done here.
 
 All distinct pieces of a batch are encoded together.  Their symbols lie in one array with links
@@ -31,6 +31,11 @@ from lexspark.llm.shipping import ship
 from lexspark.llm.words import BLANKS
 
 
+# up to U+024F all versions of Unicode agree, and nothing is composed
+LATIN = "\u024f"
+_BEYOND = regex.compile(f"[^\x00-{LATIN}]")
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: itself if it is printable, else one from 256 on."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -143,7 +148,7 @@ class WordBpe:
         return symbols[alive].astype(np.uint32), np.concatenate(([0], np.cumsum(alive)[ends - 1]))
 
     def _pieces(self, chunk: str) -> list[str]:
-        """The pieces of a chunk with characters beyond ASCII."""
+        """The pieces of a chunk with characters beyond ``LATIN``."""
         pieces: list[str] = []
         for part in self.special_cut.split(chunk):
             if part in self.special:
@@ -156,11 +161,15 @@ class WordBpe:
         """The ids of chunks without white space at which texts are cut, and their offsets."""
         if not chunks:
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        plain = "\n".join(c if c.isascii() else "" for c in chunks)
+        others = [(i, c) for i, c in enumerate(chunks) if not c.isascii() and _BEYOND.search(c)]
+        plain = list(chunks)
+        for i, _ in others:
+            plain[i] = ""
+        plain = "\n".join(plain)
         cut = [c if c in self.special else c.lower() for c in self.special_cut.split(plain)]
         parts = [p for c in cut for p in ((c,) if c in self.special else self.pattern_or_end.findall(c))]
         parts.append("\n")
-        if others := [(i, c) for i, c in enumerate(chunks) if not c.isascii()]:
+        if others:
             ends = [i for i, p in enumerate(parts) if p == "\n"]
             whole, at = [], 0
             for i, chunk in others:
