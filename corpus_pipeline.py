@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.llm import decontamination, minhash, queries, surrogates, toxicity, word_bpe
-from lexspark.session import stage
+from lexspark.session import remove, scope, scratch_path, store
 
 ORACLE_SQL = None  # a trained net, signatures and keyed hashes have no SQL; see tests/llm/test_llm.py
 
@@ -61,7 +61,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows.  Of each stage only its result is kept, until the next one's is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scope(spark):
+            docs = store(function(spark, docs, sf_dir), path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
