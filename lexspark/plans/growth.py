@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lexspark.functions.weights import bm25_idf
 from lexspark.operators.terms import document_frequency, document_lengths
 from lexspark.plans.indexing import store_postings, store_terms, term_counts, with_lengths
-from lexspark.session import release, stage, store
+from lexspark.session import release, scope, stage, store
 from lexspark.sources.index_store import SearchIndex, new_version, publish, read_index, segments
 
 
@@ -38,8 +38,9 @@ def add_documents(
     addition leaves it as it was; additions to one index run one after the other.
     """
     before, index = segments(spark, path), read_index(spark, path)
-    counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
-    return _append(spark, path, before, index, counts, removed, files)
+    with scope(spark):
+        counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
+        return _append(spark, path, before, index, counts, removed, files)
 
 
 def add_counts_of(

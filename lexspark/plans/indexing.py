@@ -19,7 +19,7 @@ from lexspark.operators.terms import (
     title_counts,
     tokens,
 )
-from lexspark.session import release, stage, store
+from lexspark.session import release, scope, stage, store
 from lexspark.sources.index_store import BUCKETS, SearchIndex, new_version, publish, term_bucket
 
 
@@ -56,8 +56,9 @@ def build_index(
 ) -> SearchIndex:
     """Write the index tables of ``chunks(doc, chunk)`` to ``path`` and read them back;
     ``buckets``, ``files`` and ``dropped`` as in ``index_counts``."""
-    counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
-    return index_counts(counts, path, buckets=buckets, files=files, dropped=dropped)
+    with scope(chunks.sparkSession):
+        counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
+        return index_counts(counts, path, buckets=buckets, files=files, dropped=dropped)
 
 
 def index_counts(

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_SETTING = "spark.checkpoint.dir"
 _local_scratch: dict[str, str] = {}
+_open_scopes = threading.local()
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -47,6 +51,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     needs, none repeats the work before, and a lost executor costs no more than its tasks.
     """
     path = scratch_path(df.sparkSession, name)
+    for paths in getattr(_open_scopes, "stack", [])[-1:]:
+        paths.append(path)
     stored = store(df, path)
     stored.stage_path = path
     return stored
@@ -58,6 +64,20 @@ def release(*stages: DataFrame) -> None:
         remove(df.sparkSession, df.stage_path)
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside, by this thread, is deleted at the end: for work whose result is written
+    elsewhere."""
+    if not hasattr(_open_scopes, "stack"):
+        _open_scopes.stack = []
+    _open_scopes.stack.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.stack.pop():
+            remove(spark, path)
+
+
 def _file_system(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
