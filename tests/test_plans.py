@@ -8,14 +8,14 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lexspark import build_index, read_index, read_wiki, search, search_many, table_chunks, tfidf, untitled_lines, wiki_chunks
+from lexspark import add_documents, build_blocks, build_index, read_index, read_wiki, search, search_many, table_chunks, tfidf, untitled_lines, wiki_chunks
 from lexspark.functions.porter import with_stem
 from lexspark.operators import skew
 from lexspark.operators.articles import stem_chunks
 from lexspark.plans import ranking
 from lexspark.plans.indexing import index_counts
 from lexspark.plans.ranking import score_text
-from lexspark.session import SCRATCH_SETTING, scratch_dir
+from lexspark.session import SCRATCH_SETTING, scope, scratch_dir, stage, subfolders
 from lexspark.sources.index_store import drop_old_versions
 from lexspark.sources.stopwords import read_stopwords
 
@@ -182,6 +182,18 @@ def test_scratch_dir_is_the_one_the_session_names(spark):
     assert scratch_dir(spark) == spark.conf.get(SCRATCH_SETTING)
 
 
+def test_builds_leave_nothing_staged(spark, documents, tmp_path):
+    before = subfolders(spark, scratch_dir(spark))
+    index = build_index(table_chunks(documents, "id", "text"), str(tmp_path / "index"), stem=True)
+    build_blocks(index, str(tmp_path / "blocks"))
+    add_documents(spark, str(tmp_path / "index"), table_chunks(documents.filter("id < 5"), "id", "text"), stem=True)
+    assert subfolders(spark, scratch_dir(spark)) == before
+    with pytest.raises(RuntimeError), scope(spark):
+        stage(documents, "lost")
+        raise RuntimeError
+    assert subfolders(spark, scratch_dir(spark)) == before
+
+
 def test_wiki_text_is_scanned_once(spark, corpus_path):
     """Positions come from one stored read, so no second scan has to agree with it."""
     physical = plan(wiki_chunks(read_wiki(spark, corpus_path))).split("== Physical Plan ==")[1]
