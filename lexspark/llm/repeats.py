@@ -297,14 +297,13 @@ def remove_repeats(
     schema = ", ".join([*(f"{c} long" for c in row), "start long, end long, digest long, mark byte"])
     found = rows.filter("doc_id is not null").mapInArrow(lambda batches: unit_batches(batches, min_words, kinds, line_words), schema)
     first, short = (F.col("mark").bitwiseAND(bit) > 0 for bit in (FIRST, SHORT))
-    groups = found.groupBy("digest").agg(
-        F.min("doc_id").alias("first_doc"),
-        F.count("*").alias("n_rows"),
-        F.sum(first.cast("long")).alias("n_docs"),
-        F.max(short.cast("int")).alias("short"),
-    )
-    counts = (F.col("short") == 0) | (F.col("n_docs") >= short_docs)
-    shared = stage(groups.filter("n_rows > 1").filter(counts).select("digest", "first_doc", "n_rows"), "digests")
+    sums = [F.min("doc_id").alias("first_doc"), F.count("*").alias("n_rows")]
+    counts = F.col("n_rows") > 1
+    if short_docs > 1 and line_words < min_words:  # else no unit needs to be in more documents than another
+        sums += [F.sum(first.cast("int")).alias("n_docs"), F.max(short.cast("int")).alias("short")]
+        counts &= (F.col("short") == 0) | (F.col("n_docs") >= short_docs)
+    groups = found.groupBy("digest").agg(*sums)
+    shared = stage(groups.filter(counts).select("digest", "first_doc", "n_rows"), "digests")
     later = join_per_key(found, shared, "digest", "n_rows").filter((F.col("doc_id") != F.col("first_doc")) | ~first)
     spans = later.groupBy(*row).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     joined = rows.join(spans, row, "left").select("doc_id", "text", "spans")
