@@ -29,7 +29,7 @@ from lexspark.plans.ranking import BROADCAST_ROWS, asked_terms, document_scores,
 from lexspark.session import scope, stage, store
 from lexspark.sources.index_store import SearchIndex, term_bucket
 
-RANGE_DOCS = 64
+RANGE_DOCS = 16
 SLACK = 1e-7  # scores are compared to 9 decimals; a bound may be short by rounding
 
 
