@@ -367,19 +367,34 @@ def test_repeated_runs_without_sentence_marks(spark):
     assert len(got[0].split()) == 12 and got[1].split() == ["b"]
 
 
-def test_repeats_query_takes_all_kinds(spark):
-    name = "op5_repeated_passages"
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    kept = {r.doc_id: r.text for r in queries.queries()[name](spark, SF_DIR).collect()}
+def repeated_lines(docs, kept, least):
+    """``(line, doc)`` of all lines of so many words that stand in an earlier document, and of those that are left."""
     seen = collections.defaultdict(set)
-    for r in docs.collect():
+    for r in docs:
         for line in re.split("[\r\n]+", r.text or ""):
             own = " ".join(line.translate(A_TO_Z).split())
-            if own:
+            if len(own.split()) >= least:
                 seen[own].add(r.doc_id)
     again = [(own, d) for own, ids in seen.items() if len(ids) > 1 for d in ids if d != min(ids)]
     lines = {d: {" ".join(x.translate(A_TO_Z).split()) for x in re.split("[\r\n]+", kept[d])} for d in {d for _, d in again}}
-    assert again and not [own for own, d in again if own in lines[d]]
+    return again, [own for own, d in again if own in lines[d]]
+
+
+def test_repeats_take_all_kinds(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kept = {r.doc_id: r.text for r in repeats.remove_repeats(docs, kinds=repeats.ALL_KINDS).collect()}
+    again, left = repeated_lines(docs.collect(), kept, 1)
+    assert again and not left
+
+
+def test_repeats_query_takes_long_lines_and_leaves_short_ones(spark):
+    """A text whose lines are all of fewer than 12 words and that is no run of sentences stays as it is."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    got = queries.queries()["op5_repeated_passages"](spark, SF_DIR).collect()
+    again, left = repeated_lines(docs.collect(), {r.doc_id: r.text for r in got}, repeats.MIN_WORDS)
+    assert again and not left
+    all_lines = repeats.remove_repeats(docs, kinds=repeats.ALL_KINDS).filter("size(removed) > 0").count()
+    assert 0 < sum(len(r.removed) > 0 for r in got) < 0.7 * all_lines
 
 
 # ---------------------------------------------------------------- chat
