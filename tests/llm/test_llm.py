@@ -727,7 +727,7 @@ def test_pipeline(spark, documents):
             assert after.keys() == {r.doc_id for r in before}
         if name != "bpe":
             assert docs.schema.names == documents.schema.names
-        docs = corpus_pipeline.stage(docs, "test")
+        docs = stage(docs, "test")
 
 
 def test_pipeline_of_odd_rows(spark, odd, empty):
@@ -736,5 +736,5 @@ def test_pipeline_of_odd_rows(spark, odd, empty):
     for start in (odd, empty):
         docs = start
         for _, function in corpus_pipeline.STAGES:
-            docs = corpus_pipeline.stage(function(spark, docs, SF_DIR), "test")
+            docs = stage(function(spark, docs, SF_DIR), "test")
         assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
