@@ -703,7 +703,7 @@ def test_query_equals_sql(spark, name):
 
 def test_registered():
     names = contract.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 14)} and "pipeline" in names
 
 
 def test_pipeline(spark, documents):
