@@ -738,3 +738,24 @@ def test_pipeline_of_odd_rows(spark, odd, empty):
         for _, function in corpus_pipeline.STAGES:
             docs = stage(function(spark, docs, SF_DIR), "test")
         assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TASK_ROWS", 60)
+    said = "the cat sat on a mat and the dog ran home to eat while rain fell"
+
+    def text(i):
+        bad = "" if i % 4 else " you vile zorkhead" if i < 40 else " you wretched quimble"
+        return f"{said} w{i % 29}{bad}"
+
+    # no word of the later toxic texts is among the first ids
+    rows = [(i, text(i), "en", int(i % 4 == 0)) for i in range(1200)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "calibrate", lambda counts, f=toxicity.calibrate: seen.extend(counts) or f(counts))
+    net = toxicity.fit(data.drop("toxic"), data.select("doc_id", "toxic"), first=20)
+    assert sum(n for _, _, n, _ in seen) == 1200
+    assert sum(n for _, toxic, n, _ in seen if toxic) == 300
+    got = toxicity.score(data, net).join(data, "doc_id").groupBy("toxic").agg({"score": "avg"}).collect()
+    mean = {r[0]: r[1] for r in got}
+    assert mean[1] > 0.7 > 0.3 > mean[0]
