@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexspark.functions.porter import with_stem
@@ -12,6 +12,9 @@ from lexspark.functions.text import chunk_words, clean_word, has_letters, raw_wo
 from lexspark.operators.skew import join_per_key
 from lexspark.session import stage
 
+CROWDED = 1000  # rows of one document
+TASK_BYTES = 8 << 20
+
 
 def tokens(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
     """``(doc, term)``: one row per token of ``chunks(doc, chunk)``, cleaned lines, or of
@@ -35,6 +38,23 @@ def tokens(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
     return cut.filter(kept).select("doc", term.alias("term"))
 
 
+def by_document(chunks: DataFrame) -> DataFrame:
+    """``chunks(doc, text)`` dealt by document, so that its terms are counted, and the counts added up, where
+    its text is: the text is shuffled, which is smaller than its counts.
+
+    A task has about ``TASK_BYTES`` of text, as its counts, which lie in memory, are many times that.
+    Not where an id, or null, has more than ``CROWDED`` rows: its counts are combined first, then.
+    """
+    if "text" not in chunks.columns:
+        return chunks
+    sizes = chunks.groupBy("doc").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"))
+    seen = sizes.agg(F.max("n").alias("most"), F.sum("size").alias("size")).first()
+    if (seen.most or 0) > CROWDED:
+        return chunks
+    cores = chunks.sparkSession.sparkContext.defaultParallelism
+    return chunks.repartition(max(cores, (seen.size or 0) // TASK_BYTES), "doc")
+
+
 def without_stopwords(terms: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Tokens that are not in the list; repeated tokens stay repeated."""
     listed = stopwords.select(F.col("word").alias("term")).distinct()
@@ -73,6 +93,12 @@ def by_title_key(counts: DataFrame) -> DataFrame:
     return counts.withColumn("doc", title_key(F.col("doc")))
 
 
+def with_document_length(counts: DataFrame) -> DataFrame:
+    """Counts, one row per document and term, with the length ``dl`` of their document; they are in the
+    order of documents.  A task sees each of a document's terms once, whatever the size of its text."""
+    return counts.withColumn("dl", F.sum("tf").over(Window.partitionBy("doc")))
+
+
 def document_lengths(counts: DataFrame) -> DataFrame:
     """``(doc, dl, n_terms)``: tokens and distinct terms of each document."""
     return counts.groupBy("doc").agg(F.sum("tf").alias("dl"), F.count("*").alias("n_terms"))

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.functions.weights import bm25_idf
-from lexspark.operators.terms import document_frequency, document_lengths
-from lexspark.plans.indexing import store_postings, store_terms, term_counts, with_lengths
+from lexspark.operators.terms import document_frequency, document_lengths, with_document_length
+from lexspark.plans.indexing import placed, store_postings, store_terms, term_counts
 from lexspark.session import release, scope, stage, store
 from lexspark.sources.index_store import SearchIndex, new_version, publish, read_index, segments
 
@@ -52,7 +52,7 @@ def add_counts_of(
 
 def _append(spark, path, before, index, counts, removed, files) -> SearchIndex:
     version = new_version(path)
-    counts = stage(counts, "counts")
+    counts = stage(with_document_length(counts), "counts")
     doc_lengths = store(document_lengths(counts), f"{version}/doc_lengths")
     leaving = doc_lengths.select("doc")
     if removed is not None:
@@ -69,7 +69,7 @@ def _append(spark, path, before, index, counts, removed, files) -> SearchIndex:
     new, old = doc_lengths.agg(*sums), superseded.agg(*((-c).alias(n) for c, n in zip(sums, ("n_docs", "total_len"))))
     changes = new.unionByName(old).agg(F.sum("n_docs").alias("n_docs"), F.sum("total_len").alias("total_len"))
     store(changes.coalesce(1), f"{version}/corpus_changes")
-    store_postings(with_lengths(counts, doc_lengths), version, index.buckets, files)
+    store_postings(placed(counts), version, index.buckets, files)
     release(counts)
     publish(spark, path, version, index.buckets, before)
     return read_index(spark, path)

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexspark.functions.weights import bm25_idf
-from lexspark.operators.skew import join_per_key
 from lexspark.operators.terms import (
     add_counts,
+    by_document,
     by_title_key,
     corpus_stats,
     count_terms,
@@ -18,6 +18,7 @@ from lexspark.operators.terms import (
     stem_counts,
     title_counts,
     tokens,
+    with_document_length,
 )
 from lexspark.session import release, scope, stage, store
 from lexspark.sources.index_store import BUCKETS, SearchIndex, new_version, publish, term_bucket
@@ -35,8 +36,8 @@ def term_counts(
     if count_titles is None:
         count_titles = "title_line" in chunks.columns
     if not count_titles:
-        counts = count_terms(tokens(chunks, keep_empty))
-        return add_counts(stem_counts(stage(counts, "raw_counts"))) if stem else counts
+        counts = count_terms(tokens(by_document(chunks), keep_empty))
+        return add_counts(stem_counts(stage(counts, "raw_counts")).repartition("doc")) if stem else counts
     counts = stage(counts_by_title(chunks), "raw_counts")
     body = stem_counts(counts) if stem else counts
     merged = add_counts(by_title_key(body), by_title_key(title_counts(counts)))
@@ -66,7 +67,8 @@ def index_counts(
 ) -> SearchIndex:
     """Write the index tables of ``counts(doc, term, tf)`` to ``path`` and read them back.
 
-    The counts are written once and read three times, each time only the columns needed.
+    The counts are written once, with the lengths of their documents, and read three times, each time
+    only the columns needed.
     Postings lie in ``buckets`` folders by term and in about ``files`` files beyond one per
     folder (by default as many as there are shuffle partitions); choose both so that a file has
     some hundred MB.  Postings and term statistics are ordered by term, so that a query reads only
@@ -76,22 +78,21 @@ def index_counts(
     published with the index (``dropped_rows``).
     """
     spark, version = counts.sparkSession, new_version(path)
-    counts = stage(counts, "counts")
+    counts = stage(with_document_length(counts), "counts")
     doc_lengths = store(document_lengths(counts), f"{version}/doc_lengths")
     corpus = store(corpus_stats(doc_lengths).coalesce(1), f"{version}/corpus_stats")
     n_docs = corpus.select("n_docs").scalar()
     frequencies = document_frequency(counts).withColumn("idf", bm25_idf(n_docs, F.col("df")))
     term_stats = store_terms(frequencies, version)
-    postings = store_postings(with_lengths(counts, doc_lengths), version, buckets, files)
+    postings = store_postings(placed(counts), version, buckets, files)
     release(counts)
     publish(spark, path, version, buckets, dropped=dropped)
     return SearchIndex(postings, doc_lengths, term_stats, corpus, buckets)
 
 
-def with_lengths(counts: DataFrame, doc_lengths: DataFrame) -> DataFrame:
-    """``(term, doc, tf, dl)``: counts with the length of their document."""
-    postings = join_per_key(counts, doc_lengths, "doc", "n_terms").filter(F.col("term").isNotNull())
-    return postings.select("term", "doc", "tf", "dl")
+def placed(counts: DataFrame) -> DataFrame:
+    """``(term, doc, tf, dl)``: the counts of what is a document's term."""
+    return counts.filter(F.col("term").isNotNull() & F.col("doc").isNotNull()).select("term", "doc", "tf", "dl")
 
 
 def store_terms(frequencies: DataFrame, version: str) -> DataFrame:
