@@ -9,6 +9,7 @@ from lexspark.functions.weights import log_tf, smoothed_idf
 from lexspark.operators.skew import join_per_key
 from lexspark.operators.terms import (
     add_counts,
+    by_document,
     by_title_key,
     count_terms,
     counts_by_title,
@@ -40,7 +41,7 @@ def tfidf(
         kept = stage(add_counts(by_title_key(body), by_title_key(title_counts(counts))), "tfidf_counts")
         counts = kept
     else:
-        counts = stage(count_terms(tokens(chunks, keep_empty)), "tfidf_counts")
+        counts = stage(count_terms(tokens(by_document(chunks), keep_empty)), "tfidf_counts")
         kept = without_stopwords(counts, stopwords)
     n_docs = counts.agg(F.count_distinct("doc").alias("n")).scalar()
     df = document_frequency(kept)
