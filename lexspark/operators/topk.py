@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lexspark.operators.ranks import number_rows
 
 SCORE_DECIMALS = 9
+DIRECT_K = 100  # rows of a query that each task hands to the last step at most; Spark's own limit is 1,000
 
 
 def _best_first() -> list:
@@ -37,11 +38,14 @@ def top_k(scores: DataFrame, k: int = 10) -> DataFrame:
 def top_k_per_query(scores: DataFrame, k: int = 10) -> DataFrame:
     """The best ``k`` rows of each query, with their ``rank``.
 
-    Each query is first cut to its best ``k`` in each of 256 shares of the documents, so a query
+    Up to ``DIRECT_K``, Spark keeps each query's best ``k`` of a task before it moves anything.  Beyond, each
+    query is first cut to its best ``k`` in each of 256 shares of the documents, so a query
     that matches most documents does not end up in one task, whatever ``k``.
     """
+    by_query = Window.partitionBy("query_id").orderBy(*_best_first())
+    if k <= DIRECT_K:
+        return scores.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
     share = F.pmod(F.xxhash64("doc"), F.lit(256))
     by_share = Window.partitionBy("query_id", share).orderBy(*_best_first())
     best = scores.withColumn("rank", F.row_number().over(by_share)).filter(F.col("rank") <= k).drop("rank")
-    by_query = Window.partitionBy("query_id").orderBy(*_best_first())
     return best.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)

@@ -16,6 +16,7 @@ from lexspark.sources.index_store import SearchIndex, term_bucket
 QUERY_BLOCK = 1024  # about as many queries of a term go by one row
 BROADCAST_ROWS = 200_000  # terms and ids of queries that are sent to all tasks at most
 FILTER_TERMS = 2_000_000  # terms whose hashes are
+TASK_SCORES = 2_000_000
 TYPED_TERMS = 200  # of one query, that are pushed down to the scan as equality tests
 
 
@@ -88,9 +89,17 @@ def join_asked(rows: DataFrame, weighted: DataFrame) -> DataFrame:
     whatever the number of queries; up to ``FILTER_TERMS`` terms, their hashes are broadcast first, so that
     only folders and rows of asked terms are read and moved.
     """
-    n = weighted.agg(F.sum(F.size("query_ids") + 1).alias("cells"), F.count("df").alias("terms")).first()
+    n = _asked(weighted)
     if (n.cells or 0) <= BROADCAST_ROWS:
         return pruned_join(rows, weighted.drop("df"), ["term"])
+    return _join_many(rows, weighted, n)
+
+
+def _asked(weighted: DataFrame):
+    return weighted.agg(F.sum(F.size("query_ids") + 1).alias("cells"), F.count("df").alias("terms")).first()
+
+
+def _join_many(rows: DataFrame, weighted: DataFrame, n) -> DataFrame:
     if n.terms <= FILTER_TERMS:
         hashes = weighted.select("bucket", F.xxhash64("term").alias("__hash")).distinct()
         rows = pruned_join(rows.withColumn("__hash", F.xxhash64("term")), hashes, ["__hash"], "left_semi").drop("__hash")
@@ -105,6 +114,28 @@ def term_scores(index: SearchIndex, terms: DataFrame, k1: float = K1, b: float =
     return met.select(F.explode("query_ids").alias("query_id"), "doc", "term", "score")
 
 
+def scores_by_document(index: SearchIndex, terms: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
+    """``(query_id, doc, score)`` as ``document_scores`` of ``term_scores``.
+
+    Where the queries are broadcast, what is shuffled are the scores of postings, by document: each
+    posting once, however many queries ask for its term.  Queries are joined after that, and all of a
+    document's scores are added up where they are.  A task has about ``TASK_SCORES`` of them.
+    """
+    weighted = asked_terms(index, terms)
+    rows = index.postings.select("bucket", "term", "doc", "tf", "dl")
+    n = _asked(weighted)
+    if (n.cells or 0) > BROADCAST_ROWS:
+        met = _join_many(rows, weighted, n).withColumn("score", _score(index, k1, b))
+        return document_scores(met.select(F.explode("query_ids").alias("query_id"), "doc", "score"))
+    met = pruned_join(rows, weighted.select("bucket", "term", "idf").distinct(), ["term"])
+    per_term = weighted.groupBy("term").agg((F.max("df") * F.sum(F.size("query_ids"))).alias("n"))
+    found = per_term.agg(F.sum("n").alias("n")).first().n or 0
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, found // TASK_SCORES)
+    placed = met.select("term", "doc", _score(index, k1, b).alias("score")).repartition(tasks, "doc")
+    asked = placed.join(F.broadcast(weighted.select("term", "query_ids")), "term")
+    return document_scores(asked.select(F.explode("query_ids").alias("query_id"), "doc", "score"))
+
+
 def document_scores(scores: DataFrame) -> DataFrame:
     """``(query_id, doc, score)``: the term scores of a document added up."""
     return scores.groupBy("query_id", "doc").agg(exact_sum(F.col("score")).alias("score"))
@@ -119,7 +150,7 @@ def score_text(
     words = query_terms(query, analyse=analyse, stem=stem)
     asked = words.select("term", term_bucket(F.col("term"), index.buckets).alias("bucket")).limit(TYPED_TERMS + 1).collect()
     if len(asked) > TYPED_TERMS:
-        return document_scores(term_scores(index, words, k1, b)).select("doc", "score")
+        return scores_by_document(index, words, k1, b).select("doc", "score")
     terms, buckets = sorted(row.term for row in asked), sorted({row.bucket for row in asked})
     stats = F.broadcast(index.term_stats.filter(_one_of(terms)).select("term", "idf"))
     postings = index.postings.filter(F.col("bucket").isin(buckets)).filter(_one_of(terms))
@@ -162,4 +193,4 @@ def search_many(
 ) -> DataFrame:
     """``(query_id, doc, score, rank)``: the best ``k`` documents of each query."""
     terms = query_terms(queries, analyse=analyse, stem=stem)
-    return top_k_per_query(document_scores(term_scores(index, terms, k1, b)), k)
+    return top_k_per_query(scores_by_document(index, terms, k1, b), k)

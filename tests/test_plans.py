@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexspark import add_documents, build_blocks, build_index, read_index, read_wiki, search, search_many, table_chunks, tfidf, untitled_lines, wiki_chunks
 from lexspark.functions.porter import with_stem
-from lexspark.operators import skew
+from lexspark.operators import skew, terms, topk
 from lexspark.operators.articles import stem_chunks
 from lexspark.plans import ranking
 from lexspark.plans.indexing import index_counts
@@ -265,3 +265,32 @@ def test_queries_of_a_term_in_blocks(spark, index, monkeypatch):
     got = sorted(map(tuple, search_many(index, queries, 5).collect()))
     assert [g[:2] + g[3:] for g in got] == [w[:2] + w[3:] for w in want]
     assert all(math.isclose(g[2], w[2], abs_tol=1e-9) for g, w in zip(got, want))
+
+
+def test_queries_are_joined_where_a_document_is(spark, index, monkeypatch):
+    """Postings are shuffled once, not once per query that holds their term."""
+    queries = spark.createDataFrame([(i, f"the dog {WORDS[2 + i % 6]}") for i in range(40)], "query_id long, text string")
+    physical = plan(search_many(index, queries, 5)).split("== Physical Plan ==")[1]
+    keys = [line.split("hashpartitioning(")[1].split("#")[0] for line in physical.splitlines() if "Exchange hashpartitioning" in line]
+    assert keys[:2] == ["query_id", "doc"] and not set(keys[2:]) & {"query_id", "doc"}
+    got = sorted(map(tuple, search_many(index, queries, 5).collect()))
+    monkeypatch.setattr(topk, "DIRECT_K", 0)
+    monkeypatch.setattr(ranking, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, search_many(index, queries, 5).collect())) == got
+
+
+def test_terms_and_lengths_are_counted_where_the_text_is(spark, documents, monkeypatch):
+    twice = documents.union(documents.filter("id % 3 = 0")).union(spark.createDataFrame([(None, "dog dog cat")], documents.schema))
+
+    def counted():
+        chunks = table_chunks(twice, "id", "text")
+        return terms.with_document_length(terms.count_terms(terms.tokens(terms.by_document(chunks))))
+
+    physical = plan(counted()).split("== Physical Plan ==")[1]
+    assert physical.count("Exchange hashpartitioning(doc") == 1 and "Join" not in physical
+    want = sorted(map(str, counted().collect()))
+    monkeypatch.setattr(terms, "CROWDED", 1)
+    assert "Exchange hashpartitioning(doc#" in plan(counted())
+    assert sorted(map(str, counted().collect())) == want
+    lengths = counted().groupBy("doc").agg(F.sum("tf").alias("s"), F.max("dl").alias("dl"), F.min("dl").alias("least"))
+    assert lengths.filter("s <> dl or s <> least").isEmpty()
