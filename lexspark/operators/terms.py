@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexspark.functions.porter import with_stem
@@ -55,6 +55,80 @@ def by_document(chunks: DataFrame) -> DataFrame:
     return chunks.repartition(max(cores, (seen.size or 0) // TASK_BYTES), "doc")
 
 
+def pack_words(rows: DataFrame, words: str) -> DataFrame:
+    """``rows`` with their array ``words`` counted: ``dl``, how many there are, and ``terms``, an array of
+    ``(term, tf)`` in the order of terms, each term once.  Null words make one term, null, that counts 0.
+
+    The words of a row are sorted and cut where they change: nothing is shuffled, and no task holds more than a row.
+    """
+    rows = rows.withColumn("__words", F.coalesce(F.sort_array(words), F.array().cast("array<string>"))).drop(words)
+    sorted_words, n = F.col("__words"), F.size("__words")
+
+    def begins(i):
+        return (i == 0) | ~F.get(sorted_words, i).eqNullSafe(F.get(sorted_words, i - 1))
+
+    rows = rows.withColumn("__starts", F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), begins)).otherwise(F.array().cast("array<int>")))
+
+    def entry(start, place):
+        term, end = F.get(sorted_words, start), F.coalesce(F.get("__starts", place + 1), n)
+        return F.struct(term.alias("term"), F.when(term.isNull(), 0).otherwise(end - start).cast("long").alias("tf"))
+
+    rows = rows.withColumn("terms", F.transform("__starts", entry))
+    nulls = F.when((n > 0) & F.get(sorted_words, F.lit(0)).isNull(), F.coalesce(F.get("__starts", F.lit(1)), n)).otherwise(0)
+    return rows.withColumn("dl", (n - nulls).cast("long")).drop("__words", "__starts")
+
+
+def cleaned_words(raw: Column, keep_empty: bool) -> Column:
+    """An array of raw words as terms; what nothing is left of is null or, without ``keep_empty``, dropped."""
+    terms = F.transform(raw, clean_word)
+    return F.transform(terms, lambda w: F.nullif(w, F.lit(""))) if keep_empty else F.filter(terms, lambda w: w != "")
+
+
+def packed_texts(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """``(doc, dl, terms)`` of ``chunks(doc, text)``: each row counted by itself."""
+    words = chunks.select("doc", cleaned_words(raw_words(F.col("text")), keep_empty).alias("words"))
+    return pack_words(words, "words").select("doc", "dl", "terms")
+
+
+def unpacked(packed: DataFrame) -> DataFrame:
+    """``(doc, term, tf)`` of ``(doc, .., terms)``.  (Of a plain ``explode`` Spark would test the size in a filter of
+    its own, and count every text once more for it.)"""
+    entries = packed.select("doc", F.explode_outer("terms").alias("entry")).filter(F.col("entry").isNotNull())
+    return entries.select("doc", "entry.term", "entry.tf")
+
+
+def repeated_docs(rows: DataFrame) -> DataFrame:
+    """``(doc)``, stored: the ids that have more than one row."""
+    sizes = rows.groupBy("doc").agg(F.count("*").alias("n"))
+    return stage(sizes.filter((F.col("n") > 1) & F.col("doc").isNotNull()).select("doc"), "repeated")
+
+
+def rows_of_docs(rows: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose id has no other row, and the rest, null ids among them."""
+    known = rows.filter(F.col("doc").isNotNull())
+    rest = known.join(repeated, "doc", "left_semi").unionByName(rows.filter(F.col("doc").isNull()))
+    return known.join(repeated, "doc", "left_anti"), rest
+
+
+def one_by_one(counts: DataFrame) -> DataFrame:
+    """``(doc, dl, terms)`` of counts, added up, one row per document and term: no document has to fit into a row."""
+    entry = F.array(F.struct("term", F.col("tf").cast("long").alias("tf")))
+    return with_document_length(counts).select("doc", F.col("dl").cast("long").alias("dl"), entry.alias("terms"))
+
+
+def document_counts(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """``(doc, dl, terms)`` of ``chunks(doc, text)``: ``terms`` an array of ``(term, tf)``, ``dl`` the length of the whole
+    document.  Store it before a filter.
+
+    A document of one row is counted where it is read, and is one row.  One whose id, or null, comes again
+    has its counts added up, and one row per term; a row without a term has an empty array.
+    """
+    repeated = repeated_docs(chunks)
+    once, rest = rows_of_docs(chunks, repeated)
+    counts = add_counts(unpacked(packed_texts(rest, keep_empty)))
+    return packed_texts(once, keep_empty).unionByName(one_by_one(counts))
+
+
 def without_stopwords(terms: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Tokens that are not in the list; repeated tokens stay repeated."""
     listed = stopwords.select(F.col("word").alias("term")).distinct()

@@ -21,12 +21,22 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexspark.functions.weights import B, K1, length_coefficient
+from lexspark.functions.weights import B, K1, exact_sum, length_coefficient
 from lexspark.operators.ranks import number_rows
 from lexspark.operators.skew import join_per_key
 from lexspark.operators.topk import top_k_per_query
-from lexspark.plans.ranking import BROADCAST_ROWS, asked_terms, document_scores, join_asked, pruned_join, query_terms
-from lexspark.session import scope, stage, store
+from lexspark.plans.indexing import dealt_shares
+from lexspark.plans.ranking import (
+    BROADCAST_ROWS,
+    TASK_SCORES,
+    asked_cells,
+    asked_terms,
+    document_scores,
+    join_asked,
+    pruned_join,
+    query_terms,
+)
+from lexspark.session import scope, settings, stage, store
 from lexspark.sources.index_store import SearchIndex, term_bucket
 
 RANGE_DOCS = 16
@@ -54,26 +64,31 @@ def build_blocks(
 ) -> BlockIndex:
     """Write the postings of ``index`` in blocks to ``path`` and read them back.
 
-    Postings learn the range of their document by a join in shares.  They are dealt once, by (bucket,
-    term, range); the blocks of a partition are then complete, and a frequent term spreads
-    over many partitions.  A block holds ``range_docs`` postings at most.
+    Postings learn the range of their document by a join in shares.  They are dealt once, by bucket and a
+    hash of the range; the blocks of a partition are then complete, and a frequent term spreads
+    over its bucket's shares.  They are sorted once, and blocks are cut from the sorted rows.  A block holds
+    ``range_docs`` postings at most.
     """
-    with scope(index.postings.sparkSession):
+    spark = index.postings.sparkSession
+    with scope(spark):
         numbered = number_rows(index.doc_lengths.select("doc", "dl", "n_terms"), ["dl", "doc"], "number", 0)
         ranges = stage(numbered.select("doc", "n_terms", F.expr(f"number div {range_docs}").alias("range")), "ranges")
         placed = join_per_key(index.postings.select("term", "doc", "tf", "dl"), ranges, "doc", "n_terms")
-        placed = stage(placed.withColumn("bucket", term_bucket(F.col("term"), index.buckets)), "ranged_postings")
-        order = ("bucket", "term", "range")
-        dealt = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
+        shares = dealt_shares(ranges, index.buckets, files)
+        placed = placed.withColumn("bucket", term_bucket(F.col("term"), index.buckets))
+        placed = placed.withColumn("share", F.pmod(F.xxhash64("range"), F.lit(shares)).cast("int"))
+        order = ("bucket", "share", "term", "range")
+        dealt = placed.repartition(index.buckets * shares, "bucket", "share").sortWithinPartitions(*order, "doc")
         part = _part(index, k1, b)
         blocks = dealt.groupBy(*order).agg(
             F.count("*").cast("int").alias("n"),
             F.max(part).alias("greatest"),
             F.min(part).alias("least"),
-            F.array_sort(F.collect_list(F.struct("doc", "tf", "dl"))).alias("postings"),
+            F.sort_array(F.collect_list(F.struct("doc", "tf", "dl"))).alias("postings"),
         )
-        blocks = blocks.select("term", "range", "n", "greatest", "least", "postings", "bucket").sortWithinPartitions(*order)
-        stored = store(blocks, f"{path}/blocks", ("bucket",))
+        blocks = blocks.select("term", "range", "n", "greatest", "least", "postings", "bucket")
+        with settings(spark, {"spark.sql.execution.replaceHashWithSortAgg": "true"}):  # the rows are in order
+            stored = store(blocks, f"{path}/blocks", ("bucket",))
     return BlockIndex(stored, index, k1, b)
 
 
@@ -104,29 +119,57 @@ def _bounds(blocked: BlockIndex, weighted: DataFrame) -> DataFrame:
     return together.select("query_id", "range", bound.alias("bound"), "n")
 
 
-def _range_scores(blocked: BlockIndex, asked: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``(query_id, doc, score)`` of the documents in these ``(query_id, range)``."""
+def _range_scores(blocked: BlockIndex, weighted: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``(query_id, doc, score)`` of the documents in these ``(query_id, range, n)``.
+
+    Where the queries are broadcast, what is shuffled are blocks of asked terms, by range: each block once, however
+    many queries ask for it.  Queries are joined after that, and as a document lies in one range, its scores are
+    added up where they are.  A task has about ``TASK_SCORES`` of them.
+    """
+    rows = blocked.blocks.select("bucket", "term", "range", "postings")
+    if (asked_cells(weighted).cells or 0) > BROADCAST_ROWS:
+        return _range_scores_by_term(blocked, rows, weighted, ranges)
+    wanted = ranges.groupBy("range").agg(F.collect_list("query_id").alias("wanted"), F.sum("n").alias("n"))
+    wanted = stage(wanted, "wanted_ranges")
+    found = wanted.agg(F.count("*").alias("ranges"), F.sum("n").alias("n")).first()
+    met = pruned_join(rows, weighted.select("bucket", "term", "idf").distinct(), ["term"])
+    if found.ranges <= BROADCAST_ROWS:
+        met = met.join(F.broadcast(wanted.select("range")), "range", "left_semi")
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, (found.n or 0) // TASK_SCORES)
+    placed = met.select("range", "term", "idf", "postings").repartition(tasks, "range")
+    asked = placed.join(F.broadcast(weighted.select("term", "query_ids")), "term").join(wanted.drop("n"), "range")
+    asked = asked.select("range", "idf", "postings", F.array_intersect("query_ids", "wanted").alias("query_ids"))
+    entries = asked.select("range", "idf", "query_ids", F.explode("postings").alias("p")).select("range", "idf", "query_ids", "p.*")
+    scores = entries.select("range", "doc", "query_ids", _range_score(blocked).alias("score"))
+    scores = scores.select(F.explode("query_ids").alias("query_id"), "range", "doc", "score")
+    return scores.groupBy("query_id", "range", "doc").agg(exact_sum(F.col("score")).alias("score")).drop("range")
+
+
+def _range_score(blocked: BlockIndex) -> Column:
+    return F.lit(blocked.k1 + 1) * F.col("idf") * _part(blocked.index, blocked.k1, blocked.b)
+
+
+def _range_scores_by_term(blocked: BlockIndex, rows: DataFrame, weighted: DataFrame, ranges: DataFrame) -> DataFrame:
+    asked = weighted.select(F.explode("query_ids").alias("query_id"), "term", "idf", "bucket")
     wanted = stage(ranges.select("query_id", "range").join(asked, "query_id"), "wanted_blocks")
-    met = _of_ranges(blocked.blocks.select("bucket", "term", "range", "postings"), wanted)
+    met = _of_ranges(rows, wanted)
     met = met.select("query_id", "idf", F.explode("postings").alias("p")).select("query_id", "idf", "p.*")
-    score = F.lit(blocked.k1 + 1) * F.col("idf") * _part(blocked.index, blocked.k1, blocked.b)
-    return document_scores(met.select("query_id", "doc", score.alias("score")))
+    return document_scores(met.select("query_id", "doc", _range_score(blocked).alias("score")))
 
 
 def _search(blocked: BlockIndex, queries: DataFrame, k: int, analyse: bool, stem: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The best documents, the bounds, and the ranges that were scored."""
     weighted = asked_terms(blocked.index, query_terms(queries, analyse=analyse, stem=stem))
-    asked = weighted.select(F.explode("query_ids").alias("query_id"), "term", "idf", "bucket")
     bounds = stage(_bounds(blocked, weighted), "bounds")
     best_first = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "range")
     first = bounds.withColumn("place", F.row_number().over(best_first)).filter(F.col("place") <= k)
     first = stage(first.select("query_id", "range", "n"), "first_ranges")
-    found = stage(top_k_per_query(_range_scores(blocked, asked, first), k), "first_scores")
+    found = stage(top_k_per_query(_range_scores(blocked, weighted, first), k), "first_scores")
     threshold = found.filter(F.col("rank") == k).select("query_id", F.col("score").alias("threshold"))
     left = bounds.join(first.select("query_id", "range"), ["query_id", "range"], "left_anti").join(threshold, "query_id", "left")
     open_ranges = left.filter(F.col("threshold").isNull() | (F.col("bound") + SLACK >= F.col("threshold")))
     later = stage(open_ranges.select("query_id", "range", "n"), "later_ranges")
-    scores = found.select("query_id", "doc", "score").union(_range_scores(blocked, asked, later))
+    scores = found.select("query_id", "doc", "score").union(_range_scores(blocked, weighted, later))
     return top_k_per_query(scores, k), bounds, first.union(later)
 
 

@@ -12,9 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.functions.weights import bm25_idf
-from lexspark.operators.terms import document_frequency, document_lengths, with_document_length
-from lexspark.plans.indexing import placed, store_postings, store_terms, term_counts
-from lexspark.session import release, scope, stage, store
+from lexspark.operators.terms import one_by_one
+from lexspark.plans.indexing import (
+    packed_counts,
+    packed_frequency,
+    packed_lengths,
+    packed_postings,
+    store_postings,
+    store_terms,
+)
+from lexspark.session import scope, stage, store
 from lexspark.sources.index_store import SearchIndex, new_version, publish, read_index, segments
 
 
@@ -39,27 +46,28 @@ def add_documents(
     """
     before, index = segments(spark, path), read_index(spark, path)
     with scope(spark):
-        counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
-        return _append(spark, path, before, index, counts, removed, files)
+        packed = packed_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
+        return _append(spark, path, before, index, packed, removed, files)
 
 
 def add_counts_of(
     spark: SparkSession, path: str, counts: DataFrame, *, removed: DataFrame | None = None, files: int | None = None
 ) -> SearchIndex:
     """``add_documents`` for ``counts(doc, term, tf)``."""
-    return _append(spark, path, segments(spark, path), read_index(spark, path), counts, removed, files)
+    before, index = segments(spark, path), read_index(spark, path)
+    with scope(spark):
+        return _append(spark, path, before, index, stage(one_by_one(counts), "counts"), removed, files)
 
 
-def _append(spark, path, before, index, counts, removed, files) -> SearchIndex:
+def _append(spark, path, before, index, packed, removed, files) -> SearchIndex:
     version = new_version(path)
-    counts = stage(with_document_length(counts), "counts")
-    doc_lengths = store(document_lengths(counts), f"{version}/doc_lengths")
+    doc_lengths = store(packed_lengths(packed), f"{version}/doc_lengths")
     leaving = doc_lengths.select("doc")
     if removed is not None:
         leaving = leaving.union(removed.select(F.col("doc").cast(leaving.schema["doc"].dataType))).distinct()
     gone = index.doc_lengths.join(leaving, "doc", "left_semi").select("doc", "dl")
     superseded = store(gone, f"{version}/superseded")
-    frequencies = document_frequency(counts)
+    frequencies = packed_frequency(packed)
     if not superseded.isEmpty():
         lost = index.postings.select("term", "doc").join(superseded.select("doc"), "doc", "left_semi")
         lost = lost.groupBy("term").agg((-F.count("*")).alias("df"))
@@ -69,8 +77,7 @@ def _append(spark, path, before, index, counts, removed, files) -> SearchIndex:
     new, old = doc_lengths.agg(*sums), superseded.agg(*((-c).alias(n) for c, n in zip(sums, ("n_docs", "total_len"))))
     changes = new.unionByName(old).agg(F.sum("n_docs").alias("n_docs"), F.sum("total_len").alias("total_len"))
     store(changes.coalesce(1), f"{version}/corpus_changes")
-    store_postings(placed(counts), version, index.buckets, files)
-    release(counts)
+    store_postings(packed_postings(packed), version, index.buckets, files, doc_lengths)
     publish(spark, path, version, index.buckets, before)
     return read_index(spark, path)
 
@@ -83,6 +90,6 @@ def compact(spark: SparkSession, path: str, *, files: int | None = None) -> Sear
     corpus = store(index.corpus_stats.select("n_docs", "total_len", "avg_len").coalesce(1), f"{version}/corpus_stats")
     idf = bm25_idf(corpus.select("n_docs").scalar(), F.col("df"))
     term_stats = store_terms(index.term_stats.select("term", "df").withColumn("idf", idf), version)
-    postings = store_postings(index.postings.select("term", "doc", "tf", "dl"), version, index.buckets, files)
+    postings = store_postings(index.postings.select("term", "doc", "tf", "dl"), version, index.buckets, files, doc_lengths)
     publish(spark, path, version, index.buckets)
     return SearchIndex(postings, doc_lengths, term_stats, corpus, index.buckets)

@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexspark.functions.weights import bm25_idf
 from lexspark.operators.terms import (
     add_counts,
-    by_document,
     by_title_key,
     corpus_stats,
     count_terms,
     counts_by_title,
+    document_counts,
     document_frequency,
-    document_lengths,
+    one_by_one,
     stem_counts,
     title_counts,
     tokens,
-    with_document_length,
+    unpacked,
 )
-from lexspark.session import release, scope, stage, store
+from lexspark.session import scope, stage, store
 from lexspark.sources.index_store import BUCKETS, SearchIndex, new_version, publish, term_bucket
 
+TASK_POSTINGS = 2_000_000
+
 
 def term_counts(
     chunks: DataFrame, *, stem: bool = False, count_titles: bool | None = None, keep_empty: bool = False
@@ -36,8 +40,11 @@ def term_counts(
     if count_titles is None:
         count_titles = "title_line" in chunks.columns
     if not count_titles:
-        counts = count_terms(tokens(by_document(chunks), keep_empty))
-        return add_counts(stem_counts(stage(counts, "raw_counts")).repartition("doc")) if stem else counts
+        if "text" not in chunks.columns:
+            counts = count_terms(tokens(chunks, keep_empty))
+            return add_counts(stem_counts(stage(counts, "raw_counts")).repartition("doc")) if stem else counts
+        counts = unpacked(stage(document_counts(chunks, keep_empty), "raw_counts"))
+        return add_counts(stem_counts(counts).repartition("doc")) if stem else counts
     counts = stage(counts_by_title(chunks), "raw_counts")
     body = stem_counts(counts) if stem else counts
     merged = add_counts(by_title_key(body), by_title_key(title_counts(counts)))
@@ -57,9 +64,10 @@ def build_index(
 ) -> SearchIndex:
     """Write the index tables of ``chunks(doc, chunk)`` to ``path`` and read them back;
     ``buckets``, ``files`` and ``dropped`` as in ``index_counts``."""
-    with scope(chunks.sparkSession):
-        counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
-        return index_counts(counts, path, buckets=buckets, files=files, dropped=dropped)
+    spark = chunks.sparkSession
+    with scope(spark):
+        packed = packed_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
+        return _write_index(spark, packed, path, buckets, files, dropped)
 
 
 def index_counts(
@@ -69,40 +77,74 @@ def index_counts(
 
     The counts are written once, with the lengths of their documents, and read three times, each time
     only the columns needed.
-    Postings lie in ``buckets`` folders by term and in about ``files`` files beyond one per
-    folder (by default as many as there are shuffle partitions); choose both so that a file has
-    some hundred MB.  Postings and term statistics are ordered by term, so that a query reads only
+    Postings lie in ``buckets`` folders by term and in about ``files`` files (by default one per folder
+    and ``TASK_POSTINGS`` of them).  Postings and term statistics are ordered by term, so that a query reads only
     the row groups of its terms; ordering postings by document within a term lets a frequent term
     spread over many files.  The index replaces the one at ``path`` when all its tables are written.
     ``dropped`` is what the source of the counts was given to count the rows that it leaves out; the figures are
     published with the index (``dropped_rows``).
     """
-    spark, version = counts.sparkSession, new_version(path)
-    counts = stage(with_document_length(counts), "counts")
-    doc_lengths = store(document_lengths(counts), f"{version}/doc_lengths")
+    with scope(counts.sparkSession):
+        return _write_index(counts.sparkSession, stage(one_by_one(counts), "counts"), path, buckets, files, dropped)
+
+
+def packed_counts(
+    chunks: DataFrame, *, stem: bool = False, count_titles: bool | None = None, keep_empty: bool = False
+) -> DataFrame:
+    """The counts of ``term_counts`` as ``document_counts`` gives them, stored."""
+    if "text" in chunks.columns and not stem and not count_titles:
+        return stage(document_counts(chunks, keep_empty), "counts")
+    counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
+    return stage(one_by_one(counts), "counts")
+
+
+def packed_lengths(packed: DataFrame) -> DataFrame:
+    """``(doc, dl, n_terms)`` of stored packed counts."""
+    terms = packed.select("doc", "dl", F.size("terms").alias("n")).filter("n > 0")
+    return terms.groupBy("doc").agg(F.max("dl").alias("dl"), F.sum("n").cast("long").alias("n_terms"))
+
+
+def packed_postings(packed: DataFrame) -> DataFrame:
+    """``(term, doc, tf, dl)`` of what is a document's term, of stored packed counts."""
+    entries = packed.filter(F.col("doc").isNotNull()).select("doc", "dl", F.explode("terms").alias("entry"))
+    return entries.select("entry.term", "doc", "entry.tf", "dl").filter(F.col("term").isNotNull())
+
+
+def packed_frequency(packed: DataFrame) -> DataFrame:
+    """``(term, df)`` of stored packed counts."""
+    return document_frequency(packed.select(F.explode("terms.term").alias("term")))
+
+
+def _write_index(spark, packed, path, buckets, files, dropped) -> SearchIndex:
+    """Write the index tables of stored packed counts."""
+    version = new_version(path)
+    doc_lengths = store(packed_lengths(packed), f"{version}/doc_lengths")
     corpus = store(corpus_stats(doc_lengths).coalesce(1), f"{version}/corpus_stats")
     n_docs = corpus.select("n_docs").scalar()
-    frequencies = document_frequency(counts).withColumn("idf", bm25_idf(n_docs, F.col("df")))
-    term_stats = store_terms(frequencies, version)
-    postings = store_postings(placed(counts), version, buckets, files)
-    release(counts)
+    term_stats = store_terms(packed_frequency(packed).withColumn("idf", bm25_idf(n_docs, F.col("df"))), version)
+    postings = store_postings(packed_postings(packed), version, buckets, files, doc_lengths)
     publish(spark, path, version, buckets, dropped=dropped)
     return SearchIndex(postings, doc_lengths, term_stats, corpus, buckets)
 
 
-def placed(counts: DataFrame) -> DataFrame:
-    """``(term, doc, tf, dl)``: the counts of what is a document's term."""
-    return counts.filter(F.col("term").isNotNull() & F.col("doc").isNotNull()).select("term", "doc", "tf", "dl")
-
-
 def store_terms(frequencies: DataFrame, version: str) -> DataFrame:
     """Write ``term_stats`` in term order."""
     return store(frequencies.repartitionByRange("term").sortWithinPartitions("term"), f"{version}/term_stats")
 
 
-def store_postings(postings: DataFrame, version: str, buckets: int, files: int | None = None) -> DataFrame:
-    """Write ``postings(term, doc, tf, dl)`` by bucket, in the order of term and document."""
-    order = ("bucket", "term", "doc")
+def dealt_shares(doc_lengths: DataFrame, buckets: int, files: int | None = None) -> int:
+    """Into how many shares the postings of a bucket are dealt, so that a task has about ``TASK_POSTINGS``."""
+    n = doc_lengths.agg(F.sum("n_terms").alias("n")).first().n or 0
+    return max(1, math.ceil(files / buckets) if files else math.ceil(n / (TASK_POSTINGS * buckets)))
+
+
+def store_postings(postings: DataFrame, version: str, buckets: int, files: int | None, doc_lengths: DataFrame) -> DataFrame:
+    """Write ``postings(term, doc, tf, dl)`` by bucket, in the order of term and document.
+
+    They are dealt by bucket and, where there are many, by a hash of the document, which takes one pass over
+    them; a frequent term lies in as many files as its bucket has shares."""
+    order, shares = ("bucket", "term", "doc"), dealt_shares(doc_lengths, buckets, files)
     bucketed = postings.withColumn("bucket", term_bucket(F.col("term"), buckets))
-    dealt = bucketed.repartitionByRange(files, *order) if files else bucketed.repartitionByRange(*order)
+    share = F.pmod(F.xxhash64("doc"), F.lit(shares)).cast("int")
+    dealt = bucketed.repartitionById(buckets * shares, F.col("bucket") * shares + share)
     return store(dealt.sortWithinPartitions(*order), f"{version}/postings", ("bucket",))

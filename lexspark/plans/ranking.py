@@ -89,13 +89,14 @@ def join_asked(rows: DataFrame, weighted: DataFrame) -> DataFrame:
     whatever the number of queries; up to ``FILTER_TERMS`` terms, their hashes are broadcast first, so that
     only folders and rows of asked terms are read and moved.
     """
-    n = _asked(weighted)
+    n = asked_cells(weighted)
     if (n.cells or 0) <= BROADCAST_ROWS:
         return pruned_join(rows, weighted.drop("df"), ["term"])
     return _join_many(rows, weighted, n)
 
 
-def _asked(weighted: DataFrame):
+def asked_cells(weighted: DataFrame):
+    """How many terms and ids of queries there are, and how many terms."""
     return weighted.agg(F.sum(F.size("query_ids") + 1).alias("cells"), F.count("df").alias("terms")).first()
 
 
@@ -123,7 +124,7 @@ def scores_by_document(index: SearchIndex, terms: DataFrame, k1: float = K1, b:
     """
     weighted = asked_terms(index, terms)
     rows = index.postings.select("bucket", "term", "doc", "tf", "dl")
-    n = _asked(weighted)
+    n = asked_cells(weighted)
     if (n.cells or 0) > BROADCAST_ROWS:
         met = _join_many(rows, weighted, n).withColumn("score", _score(index, k1, b))
         return document_scores(met.select(F.explode("query_ids").alias("query_id"), "doc", "score"))
