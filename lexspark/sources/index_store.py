@@ -175,7 +175,8 @@ def _unescape(text: Column) -> Column:
             piece = F.replace(piece, F.lit(written), F.lit(raw))
         return piece
 
-    return F.array_join(F.transform(F.split(text, r"\\\\"), part), "\\")
+    written = F.array_join(F.transform(F.split(text, r"\\\\"), part), "\\")
+    return F.when(text.contains("\\"), written).otherwise(text)
 
 
 def export_text(index: SearchIndex, path: str) -> None:
@@ -211,13 +212,14 @@ def import_text(spark: SparkSession, path: str, dropped: Observation | None = No
     lines = spark.read.text(f"{path}/counts")
     if dropped is not None:
         lines = lines.observe(dropped, F.count(F.when(~value.rlike(_LINE), 1)).alias("malformed_lines"))
-    return (
-        lines.filter(value.rlike(_LINE))
-        .select(
-            _unescape(F.regexp_extract(value, _LINE, 2)).alias("doc"),
-            _unescape(F.regexp_extract(value, _LINE, 1)).alias("term"),
-            F.regexp_extract(value, _LINE, 3).cast("long").alias("tf"),
-        )
+    key, tail = F.substring_index(value, "\t", 1), F.substring_index(value, "\t", -1)
+    parts = lines.filter(value.rlike(_LINE)).select(key.alias("key"), F.substring_index(key, "-", 1).alias("term"), tail.alias("tail"))
+    # the pattern lets a line end in one of the rarer line breaks
+    tf = F.coalesce(F.col("tail").try_cast("long"), F.regexp_extract("tail", "^[0-9]+", 0).cast("long"))
+    return parts.select(
+        _unescape(F.substring("key", F.length("term") + 2, F.length("key"))).alias("doc"),
+        _unescape(F.col("term")).alias("term"),
+        tf.alias("tf"),
     )
 
 
