@@ -14,6 +14,9 @@ from lexspark.session import stage
 
 CROWDED = 1000  # rows of one document
 TASK_BYTES = 8 << 20
+TASK_TERMS = 1_000_000
+PART_BITS = 12  # of a line's number: as many lines of a title are put together at most
+MARK = "\x00"
 
 
 def tokens(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
@@ -116,6 +119,13 @@ def one_by_one(counts: DataFrame) -> DataFrame:
     return with_document_length(counts).select("doc", F.col("dl").cast("long").alias("dl"), entry.alias("terms"))
 
 
+def add_packed(packed: DataFrame) -> DataFrame:
+    """``(doc, term, tf)`` of stored packed counts, of which a document may have many: added up over tasks of about
+    ``TASK_TERMS`` terms, so that what a task combines does not grow with the input."""
+    n = packed.agg(F.sum(F.size("terms")).alias("n")).first().n or 0
+    return add_counts(unpacked(packed.repartition(max(1, n // TASK_TERMS))))
+
+
 def document_counts(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
     """``(doc, dl, terms)`` of ``chunks(doc, text)``: ``terms`` an array of ``(term, tf)``, ``dl`` the length of the whole
     document.  Store it before a filter.
@@ -123,12 +133,78 @@ def document_counts(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
     A document of one row is counted where it is read, and is one row.  One whose id, or null, comes again
     has its counts added up, and one row per term; a row without a term has an empty array.
     """
-    repeated = repeated_docs(chunks)
-    once, rest = rows_of_docs(chunks, repeated)
-    counts = add_counts(unpacked(packed_texts(rest, keep_empty)))
+    once, rest = rows_of_docs(chunks, repeated_docs(chunks))
+    counts = add_packed(stage(packed_texts(rest, keep_empty), "repeated_counts"))
     return packed_texts(once, keep_empty).unionByName(one_by_one(counts))
 
 
+def title_texts(chunks: DataFrame) -> DataFrame:
+    """``(doc, title_line, text)``, stored: the chunks under a title line put together, in parts of 2 ** ``PART_BITS`` lines
+    of a file at most.  ``chunks`` has ``file``, ``block_start`` and ``line_id``; ``doc`` is the title's key."""
+    part = F.shiftright("line_id", PART_BITS).alias("part")
+    text = F.array_join(F.collect_list("chunk"), " ").alias("text")
+    texts = stage(chunks.groupBy("title_line", "file", "block_start", part).agg(text).select("title_line", "text"), "title_texts")
+    return by_title_key(texts.withColumn("doc", F.col("title_line"))).select("doc", "title_line", "text")
+
+
+def _not_empty(words: Column) -> Column:
+    return F.filter(words, lambda w: w != "")
+
+
+def packed_parts(texts: DataFrame) -> DataFrame:
+    """``(doc, dl, terms)`` of each of ``title_texts``, without the words of titles."""
+    words = texts.select("doc", _not_empty(chunk_words(F.col("text"))).alias("words"))
+    return pack_words(words, "words").select("doc", "dl", "terms")
+
+
+def packed_titles(texts: DataFrame) -> DataFrame:
+    """``(doc, dl, terms)`` of the words of each title line, as written; equal lines count once."""
+    titles = texts.select("doc", "title_line").distinct()
+    words = titles.select("doc", _not_empty(title_words(F.col("title_line"))).alias("words"))
+    return pack_words(words, "words").select("doc", "dl", "terms")
+
+
+def titled_counts(texts: DataFrame) -> DataFrame:
+    """As ``document_counts``, of ``title_texts``, the words of title lines included."""
+    once, rest = rows_of_docs(texts, repeated_docs(texts))
+    both = F.concat(chunk_words(F.col("text")), title_words(F.col("title_line")))
+    whole = pack_words(once.select("doc", _not_empty(both).alias("words")), "words").select("doc", "dl", "terms")
+    parts = stage(packed_parts(rest).unionByName(packed_titles(rest)), "repeated_counts")
+    return whole.unionByName(one_by_one(add_packed(parts)))
+
+
+def titled_counts_without(texts: DataFrame, stopwords: DataFrame) -> DataFrame:
+    """``(doc, term, tf)`` of ``title_texts`` without the listed words, which stay in title lines.
+
+    Where a document is one row, its body's and title's words are counted apart and added up in the row: title words
+    have a mark behind them, which no body word has, and come next to the same word of the body."""
+    once, rest = rows_of_docs(texts, repeated_docs(texts))
+    listed = stopwords.select(F.col("word").alias("term"), F.lit(True).alias("listed")).distinct()
+    marked = F.transform(_not_empty(title_words(F.col("title_line"))), lambda w: F.concat(w, F.lit(MARK)))
+    words = once.select("doc", F.concat(_not_empty(chunk_words(F.col("text"))), marked).alias("words"))
+
+    def side(entry, place):
+        term, tf = entry["term"], entry["tf"]
+        is_title, before, after = term.endswith(MARK), F.get("terms", place - 1), F.get("terms", place + 1)
+        word = F.substring(term, F.lit(1), F.length(term) - 1)
+        body = F.when((before["term"] == word) & ~word.endswith(MARK), before["tf"]).otherwise(0)
+        again = F.coalesce(after["term"] == F.concat(term, F.lit(MARK)), F.lit(False))  # it comes with its title's count
+        return F.struct(
+            F.when(is_title, word).otherwise(term).alias("term"),
+            F.when(is_title, body).otherwise(tf).cast("long").alias("body"),
+            F.when(is_title, tf).otherwise(0).cast("long").alias("title"),
+            (~is_title & again).alias("again"),
+        )
+
+    packed = pack_words(words, "words").select("doc", F.transform("terms", side).alias("terms"))
+    entries = packed.select("doc", F.explode_outer("terms").alias("entry")).select("doc", "entry.*").filter(~F.col("again"))
+    tf = F.col("title") + F.when(F.col("listed"), 0).otherwise(F.col("body"))
+    kept = entries.join(listed, "term", "left").select("doc", "term", tf.alias("tf")).filter("tf > 0")
+    parts = stage(packed_parts(rest), "repeated_counts")
+    others = add_counts(without_stopwords(add_packed(parts), stopwords), unpacked(packed_titles(rest)))
+    return kept.unionByName(others)
+
+
 def without_stopwords(terms: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Tokens that are not in the list; repeated tokens stay repeated."""
     listed = stopwords.select(F.col("word").alias("term")).distinct()

@@ -17,8 +17,12 @@ from lexspark.operators.terms import (
     document_counts,
     document_frequency,
     one_by_one,
+    packed_parts,
+    packed_titles,
     stem_counts,
     title_counts,
+    title_texts,
+    titled_counts,
     tokens,
     unpacked,
 )
@@ -45,6 +49,12 @@ def term_counts(
             return add_counts(stem_counts(stage(counts, "raw_counts")).repartition("doc")) if stem else counts
         counts = unpacked(stage(document_counts(chunks, keep_empty), "raw_counts"))
         return add_counts(stem_counts(counts).repartition("doc")) if stem else counts
+    if not stem and "line_id" in chunks.columns:
+        return unpacked(stage(titled_counts(title_texts(chunks)), "raw_counts"))
+    if "line_id" in chunks.columns:
+        texts = title_texts(chunks)
+        body = stem_counts(unpacked(stage(packed_parts(texts), "raw_counts")))
+        return add_counts(body, unpacked(packed_titles(texts)))
     counts = stage(counts_by_title(chunks), "raw_counts")
     body = stem_counts(counts) if stem else counts
     merged = add_counts(by_title_key(body), by_title_key(title_counts(counts)))
@@ -94,6 +104,8 @@ def packed_counts(
     """The counts of ``term_counts`` as ``document_counts`` gives them, stored."""
     if "text" in chunks.columns and not stem and not count_titles:
         return stage(document_counts(chunks, keep_empty), "counts")
+    if count_titles is not False and not stem and {"title_line", "line_id"} <= set(chunks.columns):
+        return stage(titled_counts(title_texts(chunks)), "counts")
     counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
     return stage(one_by_one(counts), "counts")
 

@@ -15,6 +15,8 @@ from lexspark.operators.terms import (
     counts_by_title,
     document_frequency,
     title_counts,
+    title_texts,
+    titled_counts_without,
     tokens,
     without_stopwords,
 )
@@ -35,7 +37,9 @@ def tfidf(
     document that only has stop words still counts in N.  ``exact`` divides N by the document
     frequency as real numbers.
     """
-    if count_titles:
+    if count_titles and "line_id" in chunks.columns:
+        counts = kept = stage(titled_counts_without(title_texts(chunks), stopwords), "tfidf_counts")
+    elif count_titles:
         counts = stage(counts_by_title(chunks), "tfidf_raw_counts")
         body = without_stopwords(counts, stopwords)
         kept = stage(add_counts(by_title_key(body), by_title_key(title_counts(counts))), "tfidf_counts")

@@ -63,3 +63,30 @@ def test_postings_and_blocks_are_dealt_in_one_pass(spark, rows, tmp_path, monkey
     physical = plan(search_blocks(blocked, asked, 3))
     assert "hashpartitioning(range" in physical and "hashpartitioning(query_id#" in physical
     assert not any("hashpartitioning(query_id" in x and "doc" in x.split("hashpartitioning")[1].split(")")[0] for x in physical.splitlines())
+
+
+def test_wiki_words_are_counted_in_rows(spark, tmp_path, monkeypatch):
+    """Titles that come once, that come again, and that span many parts; words of title and body that meet."""
+    from lexspark import read_wiki, tfidf, wiki_chunks
+    from lexspark.plans.indexing import term_counts
+
+    pick = random.Random(4)
+    words = ["the", "dog", "w1", "Cat", "a]]b", "[[x", "of"]
+    lines = []
+    for i in range(80):
+        lines.append(f"[[T{i % 50}]] the w1 the z\x00 part" + " again" * (i % 3))
+        lines += [" ".join(pick.choices(words, k=pick.randrange(1, 9))) for _ in range(pick.randrange(6))]
+    (tmp_path / "w.txt").write_text("\n".join(lines))
+    chunks = wiki_chunks(read_wiki(spark, str(tmp_path)))
+    flat = chunks.drop("line_id", "file", "block_start")  # goes the way of rows of any chunks
+    listed = spark.createDataFrame([("the",), ("dog",)], "word string")
+
+    def rows(df):
+        return Counter(map(tuple, df.collect()))
+
+    for bits in (1, 12):
+        monkeypatch.setattr(terms, "PART_BITS", bits)
+        for stem in (False, True):
+            got = rows(term_counts(chunks, stem=stem).select("doc", "term", "tf"))
+            assert got == rows(term_counts(flat, stem=stem).select("doc", "term", "tf")) and len(got) > 100
+        assert rows(tfidf(chunks, listed, count_titles=True)) == rows(tfidf(flat, listed, count_titles=True))
