@@ -14,7 +14,6 @@ from lexspark.session import stage
 
 CROWDED = 1000  # rows of one document
 TASK_BYTES = 8 << 20
-TASK_TERMS = 1_000_000
 PART_BITS = 12  # of a line's number: as many lines of a title are put together at most
 MARK = "\x00"
 
@@ -119,11 +118,11 @@ def one_by_one(counts: DataFrame) -> DataFrame:
     return with_document_length(counts).select("doc", F.col("dl").cast("long").alias("dl"), entry.alias("terms"))
 
 
-def add_packed(packed: DataFrame) -> DataFrame:
-    """``(doc, term, tf)`` of stored packed counts, of which a document may have many: added up over tasks of about
-    ``TASK_TERMS`` terms, so that what a task combines does not grow with the input."""
-    n = packed.agg(F.sum(F.size("terms")).alias("n")).first().n or 0
-    return add_counts(unpacked(packed.repartition(max(1, n // TASK_TERMS))))
+def dealt_texts(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt to tasks of about ``TASK_BYTES`` of their column ``text``, so that what a task combines of their
+    counts does not grow with the input.  Texts are dealt, not counts: they are smaller."""
+    size = rows.agg(F.sum(F.octet_length("text")).alias("size")).first().size or 0
+    return rows.repartition(max(1, size // TASK_BYTES))
 
 
 def document_counts(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
@@ -134,7 +133,7 @@ def document_counts(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
     has its counts added up, and one row per term; a row without a term has an empty array.
     """
     once, rest = rows_of_docs(chunks, repeated_docs(chunks))
-    counts = add_packed(stage(packed_texts(rest, keep_empty), "repeated_counts"))
+    counts = add_counts(unpacked(packed_texts(dealt_texts(rest), keep_empty)))
     return packed_texts(once, keep_empty).unionByName(one_by_one(counts))
 
 
@@ -169,8 +168,8 @@ def titled_counts(texts: DataFrame) -> DataFrame:
     once, rest = rows_of_docs(texts, repeated_docs(texts))
     both = F.concat(chunk_words(F.col("text")), title_words(F.col("title_line")))
     whole = pack_words(once.select("doc", _not_empty(both).alias("words")), "words").select("doc", "dl", "terms")
-    parts = stage(packed_parts(rest).unionByName(packed_titles(rest)), "repeated_counts")
-    return whole.unionByName(one_by_one(add_packed(parts)))
+    counts = add_counts(unpacked(packed_parts(dealt_texts(rest))), unpacked(packed_titles(rest)))
+    return whole.unionByName(one_by_one(counts))
 
 
 def titled_counts_without(texts: DataFrame, stopwords: DataFrame) -> DataFrame:
@@ -200,8 +199,8 @@ def titled_counts_without(texts: DataFrame, stopwords: DataFrame) -> DataFrame:
     entries = packed.select("doc", F.explode_outer("terms").alias("entry")).select("doc", "entry.*").filter(~F.col("again"))
     tf = F.col("title") + F.when(F.col("listed"), 0).otherwise(F.col("body"))
     kept = entries.join(listed, "term", "left").select("doc", "term", tf.alias("tf")).filter("tf > 0")
-    parts = stage(packed_parts(rest), "repeated_counts")
-    others = add_counts(without_stopwords(add_packed(parts), stopwords), unpacked(packed_titles(rest)))
+    body = without_stopwords(unpacked(packed_parts(dealt_texts(rest))), stopwords)
+    others = add_counts(body, unpacked(packed_titles(rest)))
     return kept.unionByName(others)
 
 
