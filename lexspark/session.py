@@ -11,6 +11,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_SETTING = "spark.checkpoint.dir"
+TEXT_CODEC = "zstd"  # of intermediate tables that hold whole texts
 _local_scratch: dict[str, str] = {}
 _open_scopes = threading.local()
 
@@ -38,13 +39,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` as a Parquet table and read it back.  Columns to partition by come last."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def store(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), codec: str | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table and read it back.  Columns to partition by come last; ``codec`` is the
+    session's by default."""
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Store ``df`` in the scratch folder.
 
     For a table that several later plans read: each of them then scans only the columns it
@@ -53,7 +55,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     for paths in getattr(_open_scopes, "stack", [])[-1:]:
         paths.append(path)
-    stored = store(df, path)
+    stored = store(df, path, codec=codec)
     stored.stage_path = path
     return stored
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.text import clean_body, has_line, is_title, normalise_line, strip_blanks, title_key
 from lexspark.operators.carry import carry_forward
-from lexspark.session import stage
+from lexspark.session import TEXT_CODEC, stage
 
 POSITION = ["file", "block_start", "line_id"]
 
@@ -44,7 +44,7 @@ def titled_lines(lines: DataFrame, ascii_first: bool = False) -> DataFrame:
             F.when(~is_title(norm), clean_body(norm, ascii_first)).alias("chunk"),
         )
     )
-    return carry_forward(stage(marked, "lines"), "title_line").filter(F.col("chunk").isNotNull())
+    return carry_forward(stage(marked, "lines", TEXT_CODEC), "title_line").filter(F.col("chunk").isNotNull())
 
 
 def wiki_chunks(lines: DataFrame, ascii_first: bool = False, dropped: Observation | None = None) -> DataFrame:
