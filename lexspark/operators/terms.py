@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.porter import with_stem
 from lexspark.functions.text import chunk_words, clean_word, has_letters, raw_words, title_key, title_words
-from lexspark.operators.skew import join_per_key
+from lexspark.operators.stems import stems_of
 from lexspark.session import stage
 
 CROWDED = 1000  # rows of one document
@@ -71,11 +71,14 @@ def pack_words(rows: DataFrame, words: str) -> DataFrame:
 
     rows = rows.withColumn("__starts", F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), begins)).otherwise(F.array().cast("array<int>")))
 
-    def entry(start, place):
-        term, end = F.get(sorted_words, start), F.coalesce(F.get("__starts", place + 1), n)
-        return F.struct(term.alias("term"), F.when(term.isNull(), 0).otherwise(end - start).cast("long").alias("tf"))
+    has_null = F.get(sorted_words, F.lit(0)).isNull()
 
-    rows = rows.withColumn("terms", F.transform("__starts", entry))
+    def count(start, place):
+        end = F.coalesce(F.get("__starts", place + 1), n)
+        return F.when((start == 0) & has_null, 0).otherwise(end - start).cast("long")
+
+    rows = rows.withColumn("term", F.array_distinct(sorted_words)).withColumn("tf", F.transform("__starts", count))
+    rows = rows.withColumn("terms", F.arrays_zip("term", "tf")).drop("term", "tf")
     nulls = F.when((n > 0) & F.get(sorted_words, F.lit(0)).isNull(), F.coalesce(F.get("__starts", F.lit(1)), n)).otherwise(0)
     return rows.withColumn("dl", (n - nulls).cast("long")).drop("__words", "__starts")
 
@@ -272,11 +275,18 @@ def stem_vocabulary(counts: DataFrame) -> DataFrame:
 
 
 def stem_counts(counts: DataFrame) -> DataFrame:
-    """``(doc, term, tf)`` with each term of a stored table replaced by its stem, not yet
-    added up.  The distinct terms are stemmed and joined back; frequent terms are joined
-    without a shuffle."""
-    vocabulary = stage(stem_vocabulary(counts), "vocabulary")
-    stemmed = join_per_key(counts, vocabulary, "term", "n_rows").select(
-        "doc", F.col("stem").alias("term"), "tf"
-    )
-    return stemmed.unionByName(counts.filter(F.col("term").isNull()))
+    """``(doc, .., term, tf)``, a stored table, with each term replaced by its stem, not yet added up.  The distinct
+    terms are stemmed and joined back; only rows of rare terms are shuffled for it."""
+    stems = stems_of(counts.select("term"))
+    known = stems.known(counts.filter(F.col("term").isNotNull())).filter(F.col("stem").isNotNull())
+    stemmed = known.unionByName(stems.others(counts)).drop("term").withColumnRenamed("stem", "term")
+    return stemmed.select(counts.columns).unionByName(counts.filter(F.col("term").isNull()))
+
+
+def stem_packed(packed: DataFrame) -> DataFrame:
+    """Stored packed counts with their terms stemmed, one row per document and stem.  Stems do not change a document's
+    length, so its rows are only added up where they are dealt by document."""
+    rows = packed.select("doc", "dl", F.explode_outer("terms").alias("entry")).filter(F.col("entry").isNotNull())
+    stemmed = stem_counts(rows.select("doc", "dl", "entry.term", "entry.tf")).repartition("doc")
+    added = stemmed.groupBy("doc", "dl", "term").agg(F.sum("tf").alias("tf"))
+    return added.select("doc", "dl", F.array(F.struct("term", "tf")).alias("terms"))

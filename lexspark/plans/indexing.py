@@ -20,6 +20,7 @@ from lexspark.operators.terms import (
     packed_parts,
     packed_titles,
     stem_counts,
+    stem_packed,
     title_counts,
     title_texts,
     titled_counts,
@@ -106,6 +107,8 @@ def packed_counts(
         return stage(document_counts(chunks, keep_empty), "counts")
     if count_titles is not False and not stem and {"title_line", "line_id"} <= set(chunks.columns):
         return stage(titled_counts(title_texts(chunks)), "counts")
+    if "text" in chunks.columns and not count_titles:
+        return stage(stem_packed(stage(document_counts(chunks, keep_empty), "raw_counts")), "counts")
     counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
     return stage(one_by_one(counts), "counts")
 
