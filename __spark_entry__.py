@@ -42,7 +42,7 @@ from lexspark.plans.ranking import (  # noqa: E402
     term_scores,
 )
 from lexspark.plans.tfidf import tfidf  # noqa: E402
-from lexspark.session import scratch_path, stage  # noqa: E402
+from lexspark.session import release, scratch_path, stage  # noqa: E402
 from lexspark.sources.index_store import (  # noqa: E402
     SearchIndex,
     dropped_rows,
@@ -94,23 +94,25 @@ def _one_query(spark: SparkSession, text: str) -> DataFrame:
     return spark.range(1).select(F.lit(0).alias("query_id"), F.lit(text).alias("text"))
 
 
-def _wiki_lines(spark: SparkSession, sf_dir: str, compression: str = "none") -> DataFrame:
+def _wiki_lines(spark: SparkSession, sf_dir: str, compression: str = "none", in_order: bool = True) -> DataFrame:
     """The documents written as wiki text files and read back: a title line, a heading
-    line, then the lines of the text."""
+    line, then the lines of the text.  Without ``in_order`` a document is written where it is read, which shuffles
+    nothing; only the documents of a file are in order then."""
     path = scratch_path(spark, "wiki")
     title = F.concat(F.lit("[[Doc "), F.col("doc_id").cast("string"), F.lit("]]"))
     heading = F.concat(F.lit("=="), F.col("source"), F.lit("=="))
     lines = F.concat(F.array(title, heading), F.split("text", "\n"))
+    placed = _documents(spark, sf_dir).select("doc_id", F.posexplode(lines).alias("pos", "value"))
     (
-        _documents(spark, sf_dir)
-        .select("doc_id", F.posexplode(lines).alias("pos", "value"))
-        .repartitionByRange("doc_id")
+        (placed.repartitionByRange("doc_id") if in_order else placed)
         .sortWithinPartitions("doc_id", "pos")
         .select("value")
         .write.option("compression", compression)
         .text(path)
     )
-    return read_wiki(spark, path)
+    read = read_wiki(spark, path)
+    read.stage_path = path
+    return read
 
 
 def _merged_wiki_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,8 +404,10 @@ def wiki_postings(spark, sf_dir):
 
 
 def wiki_bm25_top10(spark, sf_dir):
-    chunks = wiki_chunks(_wiki_lines(spark, sf_dir))
-    index = build_index(chunks, scratch_path(spark, "index"), stem=True, count_titles=True)
+    lines = _wiki_lines(spark, sf_dir, in_order=False)
+    chunks = wiki_chunks(lines)
+    release(lines)  # the chunks are stored
+    index = build_index(chunks, scratch_path(spark, "index"), stem=True, count_titles=True, release_chunks=True)
     return _rounded(search(index, QUERY, stem=True))
 
 

@@ -18,7 +18,8 @@ def carry_forward(lines: DataFrame, value: str, run_bits: int = RUN_BITS) -> Dat
     row per run says what each run inherits from those above it, and the lines are joined
     to it.  The join has the keys of the first window, so the lines are shuffled once, and
     the window per file sees one row per run, not per line.  The table of runs needs positions and
-    the few rows that have a value.
+    the few rows that have a value.  The result has the column ``run`` too: what is grouped by it,
+    by file and by block_start, among others, needs no further shuffle.
     """
     run = ["file", "block_start", "run"]
     cut = lines.withColumn("run", F.shiftright("line_id", run_bits))
@@ -33,6 +34,5 @@ def carry_forward(lines: DataFrame, value: str, run_bits: int = RUN_BITS) -> Dat
     return (
         filled.join(inherited, run, "left")
         .withColumn(value, F.coalesce(F.col(value), F.col("__above")))
-        .drop("run", "__above")
-        .select(*lines.columns)
+        .select(*lines.columns, "run")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.porter import with_stem
 from lexspark.operators.skew import join_per_key
-from lexspark.session import stage
+from lexspark.session import release, stage
 
 COMMON_SHARE = 1_000_000
 COMMON_LETTERS = 64
@@ -43,4 +43,5 @@ def stems_of(terms: DataFrame) -> Stems:
     total = vocabulary.agg(F.sum("n_rows").alias("total")).scalar()
     is_common = (F.col("n_rows") * COMMON_SHARE > total) & (F.length("term") <= COMMON_LETTERS)
     known = stage(vocabulary.withColumn("is_common", is_common), "stems")
+    release(vocabulary)
     return Stems(known.filter("is_common").select("term", "stem"), known.filter("not is_common").drop("is_common"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexspark.functions.porter import with_stem
 from lexspark.functions.text import chunk_words, clean_word, has_letters, raw_words, title_key, title_words
 from lexspark.operators.stems import stems_of
-from lexspark.session import stage
+from lexspark.session import TEXT_CODEC, stage
 
 CROWDED = 1000  # rows of one document
 TASK_BYTES = 8 << 20
@@ -117,8 +117,13 @@ def rows_of_docs(rows: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataF
 
 def one_by_one(counts: DataFrame) -> DataFrame:
     """``(doc, dl, terms)`` of counts, added up, one row per document and term: no document has to fit into a row."""
+    return as_entries(with_document_length(counts))
+
+
+def as_entries(counts: DataFrame) -> DataFrame:
+    """``(doc, dl, terms)`` of counts with their ``dl``, one row per document and term."""
     entry = F.array(F.struct("term", F.col("tf").cast("long").alias("tf")))
-    return with_document_length(counts).select("doc", F.col("dl").cast("long").alias("dl"), entry.alias("terms"))
+    return counts.select("doc", F.col("dl").cast("long").alias("dl"), entry.alias("terms"))
 
 
 def dealt_texts(rows: DataFrame) -> DataFrame:
@@ -142,10 +147,12 @@ def document_counts(chunks: DataFrame, keep_empty: bool = False) -> DataFrame:
 
 def title_texts(chunks: DataFrame) -> DataFrame:
     """``(doc, title_line, text)``, stored: the chunks under a title line put together, in parts of 2 ** ``PART_BITS`` lines
-    of a file at most.  ``chunks`` has ``file``, ``block_start`` and ``line_id``; ``doc`` is the title's key."""
+    of a file at most.  ``chunks`` has ``file``, ``block_start`` and ``line_id``; ``doc`` is the title's key.  Chunks that
+    have their ``run``, in which there are whole parts, are put together where it is, without a shuffle."""
     part = F.shiftright("line_id", PART_BITS).alias("part")
     text = F.array_join(F.collect_list("chunk"), " ").alias("text")
-    texts = stage(chunks.groupBy("title_line", "file", "block_start", part).agg(text).select("title_line", "text"), "title_texts")
+    place = [c for c in ("title_line", "file", "block_start", "run") if c in chunks.columns]
+    texts = stage(chunks.groupBy(*place, part).agg(text).select("title_line", "text"), "title_texts", TEXT_CODEC)
     return by_title_key(texts.withColumn("doc", F.col("title_line"))).select("doc", "title_line", "text")
 
 
@@ -175,6 +182,43 @@ def titled_counts(texts: DataFrame) -> DataFrame:
     return whole.unionByName(one_by_one(counts))
 
 
+def stemmed_titled_counts(texts: DataFrame) -> DataFrame:
+    """``(doc, dl, term, tf)`` of ``title_texts``: words of texts stemmed, those of title lines as written.
+
+    Texts are dealt by document, about ``TASK_BYTES`` to a task, and their words meet their stems and are counted
+    there: a text is smaller than its counts.  Rare words, as their stems, and those of titles come to them as rows
+    of their own.  Documents with more text than that, of which there are few, are dealt by row instead, and their
+    counts are shuffled and added up.
+    """
+    sizes = stage(texts.groupBy("doc").agg(F.sum(F.octet_length("text")).alias("size")), "text_sizes")
+    large = sizes.filter(F.col("size") > TASK_BYTES).select("doc")
+    tasks = max(1, (sizes.agg(F.sum("size").alias("size")).first().size or 0) // TASK_BYTES)
+    words = tokens(texts.select("doc", F.col("text").alias("chunk")))
+    stems = stems_of(words.select("term"))
+    titles = texts.select("doc", "title_line").distinct()
+    titles = titles.select("doc", F.explode(title_words(F.col("title_line"))).alias("given")).filter("given <> ''")
+    none = F.lit(None).cast("string")
+    n_words = F.size(F.array_remove(chunk_words(F.col("text")), ""))  # rare words are among them
+    rows = texts.select("doc", "text", none.alias("given"), n_words.alias("n"))
+    rows = rows.unionByName(titles.select("doc", none.alias("text"), "given", F.lit(1).alias("n")))
+    rare = stems.others(words).select("doc", none.alias("text"), F.col("stem").alias("given"), F.lit(0).alias("n"))
+    rows = rows.unionByName(rare)
+
+    def counted(dealt: DataFrame, *of_doc: str) -> DataFrame:
+        cut = dealt.select("doc", *of_doc, "given", F.explode_outer(chunk_words(F.col("text"))).alias("term"))
+        found = stems.known(cut).select("doc", *of_doc, F.coalesce("given", "stem").alias("term"))
+        return found.filter(F.col("term").isNotNull()).groupBy("doc", *of_doc, "term").agg(F.count("term").alias("tf"))
+
+    def by_doc(whole: DataFrame) -> DataFrame:
+        dealt = whole.repartition(tasks, "doc").withColumn("dl", F.sum("n").over(Window.partitionBy("doc")))
+        return counted(dealt, "dl")
+
+    if large.isEmpty():
+        return by_doc(rows)
+    others = with_document_length(counted(rows.join(F.broadcast(large), "doc").repartition(tasks)))
+    return by_doc(rows.join(F.broadcast(large), "doc", "left_anti")).unionByName(others)
+
+
 def titled_counts_without(texts: DataFrame, stopwords: DataFrame) -> DataFrame:
     """``(doc, term, tf)`` of ``title_texts`` without the listed words, which stay in title lines.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexspark.functions.weights import bm25_idf
 from lexspark.operators.terms import (
     add_counts,
+    as_entries,
     by_title_key,
     corpus_stats,
     count_terms,
@@ -17,17 +18,16 @@ from lexspark.operators.terms import (
     document_counts,
     document_frequency,
     one_by_one,
-    packed_parts,
-    packed_titles,
     stem_counts,
     stem_packed,
+    stemmed_titled_counts,
     title_counts,
     title_texts,
     titled_counts,
     tokens,
     unpacked,
 )
-from lexspark.session import scope, settings, stage, store
+from lexspark.session import TEXT_CODEC, keep, release, scope, settings, stage, store
 from lexspark.sources.index_store import BUCKETS, SearchIndex, new_version, publish, term_bucket
 
 TASK_POSTINGS = 2_000_000
@@ -53,9 +53,7 @@ def term_counts(
     if not stem and "line_id" in chunks.columns:
         return unpacked(stage(titled_counts(title_texts(chunks)), "raw_counts"))
     if "line_id" in chunks.columns:
-        texts = title_texts(chunks)
-        body = stem_counts(unpacked(stage(packed_parts(texts), "raw_counts")))
-        return add_counts(body, unpacked(packed_titles(texts)))
+        return stemmed_titled_counts(title_texts(chunks)).select("doc", "term", "tf")
     counts = stage(counts_by_title(chunks), "raw_counts")
     body = stem_counts(counts) if stem else counts
     merged = add_counts(by_title_key(body), by_title_key(title_counts(counts)))
@@ -72,12 +70,16 @@ def build_index(
     buckets: int = BUCKETS,
     files: int | None = None,
     dropped: Observation | None = None,
+    release_chunks: bool = False,
 ) -> SearchIndex:
     """Write the index tables of ``chunks(doc, chunk)`` to ``path`` and read them back;
-    ``buckets``, ``files`` and ``dropped`` as in ``index_counts``."""
+    ``buckets``, ``files`` and ``dropped`` as in ``index_counts``.  ``release_chunks`` is for ``wiki_chunks`` that nothing
+    else reads: the table that they are read from is deleted as soon as their words are stored."""
     spark = chunks.sparkSession
     with scope(spark):
-        packed = packed_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
+        packed = packed_counts(
+            chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty, release_chunks=release_chunks
+        )
         return _write_index(spark, packed, path, buckets, files, dropped)
 
 
@@ -100,17 +102,27 @@ def index_counts(
 
 
 def packed_counts(
-    chunks: DataFrame, *, stem: bool = False, count_titles: bool | None = None, keep_empty: bool = False
+    chunks: DataFrame,
+    *,
+    stem: bool = False,
+    count_titles: bool | None = None,
+    keep_empty: bool = False,
+    release_chunks: bool = False,
 ) -> DataFrame:
-    """The counts of ``term_counts`` as ``document_counts`` gives them, stored."""
-    if "text" in chunks.columns and not stem and not count_titles:
-        return stage(document_counts(chunks, keep_empty), "counts")
-    if count_titles is not False and not stem and {"title_line", "line_id"} <= set(chunks.columns):
-        return stage(titled_counts(title_texts(chunks)), "counts")
-    if "text" in chunks.columns and not count_titles:
-        return stage(stem_packed(stage(document_counts(chunks, keep_empty), "raw_counts")), "counts")
-    counts = term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty)
-    return stage(one_by_one(counts), "counts")
+    """The counts of ``term_counts`` as ``document_counts`` gives them, stored; what else is staged for them is deleted."""
+    with scope(chunks.sparkSession):
+        if count_titles is not False and {"title_line", "line_id"} <= set(chunks.columns):
+            texts = title_texts(chunks)
+            if release_chunks:
+                release(chunks)
+            packed = as_entries(stemmed_titled_counts(texts)) if stem else titled_counts(texts)
+        elif "text" in chunks.columns and not count_titles:
+            packed = document_counts(chunks, keep_empty)
+            if stem:
+                packed = stem_packed(stage(packed, "raw_counts"))
+        else:
+            packed = one_by_one(term_counts(chunks, stem=stem, count_titles=count_titles, keep_empty=keep_empty))
+        return keep(stage(packed, "counts", TEXT_CODEC))
 
 
 def packed_lengths(packed: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_SETTING = "spark.checkpoint.dir"
 TEXT_CODEC = "zstd"  # of intermediate tables that hold whole texts
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_scratch: dict[str, str] = {}
 _open_scopes = threading.local()
 
@@ -41,8 +42,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def store(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), codec: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table and read it back.  Columns to partition by come last; ``codec`` is the
-    session's by default."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path, compression=codec)
+    session's by default.  What was shuffled for it is deleted when it is written, not when the driver collects its
+    garbage: no later plan reads it."""
+    with settings(df.sparkSession, {SHUFFLE_CLEANUP: "true"}):
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -80,6 +83,15 @@ def scope(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
+def keep(staged: DataFrame) -> DataFrame:
+    """A table staged in the innermost scope outlives it: the scope around it, if any, has it then."""
+    inner, *around = reversed(_open_scopes.stack)
+    inner.remove(staged.stage_path)
+    for paths in around[:1]:
+        paths.append(staged.stage_path)
+    return staged
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Settings of the session that hold inside."""

@@ -44,23 +44,29 @@ def titled_lines(lines: DataFrame, ascii_first: bool = False) -> DataFrame:
             F.when(~is_title(norm), clean_body(norm, ascii_first)).alias("chunk"),
         )
     )
-    return carry_forward(stage(marked, "lines", TEXT_CODEC), "title_line").filter(F.col("chunk").isNotNull())
+    stored = stage(marked, "lines", TEXT_CODEC)
+    titled = carry_forward(stored, "title_line").filter(F.col("chunk").isNotNull())
+    titled.stage_path = stored.stage_path
+    return titled
 
 
 def wiki_chunks(lines: DataFrame, ascii_first: bool = False, dropped: Observation | None = None) -> DataFrame:
-    """``(doc, title_line, file, block_start, line_id, chunk)``: body lines under their title.
+    """``(doc, title_line, file, block_start, line_id, run, chunk)``: body lines under their title.
 
     The key of a document is the bracketed part of its title line, so equal titles anywhere
     in the input are one document.  Lines above the first title of a file belong to none;
     see ``untitled_lines``.  ``dropped`` counts them, as ``untitled_lines``, while the chunks are used.
+    The text is not read again: chunks are read from a stored table, which ``release(chunks)`` deletes.
     """
     titled = titled_lines(lines, ascii_first)
+    stored = titled.stage_path
     if dropped is not None:
         titled = titled.observe(dropped, F.count(F.when(F.col("title_line").isNull(), 1)).alias("untitled_lines"))
-    return (
-        titled.filter(F.col("title_line").isNotNull())
-        .select(title_key(F.col("title_line")).alias("doc"), "title_line", *POSITION, "chunk")
+    chunks = titled.filter(F.col("title_line").isNotNull()).select(
+        title_key(F.col("title_line")).alias("doc"), "title_line", *POSITION, "run", "chunk"
     )
+    chunks.stage_path = stored
+    return chunks
 
 
 def untitled_lines(lines: DataFrame, ascii_first: bool = False) -> DataFrame:
