@@ -175,5 +175,6 @@ def store_postings(postings: DataFrame, version: str, buckets: int, files: int |
     share = F.pmod(F.xxhash64("doc"), F.lit(shares)).cast("int")
     dealt = bucketed.repartitionById(buckets * shares, F.col("bucket") * shares + share)
     # a task has one bucket, so its rows need no order by it, and are compared by the first letters of their terms
-    with settings(postings.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "1"}):
+    written = {"spark.sql.maxConcurrentOutputFileWriters": "1", "spark.sql.parquet.compression.codec": TEXT_CODEC}
+    with settings(postings.sparkSession, written):
         return store(dealt.sortWithinPartitions("term", "doc"), f"{version}/postings", ("bucket",))
